@@ -42,7 +42,7 @@ class TrainConfig:
     min_leaf: int = 2
     seed: int = 42
     fit_on: str = "all"  # "all": vocabulary and idf see the test rows too; "train": they do not
-    parallelism: int = 4  # forests and calibrators fitted at the same time
+    parallelism: int = 5  # forests fitted at the same time
 
     def __post_init__(self) -> None:
         if self.fit_on not in ("all", "train"):

@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import GeneralizedLinearRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -59,29 +59,49 @@ def _class_columns(classes: Sequence[str]) -> list[int]:
 
 
 def fit_sigmoids(
-    scored: DataFrame, classes: Sequence[str], fold: int, label: str = "language", score: str = "_score"
-) -> list:
-    """One-vs-rest sigmoids of held-out scores, one fitting job per class.
+    scored: DataFrame, classes: Sequence[str], folds: int, label: str = "language", score: str = "_score"
+) -> list[Sigmoid]:
+    """One-vs-rest sigmoids of held-out scores, for every fold and class in one regression.
 
     Targets are smoothed by the class counts: (n+ + 1) / (n+ + 2) for members and
-    1 / (n- + 2) for the rest. A binomial regression takes such targets as they are.
+    1 / (n- + 2) for the rest; a binomial regression takes such targets as they are.
+    Each (fold, class) has its own slope and intercept column, zero elsewhere, so the
+    joint fit equals separate ones. ``scored`` is ``(fold, label, score array)``.
     """
-    counts = {r[label]: r["n"] for r in scored.groupBy(label).agg(F.count("*").alias("n")).collect()}
-    total = sum(counts.values())
-
-    def job(k: int):
-        member = counts.get(classes[k], 0)
-        high, low = (member + 1) / (member + 2), 1 / (total - member + 2)
-        target = F.when(F.col(label) == classes[k], F.lit(high)).otherwise(F.lit(low))
-        data = VectorAssembler(inputCols=["_s"], outputCol="_x").transform(
-            scored.select(F.get(score, F.lit(k)).alias("_s"), target.alias("_t"))
-        )
-        fitted = GeneralizedLinearRegression(
-            family="binomial", link="logit", featuresCol="_x", labelCol="_t", regParam=0.0, tol=1e-10, maxIter=100
-        ).fit(data)
-        return fold, k, float(fitted.coefficients[0]), float(fitted.intercept)
-
-    return [lambda k=k: job(k) for k in _class_columns(classes)]
+    counts = {(r["fold"], r[label]): r["n"] for r in scored.groupBy("fold", label).agg(F.count("*").alias("n")).collect()}
+    groups = [(fold, k) for fold in range(folds) for k in _class_columns(classes)]
+    high, low = [], []
+    for fold, k in groups:
+        total = sum(n for (f, _), n in counts.items() if f == fold)
+        member = counts.get((fold, classes[k]), 0)
+        high.append((member + 1) / (member + 2))
+        low.append(1 / (total - member + 2))
+
+    each = F.explode(F.lit(_class_columns(classes))).alias("_k")
+    per_fold = len(groups) // folds
+    first = groups[0][1]
+    rows = scored.select("fold", label, score, each).select(
+        (F.col("fold") * per_fold + F.col("_k") - first).cast("int").alias("_g"),
+        F.get(score, F.col("_k")).alias("_s"),
+        (F.col(label) == F.get(F.lit(list(classes)), F.col("_k"))).alias("_member"),
+    )
+    target = F.when(F.col("_member"), F.get(F.lit(high), F.col("_g"))).otherwise(F.get(F.lit(low), F.col("_g")))
+    zero, one = F.lit(0.0), F.lit(1.0)
+    slots = F.sequence(F.lit(0), F.lit(len(groups) - 1))
+    design = F.concat(
+        F.transform(slots, lambda i: F.when(i == F.col("_g"), F.col("_s")).otherwise(zero)),
+        F.transform(slots, lambda i: F.when(i == F.col("_g"), one).otherwise(zero)),
+    )
+    data = rows.select(array_to_vector(design).alias("_x"), target.alias("_t"))
+    # The union of folds has folds times the partitions of one; every iteration is a job over them.
+    data = data.coalesce(max(1, scored.rdd.getNumPartitions() // folds)).cache()
+    fitted = GeneralizedLinearRegression(
+        family="binomial", link="logit", featuresCol="_x", labelCol="_t",
+        fitIntercept=False, regParam=0.0, tol=1e-10, maxIter=100,
+    ).fit(data)
+    data.unpersist()
+    found = [float(c) for c in fitted.coefficients]
+    return [(fold, k, found[g], found[len(groups) + g]) for g, (fold, k) in enumerate(groups)]
 
 
 def calibrate(
@@ -90,23 +110,23 @@ def calibrate(
     config: TrainConfig = TrainConfig(),
     label: str = "language",
 ) -> tuple[list[RandomForestClassificationModel], list[Sigmoid]]:
-    """A forest per fold, trained on the other folds, and sigmoids from the held-out fold.
+    """A forest per fold, trained on the other folds, and sigmoids from the held-out folds.
 
     ``rows`` has ``(label, features, fold)`` and should be cached: it is read once per
-    fit. Fits are independent and run side by side.
+    fit. The forests are independent and fitted side by side.
     """
     spark = rows.sparkSession
 
     def fit(fold: int):
-        forest = train_forest(rows.filter(F.col("fold") != fold), classes, config, label)
-        held = rows.filter(F.col("fold") == fold)
-        scored = forest.transform(held).select(label, vector_to_array("_p").alias("_score")).cache()
-        sigmoids = [job() for job in fit_sigmoids(scored, classes, fold, label)]
-        scored.unpersist()
-        return forest, sigmoids
-
-    fitted = in_parallel(spark, [lambda f=f: fit(f) for f in range(config.folds)], config.parallelism)
-    return [forest for forest, _ in fitted], [s for _, sigmoids in fitted for s in sigmoids]
+        return train_forest(rows.filter(F.col("fold") != fold), classes, config, label)
+
+    forests = in_parallel(spark, [lambda f=f: fit(f) for f in range(config.folds)], config.parallelism)
+    held = [
+        forest.transform(rows.filter(F.col("fold") == fold)).select("fold", label, vector_to_array("_p").alias("_score"))
+        for fold, forest in enumerate(forests)
+    ]
+    scored = reduce(DataFrame.unionAll, held)
+    return forests, fit_sigmoids(scored, classes, config.folds, label)
 
 
 def calibrated_probabilities(

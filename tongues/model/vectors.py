@@ -57,7 +57,10 @@ def tfidf_vectors(
         norm = math.sqrt(sum(w * w for w in raw)) or 1.0
         return SparseVector(size, at, [w / norm for w in raw])
 
-    return df.withColumn(output, F.udf(vector, VectorUDT(), useArrow=True)(F.col(text)))
+    # The size travels as metadata, so that assembling needs no look at the data.
+    size_hint = {"ml_attr": {"num_attrs": size}}
+    made = F.udf(vector, VectorUDT(), useArrow=True)(F.col(text))
+    return df.withColumn(output, made.alias(output, metadata=size_hint))
 
 
 def feature_vectors(df: DataFrame, text: str = "text", output: str = "stats") -> DataFrame:

@@ -49,6 +49,11 @@ def fit_terms(texts: DataFrame, config: TrainConfig = TrainConfig()) -> list[tup
     return [(r["term"], r["idf"]) for r in rows]
 
 
+def _partitions(n: int, cores: int) -> int:
+    """Few tasks for few rows, as fitting runs many short jobs; all cores and more for many rows."""
+    return min(max(1, n // 500), max(cores, n // 50_000))
+
+
 def train_model(examples: DataFrame, config: TrainConfig = TrainConfig(), labels=CODES) -> Training:
     """Balance, split, fit the vocabulary, then a calibrated forest on the training rows.
 
@@ -59,7 +64,8 @@ def train_model(examples: DataFrame, config: TrainConfig = TrainConfig(), labels
     if config.max_per_class is not None:
         rows = balance(rows, config.max_per_class, seed=config.seed)
     rows = stratified_split(rows.cache(), config.test_size, seed=config.seed, labels=labels)
-    rows = rows.repartition(spark.sparkContext.defaultParallelism, "text").cache()
+    parts = _partitions(rows.count(), spark.sparkContext.defaultParallelism)
+    rows = rows.repartition(parts, "text").cache()
     classes = [r["language"] for r in rows.select("language").distinct().orderBy("language").collect()]
     if len(classes) < 2:
         raise ValueError("training needs at least two languages")
@@ -69,7 +75,7 @@ def train_model(examples: DataFrame, config: TrainConfig = TrainConfig(), labels
 
     folded = detector.features(stratified_folds(train, config.folds, seed=config.seed))
     folded = (
-        folded.repartition(spark.sparkContext.defaultParallelism, "text")
+        folded.repartition(parts, "text")
         .sortWithinPartitions("text")
         .select("language", "features", "fold")
         .cache()
