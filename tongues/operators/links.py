@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tongues.config import CorpusConfig
 from tongues.functions import html as H
+from tongues.operators.ranking import MAX_BROADCAST_ROWS, small_side
 
 DEFAULT = CorpusConfig()
 
@@ -91,19 +92,26 @@ def page_candidates(sources: DataFrame, links: DataFrame, per_source: int = DEFA
     return own.unionByName(linked)
 
 
-def page_frontier(candidates: DataFrame, pages: DataFrame) -> DataFrame:
+def page_frontier(candidates: DataFrame, pages: DataFrame, rows: int | None = None) -> DataFrame:
     """Candidates that were fetched, with the page that answers their address.
 
-    Only addresses and ids are joined; page bodies are attached later, once per page.
-    One snapshot per address keeps the right side unique, so a popular address is
-    skewed on one side only, which adaptive execution splits.
+    ``rows`` is an upper bound of the candidates, if one is known. When it is small they
+    are broadcast and the page table is only scanned. Otherwise addresses and ids are
+    shuffled, never page bodies. One snapshot per address keeps the page side unique, so
+    a popular address is skewed on one side only, which adaptive execution splits.
     """
-    known = pages.groupBy("url").agg(F.min("page_id").alias("page_id"))
-    return candidates.join(known, "url").select("language", "source_rank", "page_rank", "url", "page_id")
+    known = pages.select("url", "page_id")
+    if rows is not None and rows <= MAX_BROADCAST_ROWS:
+        known = known.join(F.broadcast(candidates.select("url")), "url", "left_semi")
+    known = known.groupBy("url").agg(F.min("page_id").alias("page_id"))
+    found = known.join(small_side(candidates, rows), "url")
+    return found.select("language", "source_rank", "page_rank", "url", "page_id")
 
 
-def frontier_pages(frontier: DataFrame, pages: DataFrame, config: CorpusConfig = DEFAULT) -> DataFrame:
+def frontier_pages(
+    frontier: DataFrame, pages: DataFrame, config: CorpusConfig = DEFAULT, rows: int | None = None
+) -> DataFrame:
     """Pages to read per language with their ``page_order``; later repeats of a page are dropped."""
     order = F.col("source_rank") * (config.max_links_per_page + 1) + F.col("page_rank")
     first = frontier.groupBy("language", "page_id").agg(F.min(order).alias("page_order"))
-    return first.join(pages.select("page_id", "url", "html"), "page_id")
+    return pages.select("page_id", "url", "html").join(small_side(first, rows), "page_id")

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from tongues.sources.dims import CODES
 
 SALTS = 64
+MAX_BROADCAST_ROWS = 1_000_000
 BUCKET_DIGITS = 4  # leading hex digits of an md5 key: 65,536 even buckets per group
 
 
@@ -39,14 +40,21 @@ def top_k(df: DataFrame, group: Sequence[str], order: Sequence[str], k: int, sal
 def per_label(df: DataFrame, stats: DataFrame, label: str, labels: Sequence[str] = CODES) -> DataFrame:
     """Attach one row of statistics per label without moving ``df``.
 
-    The broadcast side holds at most ``len(labels)`` rows by construction. A row whose
-    label is not listed stops the job instead of being lost.
+    The broadcast side is limited to ``len(labels)`` rows. A row whose label is not
+    listed stops the job, so the limit can never drop statistics that are needed.
+    (A filter on the label would do as well, but would be pushed below the shuffle of
+    the input and keep Spark from sharing it between the two sides.)
     """
-    small = stats.filter(F.col(label).isin(*labels)).withColumn("_known", F.lit(True))
+    small = stats.limit(len(labels))
     listed = F.when(F.col(label).isin(*labels), F.col(label)).otherwise(
         F.raise_error(F.concat(F.lit("label not in the language dimension: "), F.coalesce(F.col(label), F.lit("null"))))
     )
-    return df.withColumn(label, listed).join(F.broadcast(small), label, "left").drop("_known")
+    return df.withColumn(label, listed).join(F.broadcast(small), label, "left")
+
+
+def small_side(df: DataFrame, rows: int | None) -> DataFrame:
+    """Broadcast ``df`` when it has a known bound of few rows; join by shuffle otherwise."""
+    return F.broadcast(df) if rows is not None and rows <= MAX_BROADCAST_ROWS else df
 
 
 def _bucket_sizes(keyed: DataFrame, group: str, digits: int) -> DataFrame:
@@ -81,8 +89,27 @@ def rank_by_key(
     )
 
 
+def _holder(
+    keyed: DataFrame, group: str, wanted: Column, digits: int, groups: int
+) -> DataFrame:
+    """Per group, the bucket that holds position ``wanted`` and the position inside it."""
+    return (
+        _bucket_sizes(keyed, group, digits)
+        .withColumn("_need", wanted - F.col("_before"))
+        .filter((F.col("_need") > 0) & (F.col("_need") <= F.col("_here")))
+        .select(group, F.col("_bucket").alias("_holder"), "_need")
+        .limit(groups)
+    )
+
+
 def key_cutoff(
-    df: DataFrame, group: str, text: str, seed: int, wanted: Column, digits: int = BUCKET_DIGITS
+    df: DataFrame,
+    group: str,
+    text: str,
+    seed: int,
+    wanted: Column,
+    labels: Sequence[str] = CODES,
+    digits: int = BUCKET_DIGITS,
 ) -> DataFrame:
     """Per group, the (md5 key, text) of the row at position ``wanted``.
 
@@ -90,13 +117,8 @@ def key_cutoff(
     bucket that holds the position; only that bucket's rows are ordered.
     """
     keyed = df.select(group, text, sample_key(text, seed).alias("_key"))
-    holder = (
-        _bucket_sizes(keyed, group, digits)
-        .withColumn("_need", wanted - F.col("_before"))
-        .filter((F.col("_need") > 0) & (F.col("_need") <= F.col("_here")))
-        .select(group, F.col("_bucket"), "_need")
-    )
-    inside = per_label_bucket(keyed.withColumn("_bucket", F.left("_key", F.lit(digits))), holder, group)
+    holder = _holder(keyed, group, wanted, digits, len(labels))
+    inside = keyed.join(F.broadcast(holder), group).filter(F.left("_key", F.lit(digits)) == F.col("_holder"))
     order = Window.partitionBy(group).orderBy("_key", text)
     return (
         inside.withColumn("_at", F.row_number().over(order))
@@ -105,6 +127,17 @@ def key_cutoff(
     )
 
 
-def per_label_bucket(keyed: DataFrame, holder: DataFrame, group: str) -> DataFrame:
-    """Rows in the one chosen bucket of their group; ``holder`` has one row per group."""
-    return keyed.join(F.broadcast(holder), [group, "_bucket"])
+def first_by_key(
+    df: DataFrame, group: str, text: str, seed: int, k: int, labels: Sequence[str] = CODES, digits: int = BUCKET_DIGITS
+) -> DataFrame:
+    """The ``k`` rows of each group with the smallest (md5 key, text).
+
+    Rows beyond the key bucket that holds position ``k`` are dropped where they are
+    read; what is left, about ``k`` rows plus one bucket, is ranked.
+    """
+    keyed = df.withColumn("_key", sample_key(text, seed))
+    holder = _holder(keyed, group, F.lit(k), digits, len(labels)).drop("_need")
+    near = per_label(keyed, holder, group, labels).filter(
+        F.col("_holder").isNull() | (F.left("_key", F.lit(digits)) <= F.col("_holder"))
+    )
+    return top_k(near, [group], ["_key", text], k).drop("_key", "_holder")

@@ -7,14 +7,44 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tongues.operators.ranking import key_cutoff, per_label, rank_by_key, sample_key, top_k
+from tongues.operators.ranking import first_by_key, key_cutoff, per_label, rank_by_key, sample_key, top_k
 from tongues.sources.dims import CODES
 
 
-def balance(df: DataFrame, max_per_class: int = 300, label: str = "language", seed: int = 42) -> DataFrame:
+def balance(
+    df: DataFrame, max_per_class: int = 300, label: str = "language", seed: int = 42, labels: Sequence[str] = CODES
+) -> DataFrame:
     """At most ``max_per_class`` pseudo-random rows per label; smaller labels stay whole."""
-    keyed = df.withColumn("_key", sample_key("text", seed))
-    return top_k(keyed, [label], ["_key", "text"], max_per_class).drop("_key")
+    return first_by_key(df, label, "text", seed, max_per_class, labels)
+
+
+def balance_distinct(
+    df: DataFrame, max_per_class: int = 300, label: str = "language", seed: int = 42
+) -> DataFrame:
+    """``balance`` of the distinct ``(label, text)`` pairs, without shuffling all of them.
+
+    Only texts whose key lies below a bound are made distinct. The bound is raised for a
+    label until enough of its texts are below it or all are; as keys are compared in
+    order, the rows chosen are the same as from the whole corpus.
+    """
+    rows = df.select(label, "text")
+    sizes = {r[label]: r["n"] for r in rows.groupBy(label).agg(F.count("*").alias("n")).collect()}
+    share = {code: min(1.0, 4 * max_per_class / n) for code, n in sizes.items()}
+    while True:
+        bound = F
+        for code, part in share.items():
+            edge = "g" if part >= 1 else f"{int(part * 16**8):08x}"  # "g" sorts after every hex digit
+            bound = bound.when(F.col(label) == code, F.lit(edge))
+        below = rows.filter(sample_key("text", seed) < bound).distinct() if share else rows
+        found = below.cache()
+        counts = {r[label]: r["n"] for r in found.groupBy(label).agg(F.count("*").alias("n")).collect()}
+        short = [code for code, part in share.items() if part < 1 and counts.get(code, 0) < max_per_class]
+        if not short:
+            keyed = found.withColumn("_key", sample_key("text", seed))
+            return top_k(keyed, [label], ["_key", "text"], max_per_class).drop("_key")
+        found.unpersist()
+        for code in short:
+            share[code] = min(1.0, share[code] * 16)
 
 
 def stratified_split(
@@ -30,7 +60,7 @@ def stratified_split(
     shuffled. Copies of one text fall on the same side.
     """
     wanted = F.round(F.col("_total") * F.lit(test_size)).cast("long")
-    cut = key_cutoff(df.filter(F.col(label).isin(*labels)), label, "text", seed, wanted)
+    cut = key_cutoff(df, label, "text", seed, wanted, labels)
     here = F.struct(sample_key("text", seed).alias("_key"), F.col("text").alias("_text"))
     marked = per_label(df, cut, label, labels)
     return marked.withColumn("is_test", F.coalesce(here <= F.col("_cut"), F.lit(False))).drop("_cut")

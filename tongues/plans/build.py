@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tongues.config import CorpusConfig, TopUpConfig
 from tongues.operators import links as L
 from tongues.operators.augment import augment
 from tongues.operators.paragraphs import page_sentences
+from tongues.operators.ranking import small_side
 from tongues.operators.sentences import clean_sentences
 from tongues.operators.sets import capped_corpus, hybrid_topup
 from tongues.sources import dims
@@ -19,14 +21,21 @@ MODES = ("web", "seed", "hybrid")
 def pages_to_read(
     pages: DataFrame, sources: DataFrame, link_rules: DataFrame, config: CorpusConfig = CorpusConfig()
 ) -> DataFrame:
-    """``(language, page_id, page_order, url, html)`` of the source pages and what they link to."""
-    start = pages.join(sources, "url")
-    keep = ("language", "source_rank", "url")
-    found = L.article_links(L.resolve_links(L.page_links(start, *keep)), link_rules)
-    best = L.top_links(found, "language", "source_rank", limit=config.max_links_per_page)
-    fetched = start.select("language", "source_rank", "url").distinct()
+    """``(language, page_id, page_order, url, html)`` of the source pages and what they link to.
+
+    The number of sources bounds every list of pages made here, and decides between
+    broadcasting such a list to the page table and a shuffle join.
+    """
+    count = sources.count()
+    rows = count * (config.max_pages_per_source + 1)
+    own = sources.select("language", "source_rank", F.lit(0).cast("long").alias("page_rank"), "url")
+    fetched = L.page_frontier(own, pages, count)
+    bodies = pages.select("page_id", "html").join(small_side(fetched, count), "page_id")
+    found = L.page_links(bodies, "language", "source_rank", "url")
+    articles = L.article_links(L.resolve_links(found), link_rules)
+    best = L.top_links(articles, "language", "source_rank", limit=config.max_links_per_page)
     candidates = L.page_candidates(fetched, best, config.max_pages_per_source)
-    return L.frontier_pages(L.page_frontier(candidates, pages), pages, config)
+    return L.frontier_pages(L.page_frontier(candidates, pages, rows), pages, config, rows)
 
 
 def collect_sentences(

@@ -12,7 +12,7 @@ from tongues.model.detector import Detector
 from tongues.model.forest import calibrate
 from tongues.operators import evaluate as E
 from tongues.operators import ngrams as N
-from tongues.operators.sampling import balance, split_summary, stratified_folds, stratified_split
+from tongues.operators.sampling import balance_distinct, split_summary, stratified_folds, stratified_split
 from tongues.sources.dims import CODES
 
 
@@ -60,9 +60,10 @@ def train_model(examples: DataFrame, config: TrainConfig = TrainConfig(), labels
     ``examples`` is ``(language, text)``.
     """
     spark = examples.sparkSession
-    rows = examples.select("language", "text").distinct()
-    if config.max_per_class is not None:
-        rows = balance(rows, config.max_per_class, seed=config.seed)
+    if config.max_per_class is None:
+        rows = examples.select("language", "text").distinct()
+    else:
+        rows = balance_distinct(examples, config.max_per_class, seed=config.seed)
     rows = stratified_split(rows.cache(), config.test_size, seed=config.seed, labels=labels)
     parts = _partitions(rows.count(), spark.sparkContext.defaultParallelism)
     rows = rows.repartition(parts, "text").cache()

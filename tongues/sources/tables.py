@@ -14,7 +14,7 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     A table of many files or row groups is returned as it is, without a shuffle.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= 4 * cores:
+    if df.rdd.getNumPartitions() >= cores:
         return df
     return df.repartition(cores, *keys)
 
