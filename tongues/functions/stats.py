@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tongues.functions.text import WS, count_chars, count_matches, count_phrase, digit_count, word_count
+from tongues.functions.text import count_chars, count_matches, count_phrase, digit_count, letter_count, word_count
 
 # Character sets and word patterns that mark a language.
 CHAR_SETS = {
@@ -46,11 +46,10 @@ def _ratio(part: Column, whole: Column) -> Column:
 def basic_features(text: Column) -> dict[str, Column]:
     text = F.coalesce(text, F.lit(""))
     length = F.length(text).cast("long")
-    letters = F.length(F.regexp_replace(text, WS + "+", ""))
     return {
         "length": length,
         "word_count": word_count(text),
-        "avg_word_length": _ratio(letters, word_count(text)),
+        "avg_word_length": _ratio(letter_count(text), word_count(text)),
         "space_ratio": _ratio(count_chars(text, " "), length),
         "digit_ratio": _ratio(digit_count(text), length),
         "uppercase_ratio": _ratio(count_matches(text, r"\p{IsUppercase}"), length),

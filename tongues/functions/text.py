@@ -15,6 +15,8 @@ WS = (
     r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 )
 
+NOT_WS = WS.replace("[", "[^", 1)
+
 # Decimal digits, those newer than the Java tables, and digit-valued signs.
 DIGIT = (
     r"[\p{Nd}\x{11f50}-\x{11f59}\x{16ac0}-\x{16ac9}\x{1e4f0}-\x{1e4f9}"
@@ -42,11 +44,20 @@ def words(text: Column) -> Column:
     return F.filter(F.split(text, WS + "+"), lambda w: w != "")
 
 
+def letter_count(text: Column) -> Column:
+    """Characters inside words."""
+    return F.length(F.replace(normalize_ws(text), F.lit(" "), F.lit(""))).cast("long")
+
+
 def word_count(text: Column) -> Column:
-    stripped = normalize_ws(text)
-    return F.when(stripped == "", F.lit(0)).otherwise(
-        F.length(stripped) - F.length(F.replace(stripped, F.lit(" "), F.lit(""))) + 1
-    ).cast("long")
+    """Words, from the same collapsed text as ``letter_count``: one regex serves both."""
+    collapsed = normalize_ws(text)
+    return F.when(collapsed == "", F.lit(0)).otherwise(F.length(collapsed) - letter_count(text) + 1).cast("long")
+
+
+def has_words(text: Column, n: int) -> Column:
+    """At least ``n`` words; stops at the ``n``-th."""
+    return text.rlike(rf"^{WS}*+(?:{NOT_WS}++{WS}++){{{n - 1}}}{NOT_WS}")
 
 
 def count_matches(text: Column, char_class: str) -> Column:

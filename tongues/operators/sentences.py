@@ -29,7 +29,7 @@ def length_ok(text: Column, config: CorpusConfig = DEFAULT) -> Column:
 
 
 def words_ok(text: Column, config: CorpusConfig = DEFAULT) -> Column:
-    return T.word_count(text) >= config.min_words
+    return T.has_words(text, config.min_words)
 
 
 def digits_ok(text: Column, config: CorpusConfig = DEFAULT) -> Column:
@@ -68,14 +68,10 @@ def capitalize_first(df: DataFrame, text: str = "text") -> DataFrame:
     return df.withColumn(text, T.capitalize_first(F.col(text)))
 
 
-def clean_sentences(df: DataFrame, config: CorpusConfig = DEFAULT, text: str = "text") -> DataFrame:
-    """Normalise, apply every filter (cheap ones first) and capitalise.
-
-    Collapsing white space never lengthens a sentence, so short ones go before it.
-    """
+def _usable(df: DataFrame, config: CorpusConfig, text: str) -> DataFrame:
+    """Every filter on collapsed sentences, cheap ones first, then the capital."""
     column = F.col(text)
-    usable = normalize_ws(df.filter(F.length(column) >= config.min_sentence_length), text)
-    kept = usable.filter(
+    kept = df.filter(
         length_ok(column, config)
         & words_ok(column, config)
         & no_email(column)
@@ -85,6 +81,28 @@ def clean_sentences(df: DataFrame, config: CorpusConfig = DEFAULT, text: str = "
     return capitalize_first(kept, text)
 
 
-def document_sentences(df: DataFrame, config: CorpusConfig = DEFAULT, text: str = "text") -> DataFrame:
-    """Clean sentences of whole documents."""
-    return clean_sentences(split_sentences(df, text), config, text)
+def clean_sentences(df: DataFrame, config: CorpusConfig = DEFAULT, text: str = "text") -> DataFrame:
+    """Normalise, filter and capitalise rows that are single sentences.
+
+    Collapsing white space never lengthens a sentence, so short ones go before it. The
+    collapsed text passes through a generator: a plain column would be substituted into
+    each of the filters and its regex run once per use.
+    """
+    columns = [c for c in df.columns if c != text]
+    long_enough = df.filter(F.length(text) >= config.min_sentence_length)
+    collapsed = long_enough.select(*columns, F.explode(F.array(T.normalize_ws(F.col(text)))).alias(text))
+    return _usable(collapsed, config, text)
+
+
+def document_sentences(
+    df: DataFrame, config: CorpusConfig = DEFAULT, text: str = "text", position: str = "pos"
+) -> DataFrame:
+    """Clean sentences of whole documents.
+
+    Same rows as ``clean_sentences(split_sentences(df))``, but white space is collapsed
+    once per document, after which a sentence end is a mark followed by one space.
+    """
+    columns = [c for c in df.columns if c != text]
+    pieces = df.select(*columns, F.posexplode(F.split(T.normalize_ws(F.col(text)), r"(?<=[.!?]) ")))
+    named = pieces.select(*columns, F.col("pos").cast("long").alias(position), F.col("col").alias(text))
+    return _usable(named, config, text)

@@ -67,7 +67,7 @@ def normal(spark, d):
 
 
 def clean(spark, d):
-    return C.clean_sentences(pieces(spark, d))
+    return C.document_sentences(read_documents(spark, d))
 
 
 def corpus(spark, d):
@@ -617,7 +617,8 @@ def _stream(spark, d, name):
 def q_stream_new_sentences(spark, d):
     out = scratch(spark, "stream")
     documents = dims.with_language(_stream(spark, d, "documents").filter(F.col("text").isNotNull()), "lang")
-    run_available(stream_new_sentences(documents), f"{out}/rows", f"{out}/checkpoint")
+    fresh = stream_new_sentences(documents, tasks=spark.sparkContext.defaultParallelism)
+    run_available(fresh, f"{out}/rows", f"{out}/checkpoint")
     return spark.read.parquet(f"{out}/rows")
 
 

@@ -24,6 +24,7 @@ def stream_new_sentences(
     config: CorpusConfig = CorpusConfig(),
     ingest_time: str | None = None,
     within: str = "7 days",
+    tasks: int | None = None,
 ) -> DataFrame:
     """Clean sentences not seen before in the stream, as ``(language, text)``.
 
@@ -31,7 +32,10 @@ def stream_new_sentences(
     ``SALTS`` groups, chosen by document, so that no single task sees them all. State
     grows with the distinct sentences; give ``ingest_time`` (a timestamp column) to
     forget those older than ``within``. Use the RocksDB state store for large streams.
+    ``tasks`` spreads documents first, for sources that arrive in fewer splits than cores.
     """
+    if tasks:
+        documents = documents.repartition(tasks, source)
     salt = F.pmod(F.xxhash64(source), F.lit(SALTS)).alias("_salt")
     time = [ingest_time] if ingest_time else []
     clean = document_sentences(documents.select(source, *time, "language", "text"), config)
