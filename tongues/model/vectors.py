@@ -11,8 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tongues.functions import stats
-
-WORD_CACHE = 100_000
+from tongues.functions.grams import cached, count_grams, word_grams
 
 
 def tfidf_vectors(
@@ -34,24 +33,10 @@ def tfidf_vectors(
     size = len(weights)
 
     def vector(value):
-        cache = vector.__dict__.setdefault("cache", {})
-        counts: dict[int, int] = {}
-        for word in (value or "").lower().split():
-            found = cache.get(word)
-            if found is None:
-                padded = f" {word} "
-                found = [
-                    index[gram]
-                    for n in range(min_n, max_n + 1)
-                    for gram in (padded[i : i + n] for i in range(len(padded) - n + 1))
-                    if gram in index
-                ]
-                if len(cache) >= WORD_CACHE:
-                    cache.clear()
-                if len(word) <= 64:
-                    cache[word] = found
-            for i in found:
-                counts[i] = counts.get(i, 0) + 1
+        known = vector.__dict__.get("known") or vector.__dict__.setdefault(
+            "known", cached(lambda word: [index[g] for g in word_grams(word, min_n, max_n) if g in index])
+        )
+        counts = count_grams(value, known)
         at = sorted(counts)
         raw = [(1.0 + math.log(counts[i])) * weights[i] for i in at]
         norm = math.sqrt(sum(w * w for w in raw)) or 1.0

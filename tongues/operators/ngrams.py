@@ -2,27 +2,23 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections import Counter
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tongues.functions.grams import cached, count_grams, word_grams
 from tongues.functions.text import WS
 
 CHUNK = 200  # characters of a word handled at a time
+FLUSH_POSTINGS = 200_000  # rows handed to Spark at a time
+FLUSH_TERMS = 500_000  # different terms counted in a Python worker at a time
 MAX_BROADCAST_TERMS = 200_000
 
 
-def words_of(df: DataFrame, ids: Sequence[str], text: str = "text") -> DataFrame:
-    """Lower-cased words of each text with their counts.
-
-    One shuffle of the texts by id; every later step per id stays where it is.
-    """
-    placed = df.select(*ids, text).repartition(*ids)
-    word = placed.select(*ids, F.explode(F.split(F.lower(text), WS + "+")).alias("word"))
-    return word.filter(F.col("word") != "").groupBy(*ids, "word").agg(F.count("*").alias("uses"))
-
-
 def char_ngrams(words: DataFrame, min_n: int = 2, max_n: int = 5) -> DataFrame:
     """Every n-gram of every word padded with one space on both sides.
 
@@ -46,9 +42,38 @@ def char_ngrams(words: DataFrame, min_n: int = 2, max_n: int = 5) -> DataFrame:
 def term_freq(
     df: DataFrame, ids: Sequence[str], text: str = "text", min_n: int = 2, max_n: int = 5
 ) -> DataFrame:
-    """``(ids, term, tf)``: n-grams are made once per different word of a text."""
-    grams = char_ngrams(words_of(df, ids, text), min_n, max_n)
-    return grams.groupBy(*ids, "term").agg(F.sum("uses").alias("tf"))
+    """``(ids, term, tf)``, one text at a time and without a shuffle.
+
+    All postings of a text come from its own row, so they are counted there. Grouping
+    exploded n-grams by (id, term) instead would shuffle many times the corpus to bring
+    together rows that were never apart.
+    """
+    keys = list(ids)
+    fields = "".join(f"{name} {df.schema[name].dataType.simpleString()}, " for name in keys)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        grams = cached(lambda word: word_grams(word, min_n, max_n))
+        for batch in batches:
+            rows, sizes, terms, uses = [], [], [], []
+
+            def flush(batch=batch):
+                at = pa.array(np.repeat(np.array(rows, dtype="int64"), np.array(sizes, dtype="int64")))
+                columns = [batch.column(i).take(at) for i in range(len(keys))]
+                columns += [pa.array(terms, pa.string()), pa.array(uses, pa.int64())]
+                return pa.RecordBatch.from_arrays(columns, names=[*keys, "term", "tf"])
+
+            for row, value in enumerate(batch.column(len(keys))):
+                counts = count_grams(value.as_py(), grams)
+                rows.append(row)
+                sizes.append(len(counts))
+                terms.extend(counts.keys())
+                uses.extend(counts.values())
+                if len(terms) >= FLUSH_POSTINGS:
+                    yield flush()
+                    rows, sizes, terms, uses = [], [], [], []
+            yield flush()
+
+    return df.select(*keys, text).mapInArrow(run, f"{fields}term string, tf long")
 
 
 def term_counts(df: DataFrame, text: str = "text", min_n: int = 2, max_n: int = 5) -> DataFrame:
@@ -63,6 +88,42 @@ def doc_freq(postings: DataFrame) -> DataFrame:
     return postings.groupBy("term").agg(F.count("*").alias("df"), F.sum("tf").alias("cf"))
 
 
+def text_frequencies(df: DataFrame, text: str = "text", min_n: int = 2, max_n: int = 5) -> DataFrame:
+    """``doc_freq(term_freq(df))`` with counts summed over batches of texts before the shuffle.
+
+    Terms repeat across texts far more than within one, so few of the postings remain.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        grams = cached(lambda word: word_grams(word, min_n, max_n))
+        texts: Counter = Counter()
+        uses: Counter = Counter()
+
+        def flush():
+            terms = list(texts)
+            columns = [
+                pa.array(terms, pa.string()),
+                pa.array([texts[t] for t in terms], pa.int64()),
+                pa.array([uses[t] for t in terms], pa.int64()),
+            ]
+            texts.clear()
+            uses.clear()
+            return pa.RecordBatch.from_arrays(columns, names=["term", "df", "cf"])
+
+        for batch in batches:
+            for value in batch.column(0):
+                counts = count_grams(value.as_py(), grams)
+                texts.update(counts.keys())
+                for term, n in counts.items():
+                    uses[term] += n
+                if len(texts) >= FLUSH_TERMS:
+                    yield flush()
+        yield flush()
+
+    partial = df.select(text).mapInArrow(run, "term string, df long, cf long")
+    return partial.groupBy("term").agg(F.sum("df").alias("df"), F.sum("cf").alias("cf"))
+
+
 def vocabulary(
     frequencies: DataFrame,
     texts: DataFrame,

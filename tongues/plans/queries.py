@@ -404,19 +404,19 @@ def q_term_freq(spark, d):
 
 @query
 def q_doc_freq(spark, d):
-    return N.doc_freq(N.term_freq(read_documents(spark, d), ["doc_id"]))
+    return N.text_frequencies(read_documents(spark, d))
 
 
 @query
 def q_vocabulary(spark, d):
     docs = read_documents(spark, d)
-    return N.vocabulary(N.doc_freq(N.term_freq(docs, ["doc_id"])), docs)
+    return N.vocabulary(N.text_frequencies(docs), docs)
 
 
 @query
 def q_idf(spark, d):
     docs = read_documents(spark, d)
-    return N.idf(N.doc_freq(N.term_freq(docs, ["doc_id"])), docs).select("term", F.round("idf", 6).alias("idf"))
+    return N.idf(N.text_frequencies(docs), docs).select("term", F.round("idf", 6).alias("idf"))
 
 
 def turn_terms(spark, d):

@@ -40,9 +40,8 @@ class Training:
 
 def fit_terms(texts: DataFrame, config: TrainConfig = TrainConfig()) -> list[tuple[str, float]]:
     """The vocabulary with its idf, in index order: at most ``max_features`` rows reach the driver."""
-    postings = N.term_freq(texts.withColumn("_id", F.xxhash64("language", "text")), ["_id", "language"], "text",
-                           config.min_n, config.max_n)
-    chosen = N.vocabulary(N.doc_freq(postings), texts, config.max_features, config.min_df, config.max_df)
+    found = N.text_frequencies(texts, "text", config.min_n, config.max_n)
+    chosen = N.vocabulary(found, texts, config.max_features, config.min_df, config.max_df)
     rows = N.idf(chosen, texts).select("term", "idf").orderBy("term_index").collect()
     if not rows:
         raise ValueError("no term occurs often enough to train on")
