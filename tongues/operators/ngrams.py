@@ -96,27 +96,32 @@ def text_frequencies(df: DataFrame, text: str = "text", min_n: int = 2, max_n: i
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grams = cached(lambda word: word_grams(word, min_n, max_n))
-        texts: Counter = Counter()
-        uses: Counter = Counter()
+        texts: Counter = Counter()  # texts holding a term
+        words: Counter = Counter()  # uses of a word, which give the uses of its terms
 
         def flush():
-            terms = list(texts)
+            uses: dict[str, int] = {}
+            for word, times in words.items():
+                for term in grams(word):
+                    uses[term] = uses.get(term, 0) + times
             columns = [
-                pa.array(terms, pa.string()),
-                pa.array([texts[t] for t in terms], pa.int64()),
-                pa.array([uses[t] for t in terms], pa.int64()),
+                pa.array(list(uses), pa.string()),
+                pa.array([texts[t] for t in uses], pa.int64()),
+                pa.array(list(uses.values()), pa.int64()),
             ]
             texts.clear()
-            uses.clear()
+            words.clear()
             return pa.RecordBatch.from_arrays(columns, names=["term", "df", "cf"])
 
         for batch in batches:
             for value in batch.column(0):
-                counts = count_grams(value.as_py(), grams)
-                texts.update(counts.keys())
-                for term, n in counts.items():
-                    uses[term] += n
-                if len(texts) >= FLUSH_TERMS:
+                found = (value.as_py() or "").lower().split()
+                words.update(found)
+                seen: set[str] = set()
+                for word in set(found):
+                    seen.update(grams(word))
+                texts.update(seen)
+                if len(texts) >= FLUSH_TERMS or len(words) >= FLUSH_TERMS:
                     yield flush()
         yield flush()
 
