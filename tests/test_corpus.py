@@ -51,7 +51,12 @@ def test_balance_distinct_with_a_hot_text(spark, skewed):
     mixed = skewed.unionByName(copies)
     got = by_language(B.balance_distinct(mixed, 50).collect())
     assert sorted(got["english"]) == sorted(sorted((f"text {i}" for i in range(3000)), key=key)[:50])
-    assert B.balance(mixed, 50).filter("language = 'english'").count() == 50
+    plain = by_language(B.balance(mixed, 50).collect())["english"]
+    assert plain == [first] * 50
+    last = sorted((f"text {i}" for i in range(3000)), key=key)[39]
+    copies = spark.range(5000).select(F.lit("english").alias("language"), F.lit(last).alias("text"))
+    plain = by_language(B.balance(skewed.unionByName(copies), 50).collect())["english"]
+    assert len(plain) == 50 and plain.count(last) == 11
 
 
 def test_unlisted_label_is_an_error(spark):

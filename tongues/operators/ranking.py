@@ -114,15 +114,17 @@ def key_cutoff(
     """Per group, the (md5 key, text) of the row at position ``wanted``.
 
     ``wanted`` may use ``_total``, the rows in the group. Bucket counts locate the
-    bucket that holds the position; only that bucket's rows are ordered.
+    bucket that holds the position; only that bucket's texts are ordered, with counts
+    of their copies.
     """
     keyed = df.select(group, text, sample_key(text, seed).alias("_key"))
     holder = _holder(keyed, group, wanted, digits, len(labels))
     inside = keyed.join(F.broadcast(holder), group).filter(F.left("_key", F.lit(digits)) == F.col("_holder"))
-    order = Window.partitionBy(group).orderBy("_key", text)
+    copies = inside.groupBy(group, "_need", "_key", text).agg(F.count("*").alias("_n"))
+    upto = F.sum("_n").over(Window.partitionBy(group).orderBy("_key", text).rowsBetween(Window.unboundedPreceding, 0))
     return (
-        inside.withColumn("_at", F.row_number().over(order))
-        .filter(F.col("_at") == F.col("_need"))
+        copies.withColumn("_upto", upto)
+        .filter((F.col("_upto") >= F.col("_need")) & (F.col("_upto") - F.col("_n") < F.col("_need")))
         .select(group, F.struct(F.col("_key"), F.col(text).alias("_text")).alias("_cut"))
     )
 
@@ -133,11 +135,19 @@ def first_by_key(
     """The ``k`` rows of each group with the smallest (md5 key, text).
 
     Rows beyond the key bucket that holds position ``k`` are dropped where they are
-    read; what is left, about ``k`` rows plus one bucket, is ranked.
+    read. Earlier buckets are kept whole and only the last one is cut, so no step
+    gathers a group, however large ``k`` is. At most ``k`` rows per bucket leave a map
+    task, which also covers many copies of one text.
     """
+    bucket = F.left("_key", F.lit(digits))
     keyed = df.withColumn("_key", sample_key(text, seed))
-    holder = _holder(keyed, group, F.lit(k), digits, len(labels)).drop("_need")
-    near = per_label(keyed, holder, group, labels).filter(
-        F.col("_holder").isNull() | (F.left("_key", F.lit(digits)) <= F.col("_holder"))
+    holder = _holder(keyed, group, F.lit(k), digits, len(labels))
+    near = (
+        per_label(keyed, holder, group, labels)
+        .filter(F.col("_holder").isNull() | (bucket <= F.col("_holder")))
+        .withColumn("_bucket", bucket)
     )
-    return top_k(near, [group], ["_key", text], k).drop("_key", "_holder")
+    cut = top_k(near, [group, "_bucket"], ["_key", text], k)
+    rank = F.row_number().over(Window.partitionBy(group, "_bucket").orderBy("_key", text))
+    kept = F.col("_holder").isNull() | (F.col("_bucket") < F.col("_holder")) | (F.col("_rank") <= F.col("_need"))
+    return cut.withColumn("_rank", rank).filter(kept).drop("_key", "_bucket", "_holder", "_need", "_rank")

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tongues.operators.ranking import first_by_key, key_cutoff, per_label, rank_by_key, sample_key, top_k
+from tongues.operators.ranking import first_by_key, key_cutoff, per_label, rank_by_key, sample_key
 from tongues.sources.dims import CODES
 
 
@@ -19,7 +19,7 @@ def balance(
 
 
 def balance_distinct(
-    df: DataFrame, max_per_class: int = 300, label: str = "language", seed: int = 42
+    df: DataFrame, max_per_class: int = 300, label: str = "language", seed: int = 42, labels: Sequence[str] = CODES
 ) -> DataFrame:
     """``balance`` of the distinct ``(label, text)`` pairs, without shuffling all of them.
 
@@ -40,8 +40,7 @@ def balance_distinct(
         counts = {r[label]: r["n"] for r in found.groupBy(label).agg(F.count("*").alias("n")).collect()}
         short = [code for code, part in share.items() if part < 1 and counts.get(code, 0) < max_per_class]
         if not short:
-            keyed = found.withColumn("_key", sample_key("text", seed))
-            return top_k(keyed, [label], ["_key", "text"], max_per_class).drop("_key")
+            return first_by_key(found, label, "text", seed, max_per_class, labels)
         found.unpersist()
         for code in short:
             share[code] = min(1.0, share[code] * 16)

@@ -62,7 +62,7 @@ def train_model(examples: DataFrame, config: TrainConfig = TrainConfig(), labels
     if config.max_per_class is None:
         rows = examples.select("language", "text").distinct()
     else:
-        rows = balance_distinct(examples, config.max_per_class, seed=config.seed)
+        rows = balance_distinct(examples, config.max_per_class, seed=config.seed, labels=labels)
     rows = stratified_split(rows.cache(), config.test_size, seed=config.seed, labels=labels)
     parts = _partitions(rows.count(), spark.sparkContext.defaultParallelism)
     rows = rows.repartition(parts, "text").cache()
