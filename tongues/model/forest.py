@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from tongues.config import TrainConfig
 from tongues.operators.sampling import class_weights
+from tongues.sources.scratch import cut_lineage
 
 Sigmoid = tuple[int, int, float, float]  # fold, class index, slope, intercept
 
@@ -112,7 +113,7 @@ def calibrate(
 ) -> tuple[list[RandomForestClassificationModel], list[Sigmoid]]:
     """A forest per fold, trained on the other folds, and sigmoids from the held-out folds.
 
-    ``rows`` has ``(label, features, fold)`` and should be cached: it is read once per
+    ``rows`` has ``(label, features, fold)`` and should be stored: it is read once per
     fit. The forests are independent and fitted side by side.
     """
     spark = rows.sparkSession
@@ -125,7 +126,7 @@ def calibrate(
         forest.transform(rows.filter(F.col("fold") == fold)).select("fold", label, vector_to_array("_p").alias("_score"))
         for fold, forest in enumerate(forests)
     ]
-    scored = reduce(DataFrame.unionAll, held)
+    scored = cut_lineage(reduce(DataFrame.unionAll, held))
     return forests, fit_sigmoids(scored, classes, config.folds, label)
 
 

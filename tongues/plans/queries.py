@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable
 
 from pyspark.ml.functions import vector_to_array
@@ -32,6 +30,7 @@ from tongues.plans import training as T
 from tongues.plans.build import build_corpus, collect_sentences
 from tongues.sources import dims
 from tongues.sources.corpus import read_corpus, read_seed, write_corpus, write_stats
+from tongues.sources.scratch import scratch
 from tongues.sources.tables import read_documents, read_pages, spread, table, with_url_language
 from tongues.streaming.jobs import run_available, stream_detect, stream_new_sentences
 
@@ -52,12 +51,6 @@ def query(f: Query) -> Query:
     return f
 
 
-def scratch(spark: SparkSession, name: str) -> str:
-    """A fresh folder below the shared checkpoint folder, or a local one when none is set."""
-    shared = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tongues-")
-    return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
 def pieces(spark, d):
     return C.split_sentences(read_documents(spark, d))
 

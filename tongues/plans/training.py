@@ -14,6 +14,7 @@ from tongues.operators import evaluate as E
 from tongues.operators import ngrams as N
 from tongues.operators.sampling import balance_distinct, split_summary, stratified_folds, stratified_split
 from tongues.sources.dims import CODES
+from tongues.sources.scratch import cut_lineage
 
 
 @dataclass
@@ -63,9 +64,10 @@ def train_model(examples: DataFrame, config: TrainConfig = TrainConfig(), labels
         rows = examples.select("language", "text").distinct()
     else:
         rows = balance_distinct(examples, config.max_per_class, seed=config.seed, labels=labels)
-    rows = stratified_split(rows.cache(), config.test_size, seed=config.seed, labels=labels)
+    rows = cut_lineage(rows)
     parts = _partitions(rows.count(), spark.sparkContext.defaultParallelism)
-    rows = rows.repartition(parts, "text").cache()
+    rows = stratified_split(rows, config.test_size, seed=config.seed, labels=labels)
+    rows = cut_lineage(rows.repartition(parts, "text"))
     classes = [r["language"] for r in rows.select("language").distinct().orderBy("language").collect()]
     if len(classes) < 2:
         raise ValueError("training needs at least two languages")
@@ -74,14 +76,10 @@ def train_model(examples: DataFrame, config: TrainConfig = TrainConfig(), labels
     detector = Detector(terms=terms, classes=classes, min_n=config.min_n, max_n=config.max_n)
 
     folded = detector.features(stratified_folds(train, config.folds, seed=config.seed))
-    folded = (
-        folded.repartition(parts, "text")
-        .sortWithinPartitions("text")
-        .select("language", "features", "fold")
-        .cache()
+    folded = cut_lineage(
+        folded.repartition(parts, "text").sortWithinPartitions("text").select("language", "features", "fold")
     )
     detector.forests, detector.sigmoids = calibrate(folded, classes, config)
-    folded.unpersist()
 
     held = detector.detect_batch(rows.filter("is_test").withColumnRenamed("language", "expected"))
     predictions = held.select(F.col("expected").alias("language"), F.col("language_code").alias("predicted"))
