@@ -30,7 +30,7 @@ from tongues.plans import training as T
 from tongues.plans.build import build_corpus, collect_sentences
 from tongues.sources import dims
 from tongues.sources.corpus import read_corpus, read_seed, write_corpus, write_stats
-from tongues.sources.scratch import scratch
+from tongues.sources.scratch import cut_lineage, scratch
 from tongues.sources.tables import read_documents, read_pages, spread, table, with_url_language
 from tongues.streaming.jobs import run_available, stream_detect, stream_new_sentences
 
@@ -549,7 +549,7 @@ def trained(spark, d) -> T.Training:
 @query
 def q_train_forest(spark, d):
     detector = trained(spark, d).detector
-    rows = detector.features(B.stratified_split(B.balance(corpus(spark, d)).cache()))
+    rows = cut_lineage(detector.features(B.stratified_split(cut_lineage(B.balance(corpus(spark, d))))))
     classes = [c for c in detector.classes if c != "italian"]
     forest = fit_forest(rows.filter(~F.col("is_test")).select("language", "features"), classes, SMALL_MODEL)
     best = R.top_predictions(vector_to_array("_p"), classes, 1, {}, {})
