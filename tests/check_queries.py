@@ -11,7 +11,7 @@ import duckdb
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
-TABLES = "documents pages conversations benchmark labels".split()
+TABLES = "documents pages conversations benchmark labels embeddings".split()
 
 
 def connection(directory: str) -> duckdb.DuckDBPyConnection:
@@ -42,7 +42,7 @@ def compare(spark, con, directory, query, sql):
         return f"columns {mine[0]} / {other[0]}"
     kinds = {n: t for n, t in zip(relation.columns, map(str, relation.types))}
     spark_kinds = {f.name: f.dataType.simpleString() for f in df.schema.fields}
-    same = {"bigint": "BIGINT", "string": "VARCHAR", "double": "DOUBLE", "boolean": "BOOLEAN"}
+    same = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE", "boolean": "BOOLEAN"}
     wrong = {n: (spark_kinds[n], kinds[n]) for n in kinds if same.get(spark_kinds[n]) != kinds[n]}
     if wrong:
         return f"types {wrong}"
