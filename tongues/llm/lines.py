@@ -129,13 +129,12 @@ def absorb_table(docs: DataFrame, batches: int = BATCHES) -> LineRuns:
     return runs
 
 
-def dedup_lines(docs: DataFrame, batches: int = BATCHES) -> DataFrame:
-    """``doc_id, text, n_lines, n_dropped, kept`` for every document.
+def dedup_lines(docs: DataFrame, batches: int = BATCHES, keep: tuple[str, ...] = ("doc_id", "text")) -> DataFrame:
+    """The columns ``keep``, ``n_lines``, ``n_dropped`` and ``kept`` for every document.
 
     A line whose key of at least ``MIN_KEY`` code points also stands in a document of smaller
     ``doc_id`` is dropped; other lines stay, repeated ones too. Null and empty texts are one empty
     line. Rows of one ``doc_id`` count as one document and keep each other's lines.
-    Of clashing column names only ``doc_id`` and ``text`` are read.
     """
-    docs = docs.select("doc_id", "text")
+    docs = docs.select(*keep)
     return absorb_table(docs, batches).apply(docs)
