@@ -66,11 +66,19 @@ class VPTree:
         best = [np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)]
 
         def offer(rows: np.ndarray, active: np.ndarray) -> None:
-            scores = np.zeros((len(active), len(rows)))
-            for j in range(vectors.shape[1]):  # components in order, so that equal vectors score equal
-                scores += vectors[active, j][:, None] * self.vectors[rows, j][None, :]
-            good = (scores >= worst[active][:, None]) & (self.ids[rows][None, :] != ids[active][:, None])
-            q, c = np.nonzero(good)
+            # a fast product proposes; what can reach the best k is scored in order of components, so that
+            # equal vectors score equal
+            rough = vectors[active] @ self.vectors[rows].T
+            rough[self.ids[rows][None, :] == ids[active][:, None]] = -np.inf
+            bar = worst[active]
+            if len(rows) > k:
+                bar = np.maximum(bar, -np.partition(-rough, k - 1, axis=1)[:, k - 1])
+            q, c = np.nonzero((rough >= (bar - _SLACK * length[active])[:, None]) & (rough > -np.inf))
+            found = np.zeros(len(q))
+            for j in range(vectors.shape[1]):
+                found += vectors[active[q], j] * self.vectors[rows[c], j]
+            good = found >= worst[active[q]]
+            q, c, found = q[good], c[good], found[good]
             if not len(q):
                 return
             touched = np.zeros(len(ids), bool)
@@ -78,7 +86,7 @@ class VPTree:
             old = touched[best[0]]
             query = np.concatenate([best[0][old], active[q]])
             row = np.concatenate([best[1][old], rows[c]])
-            score = np.concatenate([best[2][old], scores[q, c]])
+            score = np.concatenate([best[2][old], found])
             order = np.lexsort((row, -score, query))
             query, row, score = query[order], row[order], score[order]
             starts = np.searchsorted(query, query)
