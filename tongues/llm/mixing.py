@@ -9,11 +9,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tongues.llm.linear import Model, Settings, fit
+from tongues.llm.sampling import smallest
 from tongues.sources.scratch import stored
 
 #: The domains, and the share of all tokens that each is to have after mixing.
@@ -55,13 +56,11 @@ def train_domains(docs: DataFrame, labels: DataFrame, per_domain: int = PER_DOMA
     """
     known = labelled_domains(labels)
     counts = {r["domain"]: r["count"] for r in known.groupBy("domain").count().collect()}
-    order = Window.partitionBy("domain").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = known.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= per_domain)
+    chosen = smallest(known.withColumn("h", F.xxhash64("doc_id")), "domain", ["h", "doc_id"], per_domain).drop("rank")
     texts = docs.select("doc_id", "text").filter(F.col("text").isNotNull()).join(F.broadcast(chosen), "doc_id")
     # a repeated doc_id may bring several texts: the bound holds for texts as well
-    order = Window.partitionBy("domain").orderBy("rank", F.xxhash64("text"))
-    texts = texts.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= per_domain)
-    sample = [(r["domain"], r["text"]) for r in texts.sort("domain", "place").collect()]
+    texts = smallest(texts.withColumn("t", F.xxhash64("text")), "domain", ["h", "t"], per_domain)
+    sample = [(r["domain"], r["text"]) for r in texts.sort("domain", "rank").collect()]
     if not sample:
         return Model(list(DOMAINS), np.zeros((BUCKETS + 1, len(DOMAINS))), np.ones(BUCKETS))
     model = fit([features(t) for _, t in sample], [DOMAINS.index(d) for d, _ in sample], list(DOMAINS), np.ones(BUCKETS), settings)
