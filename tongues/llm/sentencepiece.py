@@ -20,7 +20,7 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: Texts longer than ``GIANT`` code points are cut into chunks of ``CHUNK`` that are worked on separately.
 GIANT, CHUNK = 65_536, 8_192
 #: Words whose ids a worker remembers.
-REMEMBERED = 400_000
+REMEMBERED = 100_000
 _SPACE = "▁"
 _WORD = re.compile(" +[^ ]*")
 _SLOTS = 18
@@ -304,7 +304,7 @@ def _lists(values: list[np.ndarray]) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat.astype(np.int32)))
 
 
-def _short(shared, slice_: int = 1000):
+def _short(shared, slice_: int = 250):
     """Texts of up to ``GIANT`` code points: word by word where no piece goes past a word, so that words repeat."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
