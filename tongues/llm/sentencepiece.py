@@ -352,7 +352,9 @@ def _giants(texts: DataFrame, v: Vocabulary, chunk: int) -> DataFrame:
         "tid", "start", (F.col("start") - left).alias("a"), (stop - left).alias("b"),
         F.substring("text", left + 1, stop - left + margin).alias("part"),
     )
-    chunks = stored(chunks.repartition("tid", "start"), "chunks")
+    chunks = stored(chunks, "chunks")
+    # a chunk is few bytes and much work: fixed partitions keep small files and shuffles from ending up in a few tasks
+    tasks = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def matrices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = shared.value
@@ -380,10 +382,10 @@ def _giants(texts: DataFrame, v: Vocabulary, chunk: int) -> DataFrame:
                 ids.append(np.array(backtrace(v, v.lattice(codes), codes, a, b, start == 0, entry, leave), np.int32))
             yield pa.RecordBatch.from_arrays([batch.column("tid"), batch.column("start"), _lists(ids)], ["tid", "start", "ids"])
 
-    moves = chunks.mapInArrow(matrices, "tid string, start int, matrix binary, width int")
+    moves = chunks.repartition(tasks, "tid", "start").mapInArrow(matrices, "tid string, start int, matrix binary, width int")
     fixed = moves.groupBy("tid").applyInArrow(states, "tid string, start int, entry int, leave int")
     placed = chunks.join(fixed, ["tid", "start"]).select("tid", "start", "a", "b", "part", "entry", "leave")
-    traced = placed.mapInArrow(traces, "tid string, start int, ids array<int>")
+    traced = placed.repartition(tasks, "tid", "start").mapInArrow(traces, "tid string, start int, ids array<int>")
     parts = traced.groupBy("tid").agg(F.array_sort(F.collect_list(F.struct("start", "ids"))).alias("parts"))
     return parts.select("tid", F.flatten(F.transform("parts", lambda p: p["ids"])).alias("ids"))
 
