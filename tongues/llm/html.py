@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from html import unescape
@@ -67,6 +68,7 @@ class Node:
     depth: int
     ruled_out: bool
     region: str
+    around: tuple[int, ...] = ()
     children: list[int] = field(default_factory=list)
     text: xxhash.xxh64 = field(default_factory=xxhash.xxh64)
 
@@ -91,6 +93,7 @@ class Page:
         self.blocks: list[Block] = []
         self.seen: dict[int, list[tuple[int, int]]] = {}
         self.parts: list[str] = []
+        self.open: Counter[str] = Counter()
         self.stack = [Node("", _hash("root"), 0, False, "")]
         at, end = 0, len(html)
         while at < end:
@@ -110,6 +113,7 @@ class Page:
                         at = stop.start() if stop else end
         while len(self.stack) > 1:
             self._pop()
+        self._flush()
 
     def _data(self, text: str) -> None:
         if text:
@@ -125,8 +129,7 @@ class Page:
             text = " ".join(unescape("".join(self.parts)).split())
             self.parts = []
             if text:
-                around = tuple(n.key for n in self.stack[1:] if not (n.region and n.tag in PROSE) and n.tag not in ("html", "body", "main", "article"))
-                self.blocks.append(Block(text, self.stack[-1].region, around))
+                self.blocks.append(Block(text, self.stack[-1].region, self.stack[-1].around))
 
     def _open(self, tag: str, attributes: str) -> None:
         if tag == "br":
@@ -153,12 +156,17 @@ class Page:
             out = out or bool(words & NOT_CONTENT) and tag != "main"
             out = out or (tag == "header" or "header" in words) and not parent.region
         deep = parent.depth >= DEPTH
-        node = Node(tag, parent.key if deep else _hash(parent.key, label), parent.depth + (not deep), out, region)
+        node = Node(tag, parent.key if deep else _hash(parent.key, label), parent.depth + (not deep), out, region, parent.around)
+        if not deep and not (region and tag in PROSE) and tag not in ("html", "body", "main", "article"):
+            node.around += (node.key,)
         parent.children.append(_hash(label))
         self.stack.append(node)
+        self.open[tag] += 1
 
     def _imply(self, tags: set[str] | frozenset[str], scope: set[str] | frozenset[str]) -> None:
         """Close an open element that the next one ends, if it lies in the same scope."""
+        if not any(self.open[t] for t in tags):
+            return
         for i in range(len(self.stack) - 1, 0, -1):
             if self.stack[i].tag in tags:
                 while len(self.stack) > i:
@@ -168,7 +176,7 @@ class Page:
                 return
 
     def _close(self, tag: str) -> None:
-        if tag in INLINE or tag in VOID:
+        if tag in INLINE or tag in VOID or not self.open[tag]:
             return
         for i in range(len(self.stack) - 1, 0, -1):
             if self.stack[i].tag == tag:
@@ -182,6 +190,7 @@ class Page:
     def _pop(self) -> None:
         self._flush()
         node = self.stack.pop()
+        self.open[node.tag] -= 1
         content = int.from_bytes(node.text.digest(), "big", signed=True)
         self.stack[-1].text.update(node.text.digest())
         self.seen.setdefault(node.key, []).append((_hash(*node.children), content))
