@@ -304,13 +304,19 @@ def _lists(values: list[np.ndarray]) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat.astype(np.int32)))
 
 
-def _short(shared, slice_: int = 250):
+def _texts(ids: list[np.ndarray], surfaces: list[bytes]) -> pa.Array:
+    """The bytes of all pieces in order, without the space that encoding put in front."""
+    octets = (b"".join([surfaces[i] for i in x.tolist()]) for x in ids)
+    return pa.array([o.removeprefix(b" ").decode("utf-8", "replace") for o in octets], pa.string())
+
+
+def _short(shared, decoded: bool, slice_: int = 250):
     """Texts of up to ``GIANT`` code points: word by word where no piece goes past a word, so that words repeat."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import sentencepiece
 
-        proto, by_word = shared.value
+        proto, by_word, surfaces = shared.value
         model = sentencepiece.SentencePieceProcessor(model_proto=proto)
         space = model.piece_to_id(_SPACE)
         known: dict[str, bytes] = {}
@@ -328,7 +334,8 @@ def _short(shared, slice_: int = 250):
                     ids = [np.frombuffer(b"".join([known[w] for w in words]), np.int32) for words in split]
                 else:
                     ids = [np.array(x, np.int32) for x in model.encode(texts, num_threads=1)]
-                yield pa.RecordBatch.from_arrays([*batch.columns, _lists(ids)], [*batch.schema.names, "ids"])
+                more = {"ids": _lists(ids)} | ({"decoded": _texts(ids, surfaces)} if decoded else {})
+                yield pa.RecordBatch.from_arrays([*batch.columns, *more.values()], [*batch.schema.names, *more])
 
     return run
 
@@ -390,36 +397,37 @@ def _giants(texts: DataFrame, v: Vocabulary, chunk: int) -> DataFrame:
     return parts.select("tid", F.flatten(F.transform("parts", lambda p: p["ids"])).alias("ids"))
 
 
-def encode(docs: DataFrame, path: str = MODEL, giant: int = GIANT, chunk: int = CHUNK) -> DataFrame:
-    """``docs`` with ``ids``, the model's encoding of the whole ``text``; null texts are empty and have no ids.
+def encode(docs: DataFrame, path: str = MODEL, giant: int = GIANT, chunk: int = CHUNK, decoded: bool = False) -> DataFrame:
+    """``docs`` with ``ids``, and ``decoded`` if asked for, the model's encoding of the whole ``text``; null texts are empty and have no ids.
 
     A leading space is added, as the model does; code points that are no piece are spelled in bytes. Texts of more than
     ``giant`` code points go through the parallel scan, each distinct one once, and come out the same.
     """
     v = Vocabulary.load(path)
-    shared = docs.sparkSession.sparkContext.broadcast((v.proto, v.by_word))
-    docs = docs.drop("ids").withColumn("text", F.coalesce("text", F.lit("")))
+    shared = docs.sparkSession.sparkContext.broadcast((v.proto, v.by_word, v.surfaces))
+    docs = docs.drop("ids", "decoded").withColumn("text", F.coalesce("text", F.lit("")))
     long = F.char_length("text") > giant
     schema = T.StructType([*docs.schema.fields, T.StructField("ids", T.ArrayType(T.IntegerType()))])
-    short = docs.filter(~long).mapInArrow(_short(shared), schema)
+    if decoded:
+        schema = T.StructType([*schema.fields, T.StructField("decoded", T.StringType())])
+    short = docs.filter(~long).mapInArrow(_short(shared, decoded), schema)
     giants = docs.filter(long).withColumn("_tid", F.sha2("text", 256))
     distinct = giants.groupBy(F.col("_tid").alias("tid")).agg(F.first("text").alias("text"))
     ids = stored(_giants(distinct, v, chunk), "giant-ids")
-    return short.unionByName(giants.join(ids, giants["_tid"] == ids["tid"]).select(*short.columns))
+    joined = giants.join(ids, giants["_tid"] == ids["tid"]).select(*docs.columns, "ids")
+    return short.unionByName(decode(joined, path) if decoded else joined)
 
 
 def decode(rows: DataFrame, path: str = MODEL) -> DataFrame:
-    """``rows`` with ``decoded``: the bytes of all pieces of ``ids`` in order, without the space that encoding put in front."""
+    """``rows`` with ``decoded``, the text that ``ids`` spell; null ids spell the empty text."""
     shared = rows.sparkSession.sparkContext.broadcast(Vocabulary.load(path).surfaces)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         surfaces = shared.value
         for batch in batches:
-            texts = []
-            for ids in batch.column(batch.schema.get_field_index("ids")):
-                octets = b"".join([surfaces[i] for i in ids.values.to_numpy().tolist()]) if ids.is_valid else b""
-                texts.append(octets.removeprefix(b" ").decode("utf-8", "replace"))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], [*batch.schema.names, "decoded"])
+            ids = [x.values.to_numpy() if x.is_valid else np.empty(0, np.int32) for x in batch.column(batch.schema.get_field_index("ids"))]
+            texts = _texts(ids, surfaces)
+            yield pa.RecordBatch.from_arrays([*batch.columns, texts], [*batch.schema.names, "decoded"])
 
     rows = rows.drop("decoded")
     return rows.mapInArrow(run, T.StructType([*rows.schema.fields, T.StructField("decoded", T.StringType())]))
@@ -431,6 +439,6 @@ def tokenize(docs: DataFrame, path: str = MODEL, giant: int = GIANT, chunk: int
     ``round_trip`` says that decoding gives the text back; the model has one sign for a space and
     for U+2581, so a text with the latter comes back with spaces.
     """
-    found = decode(encode(docs.select("doc_id", "text"), path, giant, chunk), path)
+    found = encode(docs.select("doc_id", "text"), path, giant, chunk, decoded=True)
     same = F.col("decoded") == F.replace("text", F.lit(_SPACE), F.lit(" "))
     return found.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", same.alias("round_trip"))
