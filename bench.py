@@ -64,6 +64,8 @@ def main() -> None:
         times[name] = run(name)
         print(f"{name} {times[name]}", file=sys.stderr, flush=True)
     turns = Q.turns(spark, directory).count()
+    training = Q.trained(spark, directory)  # fitted by train_model above, which the later model queries reuse
+    accuracy = training.accuracy().first()["accuracy"]
     print(
         json.dumps(
             {
@@ -72,6 +74,8 @@ def main() -> None:
                 "unit": "sec",
                 "queries": times,
                 "sf": directory.rstrip("/").rsplit("sf", 1)[-1],
+                "held_out_accuracy": round(accuracy, 4),
+                "model": {"trees": Q.MODEL.trees, "max_depth": Q.MODEL.max_depth, "folds": Q.MODEL.folds, "reused_by": ["detect_batch", "suite_eval"]},
                 "detect_ms_per_text": round(1000 * times["detect_batch"] / max(turns, 1), 3),
             }
         )

@@ -88,7 +88,9 @@ def confusion_matrix(pairs: DataFrame) -> DataFrame:
 
 
 def confusion_wide(pairs: DataFrame, labels: list[str]) -> DataFrame:
-    """One row per actual label, one column per predicted one."""
-    return (
-        pairs.groupBy("actual").pivot("predicted", sorted(labels)).agg(F.sum("n")).na.fill(0)
-    )
+    """One row per label in use, one column per label of ``labels``; a prediction outside them stops the job."""
+    predicted = F.col("predicted")
+    message = F.concat(F.lit("predicted label not listed: "), F.coalesce(predicted, F.lit("null")))
+    checked = pairs.withColumn("predicted", F.when(predicted.isin(*labels), predicted).otherwise(F.raise_error(message)))
+    cells = confusion_matrix(checked)
+    return cells.groupBy("actual").pivot("predicted", sorted(labels)).agg(F.sum("n")).na.fill(0)

@@ -37,19 +37,26 @@ def top_k(df: DataFrame, group: Sequence[str], order: Sequence[str], k: int, sal
     return salted.drop("_salt")
 
 
+def listed(label: str, labels: Sequence[str]) -> Column:
+    """The label, or a failure of the job when it is not one of ``labels``."""
+    message = F.concat(F.lit("label not in the language dimension: "), F.coalesce(F.col(label), F.lit("null")))
+    return F.when(F.col(label).isin(*labels), F.col(label)).otherwise(F.raise_error(message))
+
+
+def of_labels(stats: DataFrame, label: str, labels: Sequence[str]) -> DataFrame:
+    """The rows of ``stats`` for listed labels: with one row per label, ``len(labels)`` at most."""
+    dimension = stats.sparkSession.createDataFrame([(x,) for x in dict.fromkeys(labels)], f"{label} string")
+    return dimension.join(stats, label)
+
+
 def per_label(df: DataFrame, stats: DataFrame, label: str, labels: Sequence[str] = CODES) -> DataFrame:
     """Attach one row of statistics per label without moving ``df``.
 
-    The broadcast side is limited to ``len(labels)`` rows. A row whose label is not
-    listed stops the job, so the limit can never drop statistics that are needed.
-    (A filter on the label would do as well, but would be pushed below the shuffle of
-    the input and keep Spark from sharing it between the two sides.)
+    The broadcast side is joined with the labels first, which bounds it. A row whose label is not listed
+    stops the job, so no statistics that are needed can be missing.
     """
-    small = stats.limit(len(labels))
-    listed = F.when(F.col(label).isin(*labels), F.col(label)).otherwise(
-        F.raise_error(F.concat(F.lit("label not in the language dimension: "), F.coalesce(F.col(label), F.lit("null"))))
-    )
-    return df.withColumn(label, listed).join(F.broadcast(small), label, "left")
+    small = of_labels(stats, label, labels)
+    return df.withColumn(label, listed(label, labels)).join(F.broadcast(small), label, "left")
 
 
 def small_side(df: DataFrame, rows: int | None) -> DataFrame:
@@ -90,16 +97,16 @@ def rank_by_key(
 
 
 def _holder(
-    keyed: DataFrame, group: str, wanted: Column, digits: int, groups: int
+    keyed: DataFrame, group: str, wanted: Column, digits: int, labels: Sequence[str]
 ) -> DataFrame:
     """Per group, the bucket that holds position ``wanted`` and the position inside it."""
-    return (
+    found = (
         _bucket_sizes(keyed, group, digits)
         .withColumn("_need", wanted - F.col("_before"))
         .filter((F.col("_need") > 0) & (F.col("_need") <= F.col("_here")))
         .select(group, F.col("_bucket").alias("_holder"), "_need")
-        .limit(groups)
     )
+    return of_labels(found, group, labels)
 
 
 def key_cutoff(
@@ -117,8 +124,8 @@ def key_cutoff(
     bucket that holds the position; only that bucket's texts are ordered, with counts
     of their copies.
     """
-    keyed = df.select(group, text, sample_key(text, seed).alias("_key"))
-    holder = _holder(keyed, group, wanted, digits, len(labels))
+    keyed = df.select(listed(group, labels).alias(group), text, sample_key(text, seed).alias("_key"))
+    holder = _holder(keyed, group, wanted, digits, labels)
     inside = keyed.join(F.broadcast(holder), group).filter(F.left("_key", F.lit(digits)) == F.col("_holder"))
     copies = inside.groupBy(group, "_need", "_key", text).agg(F.count("*").alias("_n"))
     upto = F.sum("_n").over(Window.partitionBy(group).orderBy("_key", text).rowsBetween(Window.unboundedPreceding, 0))
@@ -141,7 +148,7 @@ def first_by_key(
     """
     bucket = F.left("_key", F.lit(digits))
     keyed = df.withColumn("_key", sample_key(text, seed))
-    holder = _holder(keyed, group, F.lit(k), digits, len(labels))
+    holder = _holder(keyed, group, F.lit(k), digits, labels)
     near = (
         per_label(keyed, holder, group, labels)
         .filter(F.col("_holder").isNull() | (bucket <= F.col("_holder")))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tongues.operators.ranking import first_by_key, key_cutoff, per_label, rank_by_key, sample_key
 from tongues.sources.dims import CODES
+from tongues.sources.scratch import stored
 
 
 def balance(
@@ -36,12 +37,11 @@ def balance_distinct(
             edge = "g" if part >= 1 else f"{int(part * 16**8):08x}"  # "g" sorts after every hex digit
             bound = bound.when(F.col(label) == code, F.lit(edge))
         below = rows.filter(sample_key("text", seed) < bound).distinct() if share else rows
-        found = below.cache()
+        found = stored(below, "sample")
         counts = {r[label]: r["n"] for r in found.groupBy(label).agg(F.count("*").alias("n")).collect()}
         short = [code for code, part in share.items() if part < 1 and counts.get(code, 0) < max_per_class]
         if not short:
             return first_by_key(found, label, "text", seed, max_per_class, labels)
-        found.unpersist()
         for code in short:
             share[code] = min(1.0, share[code] * 16)
 

@@ -112,6 +112,29 @@ CANDIDATES = {
     "UNION ALL SELECT language, page_id, link_rank, target FROM top WHERE link_rank <= 3",
 }
 
+_DECODED = "text"
+for _entity, _sign in (("&copy;", "©"), ("&middot;", "·"), ("&quot;", '"'), ("&lt;", "<"), ("&gt;", ">"), ("&amp;", "&")):
+    _DECODED = f"replace({_DECODED}, '{_entity}', '{_sign}')"
+# An unclosed paragraph holds all that follows it in its article.
+PARAGRAPHS = {
+    **LANGS,
+    "articles_of": "SELECT page_id, code AS language, string_split(regexp_extract(html, '(?s)<article>(.*?)</article>', 1), '<p>') AS ps "
+    "FROM pages JOIN langs ON regexp_extract(url, '^[a-z]+://[^/]+/([a-z]{2})/', 1) = iso WHERE html <> ''",
+    "pieces_of": "SELECT page_id, language, ps, unnest(range(2, len(ps) + 1)) AS i FROM articles_of",
+    "marked": "SELECT page_id, language, i, CASE WHEN contains(ps[i], '</p>') THEN split_part(ps[i], '</p>', 1) "
+    "ELSE array_to_string(ps[i:], '') END AS text FROM pieces_of",
+    "bare": "SELECT page_id, language, i, regexp_replace(text, '<[^>]*>', '', 'g') AS text FROM marked",
+    "decoded": f"SELECT page_id, language, i, {_strip(_DECODED)} AS text FROM bare",
+    "paragraphs": "SELECT page_id, language, row_number() OVER (PARTITION BY page_id ORDER BY i) - 1 AS para_pos, text "
+    "FROM decoded WHERE text <> ''",
+}
+PAGE_CLEAN = {
+    **PARAGRAPHS,
+    "page_pieces": _split("paragraphs", "page_id, language, para_pos"),
+    "page_normal": _normal("page_pieces", "page_id, language, para_pos, pos"),
+    "page_clean": _clean("page_normal", "page_id, language, para_pos, pos"),
+}
+
 # Augmentation
 
 
@@ -448,9 +471,53 @@ ORACLES: dict[str, str] = {
     ),
     "confusion_wide": _sql(
         PAIRS,
-        "SELECT actual, "
+        "SELECT label AS actual, "
         + ", ".join(f"coalesce(sum(n) FILTER (predicted = '{c}'), 0)::BIGINT AS {c}" for c in STAND_IN)
-        + " FROM pairs GROUP BY actual",
+        + " FROM labels_used LEFT JOIN pairs ON actual = label GROUP BY label",
     ),
     "stream_new_sentences": _sql(CORPUS, "SELECT language, text FROM corpus"),
+    "train_forest": _sql(
+        RANKED,
+        "SELECT language, r <= round(0.2 * least(n, 300)) AS is_test, count(*) AS n, true AS accurate FROM ranked WHERE r <= 300 GROUP BY ALL",
+    ),
+    "calibrate": _sql(
+        RANKED,
+        f"SELECT language, text, unnest(range({len(LANGUAGES)})) AS class_index, true AS whole, true AS in_range "
+        "FROM ranked WHERE r <= 300",
+    ),
+    "detect": _sql(
+        {
+            **TURNS,
+            "bare": f"SELECT conv_id, turn, {_strip('text')} AS text FROM turns",
+            "judged": f"SELECT *, CASE WHEN text = '' THEN '{ERROR_EMPTY}' WHEN length(text) < 3 THEN '{ERROR_SHORT}' END AS error FROM bare",
+            "fine": f"SELECT conv_id, turn, {_preview(80)} AS preview, length(text)::BIGINT AS text_length, "
+            f"len({WORDS_OF})::BIGINT AS word_count, CASE WHEN length(text) < 10 THEN '{WARN_VERY_SHORT}' "
+            f"WHEN length(text) < 25 THEN '{WARN_SHORT}' END AS warning, true AS level_fits, true AS first_fits, true AS note_fits "
+            "FROM judged WHERE error IS NULL",
+        },
+        "SELECT judged.conv_id, judged.turn, error, preview, text_length, word_count, warning, level_fits, first_fits, note_fits "
+        "FROM judged LEFT JOIN fine ON judged.conv_id = fine.conv_id AND judged.turn = fine.turn",
+    ),
+    "detect_batch": _sql(TURNS, f"SELECT conv_id, turn, {_preview(50)} AS preview, true AS known, true AS in_range FROM turns"),
+    "save_load_model": _sql(TURNS, "SELECT conv_id, turn, true AS same FROM turns"),
+    "stream_detect": _sql(TURNS, "SELECT conv_id, turn, true AS same FROM turns"),
+    "suite_eval": _sql(
+        CORPUS, "SELECT text, language AS expected, NULL::VARCHAR AS error, true AS alternatives_fit FROM corpus"
+    ),
+    "extract_paragraphs": _sql(PARAGRAPHS, "SELECT page_id, language, para_pos, text FROM paragraphs"),
+    "page_sentences": _sql(PAGE_CLEAN, "SELECT DISTINCT page_id, language, text FROM page_clean"),
+    "collect_sentences": _sql(
+        {
+            **{**CANDIDATES, **PAGE_CLEAN},
+            "known": "SELECT url, min(page_id) AS page_id FROM pages WHERE html <> '' GROUP BY url",
+            "reading": "SELECT c.language, k.page_id, min(c.source_rank * 21 + c.page_rank) AS page_order "
+            "FROM candidates c JOIN known k ON c.url = k.url GROUP BY ALL",
+            "first_seen": "SELECT r.language, text, min(page_order) AS page_order FROM page_clean p JOIN reading r ON p.page_id = r.page_id GROUP BY ALL",
+            "fresh": "SELECT language, page_order, count(*) AS n FROM first_seen GROUP BY ALL",
+            "running": "SELECT language, page_order, coalesce(sum(n) OVER (PARTITION BY language ORDER BY page_order "
+            "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM fresh",
+        },
+        "SELECT f.language, f.text FROM first_seen f JOIN running r ON f.language = r.language AND f.page_order = r.page_order "
+        f"WHERE before < {CAP}",
+    ),
 }
