@@ -83,3 +83,13 @@ def test_document_frequency_bounds(spark):
     df = spark.createDataFrame(rows, "id long, text string")
     kept = {r["term"] for r in N.vocabulary(N.doc_freq(N.term_freq(df, ["id"])), df).collect()}
     assert "dd" in kept and "cc" not in kept
+
+
+def test_row_local_weights_equal_joined_ones(spark):
+    texts = spark.createDataFrame([(1, "the cat the cats"), (2, "a dog"), (3, None), (4, ""), (5, "zzz")], "id long, text string")
+    terms = spark.createDataFrame([("th", 0, 1.5), ("at", 1, 2.0), (" do", 2, 3.0)], "term string, term_index long, idf double")
+    joined = {(r["id"], r["term_index"]): r["weight"] for r in N.tfidf(N.term_freq(texts, ["id"]), terms, ["id"], 3).collect()}
+    rows = N.tfidf_rows(texts, [("th", 1.5), ("at", 2.0), (" do", 3.0)], ["id"])
+    assert "Exchange" not in rows._jdf.queryExecution().executedPlan().toString()
+    assert {(r["id"], r["term_index"]): round(r["weight"], 12) for r in rows.collect()} == {k: round(v, 12) for k, v in joined.items()}
+    assert {i for i, _ in joined} == {1, 2}

@@ -171,3 +171,47 @@ def tfidf(postings: DataFrame, terms: DataFrame, ids: Sequence[str], max_feature
     )
     norm = F.sqrt(F.sum(F.col("_w") * F.col("_w")).over(Window.partitionBy(*ids)))
     return weighted.select(*ids, "term_index", (F.col("_w") / norm).alias("weight"))
+
+
+def tfidf_rows(
+    df: DataFrame, vocabulary: Sequence[tuple[str, float]], ids: Sequence[str], text: str = "text", min_n: int = 2, max_n: int = 5
+) -> DataFrame:
+    """``(ids, term_index, weight)`` of texts, without a shuffle: counts, weights and norm are of one row.
+
+    ``vocabulary`` lists ``(term, idf)`` in index order; its size is that of ``max_features``. Terms outside it
+    never leave the worker.
+    """
+    keys = list(ids)
+    fields = "".join(f"{name} {df.schema[name].dataType.simpleString()}, " for name in keys)
+    index = {term: i for i, (term, _) in enumerate(vocabulary)}
+    idfs = np.array([weight for _, weight in vocabulary])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        grams = cached(lambda word: [index[g] for g in word_grams(word, min_n, max_n) if g in index])
+        for batch in batches:
+            rows, found, weights = [], [], []
+
+            def flush(batch=batch):
+                at = pa.array(np.repeat(np.array(rows, dtype="int64"), [len(f) for f in found]))
+                columns = [batch.column(i).take(at) for i in range(len(keys))]
+                columns += [pa.array(np.concatenate(x) if x else np.empty(0, k), t) for x, k, t in
+                            ((found, "int64", pa.int64()), (weights, "float64", pa.float64()))]
+                return pa.RecordBatch.from_arrays(columns, names=[*keys, "term_index", "weight"])
+
+            held = 0
+            for row, value in enumerate(batch.column(len(keys))):
+                counts = count_grams(value.as_py(), grams)
+                if not counts:
+                    continue
+                at = np.fromiter(counts, "int64", len(counts))
+                w = (np.log(np.fromiter(counts.values(), "float64", len(counts))) + 1.0) * idfs[at]
+                rows.append(row)
+                found.append(at)
+                weights.append(w / np.sqrt(w @ w))
+                held += len(at)
+                if held >= FLUSH_POSTINGS:
+                    yield flush()
+                    rows, found, weights, held = [], [], [], 0
+            yield flush()
+
+    return df.select(*keys, text).mapInArrow(run, f"{fields}term_index long, weight double")

@@ -420,7 +420,7 @@ def turn_terms(spark, d):
 
 @query
 def q_tfidf(spark, d):
-    weights = N.tfidf(N.term_freq(turns(spark, d), TURN), turn_terms(spark, d), TURN)
+    weights = N.tfidf_rows(turns(spark, d), turn_vocabulary(spark, d), TURN)
     return weights.withColumn("weight", F.round("weight", 6))
 
 

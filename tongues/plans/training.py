@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tongues.config import TrainConfig
+from tongues.functions.stats import ALL
 from tongues.model.detector import Detector
 from tongues.model.forest import calibrate
 from tongues.operators import evaluate as E
@@ -83,7 +84,7 @@ def train_model(examples: DataFrame, config: TrainConfig = TrainConfig(), labels
 
     held = detector.detect_batch(rows.filter("is_test").withColumnRenamed("language", "expected"))
     predictions = held.select(F.col("expected").alias("language"), F.col("language_code").alias("predicted"))
-    return Training(detector, predictions, split_summary(rows, len(terms) + 18))
+    return Training(detector, predictions, split_summary(rows, len(terms) + len(ALL)))
 
 
 def suite_eval(detector: Detector, suite: DataFrame, top_n: int = 2) -> DataFrame:
