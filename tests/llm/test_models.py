@@ -15,7 +15,7 @@ from tongues.llm.components import components
 from tongues.llm.language import identify, predict, train
 from tongues.llm.mixing import DOMAINS, TARGETS, fit_rates, mix, mixed_documents
 from tongues.llm.sentencepiece import MODEL, Vocabulary, codes_of, compose, prefixes, tokenize
-from tongues.llm.simhash import BKTree, fingerprint, keep_one, near_links, simhash_groups
+from tongues.llm.simhash import SIMILAR_RADIUS, BKTree, fingerprint, keep_one, near_links, signature, simhash_groups, similar_groups
 from tongues.llm.vptree import VPTree, nearest
 
 ROOT = "/root/testdata/sf0.001"
@@ -87,6 +87,56 @@ def test_one_of_each_group_stays(documents):
     assert keep_one(documents([])).count() == 0
 
 
+def edited(rng, words, text, edits):
+    """``text`` with so many words replaced, six apart, so that each takes five shingles of its own."""
+    text = list(text)
+    for at in rng.sample(range(0, len(text), 6), edits):
+        text[at] = rng.choice(words)
+    return text
+
+
+def test_similar_texts_share_a_group_and_others_do_not(documents):
+    rng = random.Random(11)
+    words = [f"v{i}" for i in range(5000)]
+    originals = [[rng.choice(words) for _ in range(rng.randrange(240, 600))] for _ in range(60)]
+    texts = [" ".join(t) for t in originals]
+    texts += [" ".join(edited(rng, words, t, len(t) // 50)) for t in originals]  # similarity 0.82 or more
+    texts += [" ".join(t[:20] + [rng.choice(words) for _ in range(300)]) for t in originals]  # only a passage in common
+    found = {r["doc_id"]: r["component_id"] for r in similar_groups(documents(list(enumerate(texts)), clash=True)).collect()}
+    assert len(found) == 180 and all(found[i] == i for i in [*range(60), *range(120, 180)])
+    assert sum(found[60 + i] == i for i in range(60)) >= 57
+
+
+@pytest.mark.parametrize("tree", [3, 2048])
+def test_similar_groups_with_nulls_short_texts_and_split_buckets(documents, tree, monkeypatch):
+    import tongues.llm.simhash as simhash
+
+    monkeypatch.setattr(simhash, "TREE", tree)
+    rng = random.Random(3)
+    words = [f"v{i}" for i in range(900)]
+    base = [rng.choice(words) for _ in range(600)]
+    texts = [None, "", " \t", "One", "one", "two words", *[" ".join(edited(rng, words, base, 1)) for _ in range(30)], "x" * 100_000, "word " * 300_000]
+    rows = [*enumerate(texts), (6, texts[6]), (None, "one"), (None, None), (None, "nothing like it")]
+    found = similar_groups(documents(rows, clash=True)).collect()
+    assert len(found) == len(rows)
+    component = {r["doc_id"]: r["component_id"] for r in found if r["doc_id"] is not None}
+    assert [component[i] for i in range(6)] == [0, 0, 0, 3, 3, 5] and {component[i] for i in range(6, 36)} == {6}
+    assert component[36] == 36 and component[37] == 37
+    assert sorted(r["component_id"] for r in found if r["doc_id"] is None and r["component_id"] is not None) == [0, 3]
+    assert similar_groups(documents([])).count() == 0
+
+
+def test_signature_is_of_sets_and_votes():
+    lanes, buckets = signature(None)
+    assert not lanes.any() and not buckets.any()
+    a, b = signature("a b c d e f"), signature("A b  c\td e F")
+    assert (a[0] == b[0]).all() and (a[1] == b[1]).all()
+    long, once = signature("a b c d e " * 20_000), signature("a b c d e " * 3)
+    assert (long[1] == once[1]).all()
+    apart = sum((int(x) ^ int(y)).bit_count() for x, y in zip(signature("one two three four five six")[0] & (2**62 - 1), signature("six five four three two one")[0] & (2**62 - 1)))
+    assert apart > SIMILAR_RADIUS
+
+
 def test_bk_tree_finds_what_a_scan_finds():
     rng = random.Random(1)
     values = [rng.getrandbits(16) for _ in range(400)]
