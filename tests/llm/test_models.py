@@ -107,6 +107,39 @@ def test_similar_texts_share_a_group_and_others_do_not(documents):
     assert sum(found[60 + i] == i for i in range(60)) >= 57
 
 
+def plain_similar_groups(texts):
+    sets = [{tuple(w[i:i + 5]) for i in range(max(1, len(w) - 4))} for w in (t.split() for t in texts)]
+    parent = list(range(len(texts)))
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for i, a in enumerate(sets):
+        for j in range(i):
+            if 5 * len(a & sets[j]) >= 4 * len(a | sets[j]):
+                x, y = sorted((root(i), root(j)))
+                parent[y] = x
+    return [root(i) for i in range(len(texts))]
+
+
+@pytest.mark.parametrize("tree", [5, 2048])
+def test_less_similar_texts_stay_apart(documents, tree, monkeypatch):
+    import tongues.llm.simhash as simhash
+
+    monkeypatch.setattr(simhash, "TREE", tree)
+    rng = random.Random(23)
+    words = [f"v{i}" for i in range(5000)]
+    base = [rng.choice(words) for _ in range(600)]
+    texts = [" ".join(edited(rng, words, base, 12)) for _ in range(40)]  # a template: about 0.7 with each other
+    texts += [" ".join(edited(rng, words, texts[i].split(), 4)) for i in range(20)]  # and 0.94 with one of them
+    groups = plain_similar_groups(texts)
+    assert groups == [*range(40), *range(20)]
+    found = {r["doc_id"]: r["component_id"] for r in similar_groups(documents(list(enumerate(texts)))).collect()}
+    assert [found[i] for i in range(60)] == groups
+
+
 @pytest.mark.parametrize("tree", [3, 2048])
 def test_similar_groups_with_nulls_short_texts_and_split_buckets(documents, tree, monkeypatch):
     import tongues.llm.simhash as simhash

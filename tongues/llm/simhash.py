@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -23,6 +24,10 @@ TREE = 2048
 SIMILAR_WORDS, LANES, SIMILAR_RADIUS = 5, 4, 48
 #: Buckets of a text, and smallest hashes that must agree in one.
 BANDS, ROWS = 9, 3
+#: Texts are similar when their sets of shingles have at least this Jaccard similarity, as a fraction.
+SIMILAR = (4, 5)
+#: Candidates that leave a search at a time.
+PAIRS = 1 << 16
 LANE_NAMES = tuple(f"lane{i}" for i in range(LANES))
 _SALTS = np.arange(1, LANES + BANDS * ROWS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
 _BLOCK, _SLICE = 1 << 16, 1 << 12
@@ -145,27 +150,59 @@ def _spanning(own: list[int], asked: list[int], radius: int) -> list[tuple[int,
     return links
 
 
-def _search(radius: int):
-    """Links in each group of equal first four columns; after the role come the node and the lanes of its
-    fingerprint, of which the node itself is the only one when there are no others."""
+def _candidates(rows: np.ndarray, split: int, radius: int, spanning: bool) -> Iterator[tuple[int, int]]:
+    """Pairs of nodes within ``radius`` and of unlike roots, among the first ``split`` rows or, if there are others, between
+    those and the first; if ``spanning``, as many of these as connect what they connect. Rows hold the node, its root and its lanes."""
+    nodes, roots = rows[:, 0].tolist(), rows[:, 1].tolist()
+    values = [int.from_bytes(lanes.tobytes(), "little") for lanes in rows[:, 2:]]
+    parent = {r: r for r in roots}
+    tree, holders = BKTree(), {}
+
+    def root(x: int) -> int:
+        while (up := parent[x]) != x:
+            parent[x] = x = parent[up]
+        return x
+
+    def ask(i: int) -> Iterator[tuple[int, int]]:
+        for value in tree.near(values[i], radius):
+            for j in holders[value]:
+                a, b = root(roots[i]), root(roots[j])
+                if a != b:
+                    if spanning:
+                        parent[a] = b
+                    yield nodes[i], nodes[j]
+
+    for i in range(split):
+        if split == len(rows):
+            yield from ask(i)
+        if values[i] not in holders:
+            tree.add(values[i])
+        holders.setdefault(values[i], []).append(i)
+    for i in range(split, len(rows)):
+        yield from ask(i)
+
+
+def _search(radius: int, spanning: bool = True):
+    """Links in each group of equal first four columns; after the role come the node and, if the node is not its own
+    fingerprint, its root and the lanes of its fingerprint."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: np.ndarray | None = None
 
-        def links(rows: np.ndarray) -> list[tuple[int, int]]:
+        def links(rows: np.ndarray) -> Iterable[tuple[int, int]]:
             split = int(np.searchsorted(rows[:, 4], 1))
             if len(rows) < 2 or (rows[0, 2] != rows[0, 3] and split in (0, len(rows))):
-                return []
+                return ()
+            if rows.shape[1] > 6:
+                return _candidates(rows[:, 5:], split, radius, spanning)
             nodes = rows[:, 5].tolist()
-            if rows.shape[1] == 6:
-                return _spanning(nodes[:split], nodes[split:], radius)
-            values = [int.from_bytes(lanes.tobytes(), "little") for lanes in rows[:, 6:]]
-            node = dict(zip(values, nodes))
-            return [(node[a], node[b]) for a, b in _spanning(values[:split], values[split:], radius)]
+            return _spanning(nodes[:split], nodes[split:], radius)
 
-        def out(found: list[tuple[int, int]]) -> pa.RecordBatch:
-            a, b = zip(*found) if found else ((), ())
-            return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+        def out(found: Iterable[tuple[int, int]]) -> Iterator[pa.RecordBatch]:
+            found = iter(found)
+            while some := list(islice(found, PAIRS)):
+                a, b = zip(*some)
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
         for batch in batches:
             rows = np.column_stack([c.to_numpy(zero_copy_only=False).astype(np.int64) for c in batch.columns])
@@ -174,11 +211,10 @@ def _search(radius: int):
                 continue
             cuts = np.flatnonzero((rows[1:, :4] != rows[:-1, :4]).any(axis=1)) + 1
             edges = [0, *cuts.tolist()]
-            found = [x for a, b in zip(edges, edges[1:]) for x in links(rows[a:b])]
+            yield from out(x for a, b in zip(edges, edges[1:]) for x in links(rows[a:b]))
             held = rows[edges[-1]:]
-            yield out(found)
         if held is not None and len(held):
-            yield out(links(held))
+            yield from out(links(held))
 
     return run
 
@@ -200,9 +236,11 @@ def near_links(fps: DataFrame, radius: int = RADIUS, tree: int = TREE) -> DataFr
     return _links(banded.select("fp", "band", shift.bitwiseAND(mask).alias("value")), [], radius, tree)
 
 
-def _links(banded: DataFrame, lanes: list[str], radius: int, tree: int) -> DataFrame:
-    """Search the buckets of equal ``band`` and ``value``, as ``near_links`` describes."""
-    sizes = banded.groupBy("band", "value").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+def _links(banded: DataFrame, lanes: list[str], radius: int, tree: int, spanning: bool = True) -> DataFrame:
+    """Search the buckets of equal ``band`` and ``value``, as ``near_links`` describes; those of a single root, if it is known, have no links."""
+    unlike = [F.min("root") < F.max("root")] if "root" in lanes else []
+    sizes = banded.groupBy("band", "value").agg(F.count(F.lit(1)).alias("n"), *[u.alias("unlike") for u in unlike])
+    sizes = sizes.filter("n > 1 and unlike" if unlike else "n > 1")
     sizes = stored(sizes.select("band", "value", F.ceil(F.col("n") / tree).alias("shards")), "bk-sizes")
     homed = banded.join(sizes, ["band", "value"]).withColumn("home", F.pmod(F.xxhash64("fp", "band"), "shards"))
     placed = homed.select("fp", *lanes, "band", "value", "home", F.explode(F.expr("sequence(0L, shards - 1)")).alias("other"))
@@ -212,7 +250,7 @@ def _links(banded: DataFrame, lanes: list[str], radius: int, tree: int) -> DataF
         F.when(F.col("other") > F.col("home"), 1).otherwise(0).alias("role"), "fp", *lanes,
     )
     keys = ["band", "value", "s", "t"]
-    return placed.repartition(*keys).sortWithinPartitions(*keys, "role", "fp").mapInArrow(_search(radius), "a long, b long")
+    return placed.repartition(*keys).sortWithinPartitions(*keys, "role", "fp").mapInArrow(_search(radius, spanning), "a long, b long")
 
 
 def hex16(fp: Column) -> Column:
@@ -289,20 +327,75 @@ def signatures(docs: DataFrame, words: int = SIMILAR_WORDS) -> DataFrame:
     return rows.mapInArrow(run, f"doc_id long, twin long, fp long, {longs}, buckets array<long>")
 
 
+def shingle_set(text: str | None, words: int = SIMILAR_WORDS) -> np.ndarray:
+    """The distinct hashes of the whole text's shingles, in order."""
+    blocks = [np.unique(block.astype(np.uint64)) for block in _shingle_hashes(text, words)]
+    return np.unique(np.concatenate(blocks)) if blocks else np.empty(0, np.uint64)
+
+
+def _alike(a: np.ndarray, b: np.ndarray) -> bool:
+    """Whether two shingle sets have the Jaccard similarity ``SIMILAR`` or more."""
+    (above, below), least, most = SIMILAR, *sorted((len(a), len(b)))
+    if least * below < most * above:
+        return False
+    shared = len(np.intersect1d(a, b, assume_unique=True))
+    return shared * below >= (least + most - shared) * above
+
+
+def _confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, words: int) -> DataFrame:
+    """``a, b, alike``: the pairs of nodes, and whether the shingle sets of their texts are similar.
+
+    A set is computed once for each node in a pair, from the text with the node's ``twin``, and travels to its pairs by joins.
+    """
+    asked = pairs.select(F.col("a").alias("fp")).union(pairs.select(F.col("b").alias("fp"))).distinct()
+    asked = stored(nodes.join(asked, "fp", "left_semi").select("fp", "twin"), "similar-asked")
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [shingle_set(t.as_py(), words).tobytes() for t in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], ["fp", "shingles"])
+
+    texts = docs.select(F.col("text").cast("string").alias("_text"), twin().alias("twin")).join(asked, "twin")
+    shingles = stored(texts.select("fp", "_text").mapInArrow(sets, "fp long, shingles binary").dropDuplicates(["fp"]), "similar-sets")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            first, second = ((np.frombuffer(x.as_py(), np.uint64) for x in batch.column(i)) for i in (2, 3))
+            alike = pa.array([_alike(a, b) for a, b in zip(first, second)], pa.bool_())
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], alike], ["a", "b", "alike"])
+
+    both = pairs.join(shingles.toDF("a", "sa"), "a").join(shingles.toDF("b", "sb"), "b").select("a", "b", "sa", "sb")
+    return stored(both.mapInArrow(compare, "a long, b long, alike boolean"), "similar-confirmed")
+
+
 def similar_groups(docs: DataFrame, words: int = SIMILAR_WORDS, radius: int = SIMILAR_RADIUS) -> DataFrame:
     """``doc_id, twin, fp, component_id`` for every row, as ``simhash_groups``, but for texts that are merely similar.
 
     Texts of similarity 0.8 differ in a seventh of their fingerprint bits. No few bands of bits are
     free of so many differences, so the shards of the BK-trees are the buckets that ``signature`` names, and
-    wide fingerprints tell similar texts from others. Texts of a similarity of 0.8 share a bucket
-    with probability 0.998 and are within the radius with 0.95; dissimilar ones are not, whatever their number.
+    the trees yield candidates, which link only if the exact similarity of their shingle sets is ``SIMILAR`` or more.
+    Large groups have too many pairs to list. So at first only candidates that connect what all of them connect
+    are confirmed. Where some fail, others may hold instead: a second search lists every candidate between texts that
+    are not connected yet.
     """
     rows = stored(signatures(docs, words), "signatures")
     # copies are one member; texts of equal fingerprints may differ in buckets, and then each keeps its own
     members = stored(rows.select("fp", *LANE_NAMES, "buckets").distinct(), "signature-members")
-    nodes = stored(rows.groupBy("fp").agg(F.min("doc_id").alias("first")), "fingerprint-nodes")
-    banded = members.select("fp", *LANE_NAMES, F.posexplode("buckets").alias("band", "value"))
-    links = _links(banded, list(LANE_NAMES), radius, TREE)
+    nodes = stored(rows.groupBy("fp").agg(F.min("doc_id").alias("first"), F.min("twin").alias("twin")), "fingerprint-nodes")
+
+    def candidates(rooted: DataFrame, spanning: bool) -> DataFrame:
+        lanes = ["root", *LANE_NAMES]
+        banded = rooted.select("fp", *lanes, F.posexplode("buckets").alias("band", "value"))
+        found = _links(banded, lanes, radius, TREE, spanning)
+        return stored(found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "similar-pairs")
+
+    tried = _confirmed(candidates(members.withColumn("root", F.col("fp")), True), nodes, docs, words)
+    links = tried.filter("alike").select("a", "b")
+    if not tried.filter(~F.col("alike")).isEmpty():
+        roots = stored(components(links), "similar-roots")
+        rooted = members.join(roots, members["fp"] == roots["node"], "left").withColumn("root", F.coalesce("root", "fp"))
+        more = candidates(stored(rooted.drop("node"), "similar-rooted"), False).join(tried, ["a", "b"], "left_anti")
+        links = links.union(_confirmed(more, nodes, docs, words).filter("alike").select("a", "b"))
     return _grouped(rows.select("doc_id", "twin", "fp"), nodes, links)
 
 
