@@ -170,6 +170,21 @@ def test_signature_is_of_sets_and_votes():
     assert apart > SIMILAR_RADIUS
 
 
+def test_repeated_passages_neither_join_nor_part_texts(documents):
+    rng = random.Random(31)
+    words = [f"v{i}" for i in range(5000)]
+    refrain = "la la la la la " * 60
+    texts = [refrain + " ".join(rng.choice(words) for _ in range(140)) for _ in range(6)]  # a refrain in common, and no more
+    base = [rng.choice(words) for _ in range(300)]
+    texts += [" ".join(base), " ".join(base + base[:60] * 5)]  # a quoted passage, four shingles at its seams
+    lanes = [signature(t)[0] for t in texts]
+    assert len({tuple(x) for x in lanes[:6]}) == 6
+    assert sum(((int(x) ^ int(y)) % 2**64).bit_count() for x, y in zip(lanes[6], lanes[7])) < SIMILAR_RADIUS
+    assert plain_similar_groups(texts) == [*range(6), 6, 6]
+    found = {r["doc_id"]: r["component_id"] for r in similar_groups(documents(list(enumerate(texts)))).collect()}
+    assert [found[i] for i in range(8)] == [*range(6), 6, 6]
+
+
 def test_bk_tree_finds_what_a_scan_finds():
     rng = random.Random(1)
     values = [rng.getrandbits(16) for _ in range(400)]

@@ -281,23 +281,31 @@ def _grouped(rows: DataFrame, nodes: DataFrame, links: DataFrame) -> DataFrame:
     return rows.join(named, "fp").select("doc_id", "twin", "fp", "component_id")
 
 
+def shingle_set(text: str | None, words: int = SIMILAR_WORDS) -> np.ndarray:
+    """The distinct hashes of the whole text's shingles, in order."""
+    blocks = [np.unique(block.astype(np.uint64)) for block in _shingle_hashes(text, words)]
+    return np.unique(np.concatenate(blocks)) if blocks else np.empty(0, np.uint64)
+
+
 def signature(text: str | None, words: int = SIMILAR_WORDS) -> tuple[np.ndarray, np.ndarray]:
-    """A fingerprint of ``LANES`` times 64 bits, and one hash for each of ``BANDS`` buckets.
+    """A fingerprint of ``LANES`` times 64 bits, and one hash for each of ``BANDS`` buckets, both of the set of shingles.
 
-    The lanes are fingerprints under different hash functions. A bucket's hash is of the smallest
-    ``ROWS`` hashes of the set of shingles, each under a function of its own, so texts whose sets have the
+    The lanes are fingerprints under different hash functions, in which each distinct shingle of the whole text counts
+    once. A bucket's hash is of the smallest ``ROWS`` hashes of the set, each under a function of its own, so texts whose sets have the
     Jaccard similarity s share a bucket with probability s to the power of ``ROWS``. Without words all is zero.
     """
-    votes, total = np.zeros((LANES, 64), dtype=np.int64), 0
+    return _signed(shingle_set(text, words))
+
+
+def _signed(shingles: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    votes, total = np.zeros((LANES, 64), dtype=np.int64), len(shingles)
     lowest = np.full(BANDS * ROWS, np.iinfo(np.uint64).max, dtype=np.uint64)
-    for block in _shingle_hashes(text, words):
-        total += len(block)
-        for at in range(0, len(block), _SLICE):
-            hashes = block[at:at + _SLICE].astype(np.uint64)
-            votes += np.array([_votes(h) for h in _mixed(hashes, _SALTS[:LANES]).astype(">u8")])
-            lowest = np.minimum(lowest, _mixed(np.unique(hashes), _SALTS[LANES:]).min(axis=1))
     if not total:
         return np.zeros(LANES, dtype=np.int64), np.zeros(BANDS, dtype=np.int64)
+    for at in range(0, total, _SLICE):
+        hashes = shingles[at:at + _SLICE]
+        votes += np.array([_votes(h) for h in _mixed(hashes, _SALTS[:LANES]).astype(">u8")])
+        lowest = np.minimum(lowest, _mixed(hashes, _SALTS[LANES:]).min(axis=1))
     lanes = np.packbits(2 * votes > total, axis=1).view(">i8").ravel().astype(np.int64)
     buckets = np.fromiter((xxhash.xxh64_intdigest(b.tobytes(), SEED) for b in lowest.reshape(BANDS, ROWS)), np.uint64, BANDS)
     return lanes, buckets.view(np.int64)
@@ -310,16 +318,19 @@ def _mixed(hashes: np.ndarray, salts: np.ndarray) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, words: int = SIMILAR_WORDS) -> DataFrame:
-    """``doc_id, twin, fp``, the lanes and ``buckets`` of every row; ``fp`` is a hash of the lanes, which names them."""
+    """``doc_id, twin, fp``, the lanes and ``buckets`` of every row; ``fp`` is a hash of the set of shingles, so that only equal sets share it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [signature(t.as_py(), words) for t in batch.column(2)]
+            found, names = [], []
+            for t in batch.column(2):
+                shingles = shingle_set(t.as_py(), words)
+                found.append(_signed(shingles))
+                names.append(xxhash.xxh64_intdigest(shingles.tobytes(), SEED))
             lanes = np.array([f[0] for f in found], dtype=np.int64).reshape(-1, LANES)
-            names = np.array([xxhash.xxh64_intdigest(row.tobytes(), SEED) for row in lanes], dtype=np.uint64).view(np.int64)
             buckets = np.array([f[1] for f in found], dtype=np.int64).ravel()
             offsets = pa.array(np.arange(0, len(buckets) + 1, BANDS), pa.int32())
-            columns = [pa.array(names), *map(pa.array, np.ascontiguousarray(lanes.T)), pa.ListArray.from_arrays(offsets, pa.array(buckets))]
+            columns = [pa.array(np.array(names, dtype=np.uint64).view(np.int64)), *map(pa.array, np.ascontiguousarray(lanes.T)), pa.ListArray.from_arrays(offsets, pa.array(buckets))]
             yield pa.RecordBatch.from_arrays([*batch.columns[:2], *columns], ["doc_id", "twin", "fp", *LANE_NAMES, "buckets"])
 
     rows = docs.select(F.col("doc_id").cast("long"), twin().alias("twin"), F.col("text").cast("string"))
@@ -327,12 +338,6 @@ def signatures(docs: DataFrame, words: int = SIMILAR_WORDS) -> DataFrame:
     return rows.mapInArrow(run, f"doc_id long, twin long, fp long, {longs}, buckets array<long>")
 
 
-def shingle_set(text: str | None, words: int = SIMILAR_WORDS) -> np.ndarray:
-    """The distinct hashes of the whole text's shingles, in order."""
-    blocks = [np.unique(block.astype(np.uint64)) for block in _shingle_hashes(text, words)]
-    return np.unique(np.concatenate(blocks)) if blocks else np.empty(0, np.uint64)
-
-
 def _alike(a: np.ndarray, b: np.ndarray) -> bool:
     """Whether two shingle sets have the Jaccard similarity ``SIMILAR`` or more."""
     (above, below), least, most = SIMILAR, *sorted((len(a), len(b)))
@@ -379,7 +384,7 @@ def similar_groups(docs: DataFrame, words: int = SIMILAR_WORDS, radius: int = SI
     are not connected yet.
     """
     rows = stored(signatures(docs, words), "signatures")
-    # copies are one member; texts of equal fingerprints may differ in buckets, and then each keeps its own
+    # texts of equal sets are one member
     members = stored(rows.select("fp", *LANE_NAMES, "buckets").distinct(), "signature-members")
     nodes = stored(rows.groupBy("fp").agg(F.min("doc_id").alias("first"), F.min("twin").alias("twin")), "fingerprint-nodes")
 
