@@ -185,6 +185,17 @@ def test_repeated_passages_neither_join_nor_part_texts(documents):
     assert [found[i] for i in range(8)] == [*range(6), 6, 6]
 
 
+def test_radius_holds_pairs_at_the_least_similarity():
+    rng = random.Random(37)
+    for words, extra in ((8, 1), (204, 50)):  # 4 shingles in 5, and 200 in 250
+        apart = []
+        for _ in range(300):
+            text = [f"v{rng.getrandbits(40)}" for _ in range(words + extra)]
+            a, b = signature(" ".join(text[:words]))[0], signature(" ".join(text))[0]
+            apart.append(sum(((int(x) ^ int(y)) % 2**64).bit_count() for x, y in zip(a, b)))
+        assert np.mean([d <= SIMILAR_RADIUS for d in apart]) > 0.98
+
+
 def test_bk_tree_finds_what_a_scan_finds():
     rng = random.Random(1)
     values = [rng.getrandbits(16) for _ in range(400)]

@@ -19,9 +19,9 @@ SEED = 42
 RADIUS = 3
 #: Fingerprints in one tree; larger buckets are split into several.
 TREE = 2048
-#: Similar texts: words of a shingle, 64-bit lanes of a fingerprint, and differing bits at which they still link, which
-#: a similarity of 0.8 stays within in 19 of 20 cases.
-SIMILAR_WORDS, LANES, SIMILAR_RADIUS = 5, 4, 48
+#: Similar texts: words of a shingle, 64-bit lanes of a fingerprint, and differing bits at which they are still candidates, which
+#: a similarity of 0.8 stays within in 998 of 1,000 cases even for the smallest sets (four shingles and five).
+SIMILAR_WORDS, LANES, SIMILAR_RADIUS = 5, 4, 68
 #: Buckets of a text, and smallest hashes that must agree in one.
 BANDS, ROWS = 9, 3
 #: Texts are similar when their sets of shingles have at least this Jaccard similarity, as a fraction.
@@ -379,6 +379,7 @@ def similar_groups(docs: DataFrame, words: int = SIMILAR_WORDS, radius: int = SI
     Texts of similarity 0.8 differ in a seventh of their fingerprint bits. No few bands of bits are
     free of so many differences, so the shards of the BK-trees are the buckets that ``signature`` names, and
     the trees yield candidates, which link only if the exact similarity of their shingle sets is ``SIMILAR`` or more.
+    Of pairs at 0.8, buckets miss 0.2 % and the radius nearly none.
     Large groups have too many pairs to list. So at first only candidates that connect what all of them connect
     are confirmed. Where some fail, others may hold instead: a second search lists every candidate between texts that
     are not connected yet.
