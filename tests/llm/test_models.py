@@ -328,6 +328,14 @@ def test_copies_of_an_article_keep_their_text(spark):
     assert {r["text"] for r in found} == {"t always the same"}
 
 
+def test_copies_are_no_evidence_of_boilerplate(spark):
+    story = "<div class='wrap'><section><p>always</p> the same</section></div>"
+    rows = [(i, f"http://bare/{i}", f"<body><nav>{i}</nav>{story}</body>") for i in range(9)]  # copies but for what is ruled out
+    rows += [(20 + i, f"http://wrapped/{i}", f"<article>{story}</article>") for i in range(9)] + [(40, "http://row/0", f"<body>{story}</body>")] * 6
+    found = html.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert len(found) == len(rows) and {r["text"] for r in found} == {"always the same"}
+
+
 def brute(rows, k=20):
     usable = [(i, np.array(v)) for i, v in rows if i is not None and v and None not in v and np.isfinite(v).all() and any(v)]
     out = {}

@@ -200,6 +200,10 @@ class Page:
         for key, seen in self.seen.items():
             yield key, _hash(*[a for a, _ in seen]), _hash(*[b for _, b in seen])
 
+    def words(self) -> int:
+        """A hash of all text that is not ruled out: pages of a host that agree in it are copies of one page."""
+        return _hash(*[b.text for b in self.blocks])
+
     def main_text(self, unimportant: frozenset[int]) -> str:
         """Blocks of the articles, or else of the main region, or else of the body, without removed branches."""
         regions = {b.region for b in self.blocks}
@@ -231,26 +235,29 @@ def style_tree(pages: DataFrame) -> DataFrame:
     A node is an element's path of tags, classes and ids. With ``m`` pages that have it, the importance of its
     layouts is the entropy of their shares to the base ``m``, and that of its content likewise:
     0 when all pages agree, 1 when no two do. With ``l`` layouts the two are mixed as
-    ``(1 - DECAY**l) * layouts + DECAY**l * content``. Counts are partly added up before the shuffle, so a host
-    may have any number of pages.
+    ``(1 - DECAY**l) * layouts + DECAY**l * content``. Pages of equal text, whatever is ruled out in them, are one page: copies are
+    no evidence of what a site repeats. Of their layouts and contents the smallest hashes count. No host or node is
+    gathered in one task, so a host may have any number of pages.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hosts, nodes, kinds, hashes = [], [], [], []
+            hosts, pages, nodes, layouts, contents = [], [], [], [], []
             for url, html in zip(batch.column(0), batch.column(1)):
-                host = host_of(url.as_py())
-                for node, layout, content in Page(html.as_py() or "").style():
-                    hosts += (host, host)
-                    nodes += (node, node)
-                    kinds += (0, 1)
-                    hashes += (layout, content)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(hosts, pa.string()), pa.array(nodes, pa.int64()), pa.array(kinds, pa.int32()), pa.array(hashes, pa.int64())],
-                ["host", "node", "kind", "hash"],
-            )
-
-    seen = pages.select("url", "html").mapInArrow(run, "host string, node long, kind int, hash long")
+                host, page = host_of(url.as_py()), Page(html.as_py() or "")
+                words = page.words()
+                for node, layout, content in page.style():
+                    hosts.append(host)
+                    pages.append(words)
+                    nodes.append(node)
+                    layouts.append(layout)
+                    contents.append(content)
+            longs = [pa.array(x, pa.int64()) for x in (pages, nodes, layouts, contents)]
+            yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), *longs], ["host", "page", "node", "layout", "content"])
+
+    seen = pages.select("url", "html").mapInArrow(run, "host string, page long, node long, layout long, content long")
+    seen = seen.groupBy("host", "page", "node").agg(F.min("layout").alias("layout"), F.min("content").alias("content"))
+    seen = seen.select("host", "node", F.posexplode(F.array("layout", "content")).alias("kind", "hash"))
     counted = seen.groupBy("host", "node", "kind", "hash").agg(F.count(F.lit(1)).alias("c"))
     sums = counted.groupBy("host", "node", "kind").agg(
         F.sum("c").alias("m"), F.sum(F.col("c") * F.log(F.col("c").cast("double"))).alias("clogc"), F.count(F.lit(1)).alias("l")
@@ -274,7 +281,8 @@ def extract(pages: DataFrame) -> DataFrame:
     Then the branches go whose importance in the host's style tree is low, except paragraphs, headings,
     lists and tables inside an article, which repeat where pages are copies of one another. The page's
     articles are its text, or else its main element, or else what is left of the body. Blocks are
-    joined by a space. Repeated rows and clashing columns do no harm: three columns are read.
+    joined by a space. Repeated rows and copies of a page do no harm, as they count once in the style tree, nor do clashing
+    columns: three columns are read.
     """
     pages = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html")
     tree = style_tree(pages).filter((F.col("importance") < THRESHOLD) & (F.col("pages") >= LEAST_PAGES))
