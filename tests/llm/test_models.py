@@ -328,6 +328,18 @@ def test_copies_of_an_article_keep_their_text(spark):
     assert {r["text"] for r in found} == {"t always the same"}
 
 
+@pytest.mark.parametrize(("page", "text"), [
+    ("<div class='content has-sidebar'><article>story</article></div>", "story"), ("<div class='no-sidebar'><p>story</p></div>", "story"),
+    ("<article class='post comments-open'>story</article>", "story"), ("<div id='page' class='with-menu'><p>story</p></div>", "story"),
+    ("<article class='post sponsored'><p>a</p><p class='related-work'>b</p></article>", "a b"), ("<div class='has-header'>story</div>", "story"),
+    ("<div class=widget><h1>t</h1><article>story</article></div>", "story"), ("<main><div class=widget><article>story</article></div></main>", "story"), ("<header><main>story</main></header>", "story"),
+    ("<div class='related'><article>card</article></div><article>a long story</article>", "a long story"),
+    ("<p>a</p><div class='site-header'>b</div><div id='ad-1'>c</div><div class='x share-buttons'>d</div><div class=cookie_notice>e</div>", "a"),
+])
+def test_only_whole_names_rule_out_and_never_the_article(spark, page, text):
+    assert html.Page(page).main_text(frozenset()) == text
+
+
 def test_copies_are_no_evidence_of_boilerplate(spark):
     story = "<div class='wrap'><section><p>always</p> the same</section></div>"
     rows = [(i, f"http://bare/{i}", f"<body><nav>{i}</nav>{story}</body>") for i in range(9)]  # copies but for what is ruled out

@@ -30,13 +30,15 @@ NEVER = frozenset(
     "head title script style noscript template iframe object svg canvas audio video map nav footer aside form button "
     "select option textarea input label dialog menu datalist".split()
 )
-#: Words in class or id, and roles, that mark what is not the article.
+#: Names in class or id, and roles, that mark what is not the article.
 NOT_CONTENT = frozenset(
     "nav navbar navigation menu masthead footer sidebar aside ad ads advert adverts advertisement adsense banner sponsor "
     "sponsored promo promotion cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe "
     "subscription signup login search share sharing social related recommended comment comments disqus respond replies "
     "breadcrumb breadcrumbs pagination pager toolbar widget hidden".split()
 )
+#: What may stand before or after such a name, as in site-header or share-buttons; of anything else a name is not known to be one.
+BEFORE, AFTER = frozenset("site page main global".split()), frozenset("bar box area block list links buttons posts form".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar".split())
 #: Elements that never make a block of their own.
 INLINE = frozenset(
@@ -59,9 +61,19 @@ _WORD = re.compile(r"[a-z]+")
 _NUMBER = re.compile(r"\d+")
 
 
+@dataclass
+class Mark:
+    """An element whose class or id says that it is not content, and the most text of an article or main element in it, without that of an article in a main."""
+
+    holds: int = 0
+
+
 @dataclass
 class Node:
-    """An open element: its place in the style tree, and whether text below it may be content."""
+    """An open element: its place in the style tree, and whether text below it may be content.
+
+    ``marks`` are the elements around it that their names rule out, and ``size`` the text so far in an article or main element.
+    """
 
     tag: str
     key: int
@@ -69,23 +81,35 @@ class Node:
     ruled_out: bool
     region: str
     around: tuple[int, ...] = ()
+    marks: tuple[Mark, ...] = ()
+    size: int = 0
     children: list[int] = field(default_factory=list)
     text: xxhash.xxh64 = field(default_factory=xxhash.xxh64)
 
 
 @dataclass
 class Block:
-    """Text of one block, its region, and the keys of the elements around it that entropy may remove."""
+    """Text of one block, its region, the keys of the elements around it that entropy may remove, and those that names rule out."""
 
     text: str
     region: str
     around: tuple[int, ...]
+    marks: tuple[Mark, ...] = ()
 
 
 def _hash(*parts: object) -> int:
     return int.from_bytes(xxhash.xxh64_digest("\x1f".join(map(str, parts))), "big", signed=True)
 
 
+def _not_content(name: list[str], header: bool) -> bool:
+    """Whether the parts of a class or id say that the element is not content: each is such a word, but for what may stand around one."""
+    if name and name[0] in BEFORE:
+        name = name[1:]
+    while name and name[-1] in AFTER:
+        name = name[:-1]
+    return bool(name) and all(part in NOT_CONTENT or part == "header" and header for part in name)
+
+
 class Page:
     """One pass over a page's tags: blocks of text, and what the page adds to the site style tree."""
 
@@ -94,6 +118,7 @@ class Page:
         self.seen: dict[int, list[tuple[int, int]]] = {}
         self.parts: list[str] = []
         self.open: Counter[str] = Counter()
+        self.largest = 0
         self.stack = [Node("", _hash("root"), 0, False, "")]
         at, end = 0, len(html)
         while at < end:
@@ -114,6 +139,8 @@ class Page:
         while len(self.stack) > 1:
             self._pop()
         self._flush()
+        # the article or main element with the most text is not ruled out by the name of what holds it
+        self.blocks = [b for b in self.blocks if all(m.holds and m.holds == self.largest for m in b.marks)]
 
     def _data(self, text: str) -> None:
         if text:
@@ -129,7 +156,9 @@ class Page:
             text = " ".join(unescape("".join(self.parts)).split())
             self.parts = []
             if text:
-                self.blocks.append(Block(text, self.stack[-1].region, self.stack[-1].around))
+                node = self.stack[-1]
+                self.blocks.append(Block(text, node.region, node.around, node.marks))
+                node.size += len(text)
 
     def _open(self, tag: str, attributes: str) -> None:
         if tag == "br":
@@ -147,16 +176,18 @@ class Page:
         named = {m[1].lower(): (m[2] or m[3] or m[4] or "").lower() for m in _ATTRIBUTE.finditer(attributes)}
         label = f"{tag}.{' '.join(sorted(_NUMBER.sub('0', named.get('class', '')).split()))}#{_NUMBER.sub('0', named.get('id', ''))}"
         role = named.get("role", "")
-        words = set(_WORD.findall(f"{named.get('class', '')} {named.get('id', '')}"))
+        names = [_WORD.findall(name) for name in f"{named.get('class', '')} {named.get('id', '')}".split()]
         region = parent.region or ("article" if tag == "article" else "main" if tag == "main" or role == "main" else "")
         if parent.region == "main" and tag == "article":
             region = "article"
         out = parent.ruled_out or tag in NEVER or role in ROLES
-        if tag not in ("html", "body"):
-            out = out or bool(words & NOT_CONTENT) and tag != "main"
-            out = out or (tag == "header" or "header" in words) and not parent.region
+        marked = tag == "header" and not parent.region
+        if tag not in ("html", "body", "main", "article") and role != "main":
+            marked = marked or any(_not_content(name, not parent.region) for name in names)
         deep = parent.depth >= DEPTH
-        node = Node(tag, parent.key if deep else _hash(parent.key, label), parent.depth + (not deep), out, region, parent.around)
+        node = Node(tag, parent.key if deep else _hash(parent.key, label), parent.depth + (not deep), out, region, parent.around, parent.marks)
+        if marked:
+            node.marks += (Mark(),)
         if not deep and not (region and tag in PROSE) and tag not in ("html", "body", "main", "article"):
             node.around += (node.key,)
         parent.children.append(_hash(label))
@@ -191,6 +222,12 @@ class Page:
         self._flush()
         node = self.stack.pop()
         self.open[node.tag] -= 1
+        if node.region == self.stack[-1].region:
+            self.stack[-1].size += node.size
+        else:
+            self.largest = max(self.largest, node.size)
+            for mark in node.marks:
+                mark.holds = max(mark.holds, node.size)
         content = int.from_bytes(node.text.digest(), "big", signed=True)
         self.stack[-1].text.update(node.text.digest())
         self.seen.setdefault(node.key, []).append((_hash(*node.children), content))
@@ -277,7 +314,8 @@ def style_tree(pages: DataFrame) -> DataFrame:
 def extract(pages: DataFrame) -> DataFrame:
     """``page_id, url, text, n_chars`` of every row of ``pages``; null html is empty, and so is its text.
 
-    Elements that are never part of an article, and those whose class, id or role says so, are ruled out first.
+    Elements that are never part of an article, and those whose role or whole class or id says so, are ruled out first; a class or id does
+    not rule out the article or main element with the most text, nor what holds it.
     Then the branches go whose importance in the host's style tree is low, except paragraphs, headings,
     lists and tables inside an article, which repeat where pages are copies of one another. The page's
     articles are its text, or else its main element, or else what is left of the body. Blocks are
