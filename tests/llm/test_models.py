@@ -340,6 +340,15 @@ def test_only_whole_names_rule_out_and_never_the_article(spark, page, text):
     assert html.Page(page).main_text(frozenset()) == text
 
 
+@pytest.mark.parametrize(("page", "text"), [
+    ("<body><p>The story, which is long.</p><article>card</article></body>", "The story, which is long. card"),
+    ("<main><div>The story, which is long.</div><article>card</article></main><p>x</p>", "The story, which is long. card"),
+    ("<main><h1>Title</h1><p>Lead</p><div>by me</div><article>The story, which is long.</article></main><p>x</p>", "Title Lead The story, which is long."),
+])
+def test_the_region_with_most_text_is_chosen(page, text):
+    assert html.Page(page).main_text(frozenset()) == text
+
+
 def test_copies_are_no_evidence_of_boilerplate(spark):
     story = "<div class='wrap'><section><p>always</p> the same</section></div>"
     rows = [(i, f"http://bare/{i}", f"<body><nav>{i}</nav>{story}</body>") for i in range(9)]  # copies but for what is ruled out

@@ -82,6 +82,7 @@ class Node:
     region: str
     around: tuple[int, ...] = ()
     marks: tuple[Mark, ...] = ()
+    prose: bool = False
     size: int = 0
     children: list[int] = field(default_factory=list)
     text: xxhash.xxh64 = field(default_factory=xxhash.xxh64)
@@ -89,12 +90,14 @@ class Node:
 
 @dataclass
 class Block:
-    """Text of one block, its region, the keys of the elements around it that entropy may remove, and those that names rule out."""
+    """Text of one block, its region, the keys of the elements around it that entropy may remove, those that names rule out,
+    and whether it is of a paragraph-like element."""
 
     text: str
     region: str
     around: tuple[int, ...]
     marks: tuple[Mark, ...] = ()
+    prose: bool = False
 
 
 def _hash(*parts: object) -> int:
@@ -157,7 +160,7 @@ class Page:
             self.parts = []
             if text:
                 node = self.stack[-1]
-                self.blocks.append(Block(text, node.region, node.around, node.marks))
+                self.blocks.append(Block(text, node.region, node.around, node.marks, node.prose))
                 node.size += len(text)
 
     def _open(self, tag: str, attributes: str) -> None:
@@ -185,7 +188,7 @@ class Page:
         if tag not in ("html", "body", "main", "article") and role != "main":
             marked = marked or any(_not_content(name, not parent.region) for name in names)
         deep = parent.depth >= DEPTH
-        node = Node(tag, parent.key if deep else _hash(parent.key, label), parent.depth + (not deep), out, region, parent.around, parent.marks)
+        node = Node(tag, parent.key if deep else _hash(parent.key, label), parent.depth + (not deep), out, region, parent.around, parent.marks, parent.prose or tag in PROSE)
         if marked:
             node.marks += (Mark(),)
         if not deep and not (region and tag in PROSE) and tag not in ("html", "body", "main", "article"):
@@ -242,10 +245,19 @@ class Page:
         return _hash(*[b.text for b in self.blocks])
 
     def main_text(self, unimportant: frozenset[int]) -> str:
-        """Blocks of the articles, or else of the main region, or else of the body, without removed branches."""
-        regions = {b.region for b in self.blocks}
-        region = "article" if "article" in regions else "main" if "main" in regions else ""
-        return " ".join(b.text for b in self.blocks if b.region == region and not unimportant.intersection(b.around))
+        """Blocks of the region where most of the text is, without removed branches.
+
+        With most in articles, these are theirs and the paragraph-like ones of main around them; with most in main, main's and the articles'; and
+        with most outside of both, all.
+        """
+        blocks = [b for b in self.blocks if not unimportant.intersection(b.around)]
+        sizes = Counter()
+        for b in blocks:
+            sizes[b.region] += len(b.text)
+        if sizes["article"] + sizes["main"] >= sizes[""]:
+            whole = sizes["main"] > sizes["article"]
+            blocks = [b for b in blocks if b.region == "article" or b.region == "main" and (whole or b.prose)]
+        return " ".join(b.text for b in blocks)
 
 
 def host_of(url: str | None) -> str:
@@ -317,8 +329,8 @@ def extract(pages: DataFrame) -> DataFrame:
     Elements that are never part of an article, and those whose role or whole class or id says so, are ruled out first; a class or id does
     not rule out the article or main element with the most text, nor what holds it.
     Then the branches go whose importance in the host's style tree is low, except paragraphs, headings,
-    lists and tables inside an article, which repeat where pages are copies of one another. The page's
-    articles are its text, or else its main element, or else what is left of the body. Blocks are
+    lists and tables inside an article, which repeat where pages are copies of one another. The text
+    is of the articles and of main's paragraphs around them, or of all of main, or of the whole body, by where most of it is. Blocks are
     joined by a space. Repeated rows and copies of a page do no harm, as they count once in the style tree, nor do clashing
     columns: three columns are read.
     """
