@@ -270,6 +270,18 @@ def test_rates_match_targets(spark):
     assert np.abs(np.where(rate > 0, pull, np.minimum(pull, 0))).max() < 0.05
 
 
+def test_no_clean_document_is_given_up_for_a_share(spark):
+    rng = np.random.default_rng(8)
+    p = np.concatenate([rng.dirichlet([6, 1, 1.5], 900), rng.dirichlet([0.5, 0.5, 4], 200), rng.dirichlet([0.5, 4, 0.5], 200)])
+    rows = spark.createDataFrame([(100, [float(x) for x in q]) for q in p], "tokens long, p array<double>")
+    best = p.argmax(axis=1)
+    rates = fit_rates(rows, TARGETS, least=1.0)
+    rate = rates.at(p)
+    assert (fit_rates(rows, TARGETS).at(p)[best == 0] < 1).any() and (rate[best == 0] >= 1).all()
+    assert rate[best == 2].max() < 0.05 and np.allclose((100 * rate) @ p, rates.reached)
+    assert "toxic: wanted 0.0000, reached" in rates.shares()
+
+
 def test_mixing_of_odd_tables(spark, documents):
     labels = spark.createDataFrame([(1, 1, 0), (2, 0, 0), (3, 1, 1), (3, None, 1), (None, 1, 1), (4, None, None), (77, 1, 0)], "doc_id long, quality int, toxic int")
     rows = [(1, "good words"), (2, "*** %%%"), (3, "bad idiot"), (4, None), (5, ""), (5, ""), (None, "good words")]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 import re
 import zlib
 from collections.abc import Iterator
@@ -17,20 +18,23 @@ from tongues.llm.linear import Model, Settings, fit
 from tongues.llm.sampling import smallest
 from tongues.sources.scratch import stored
 
-#: The domains, and the share of all tokens that each is to have after mixing. Clean documents have a little
-#: probability of the other domains; a share of zero could only be met by giving up many of them.
+#: The domains, and the share of all tokens that each is to have after mixing. Clean documents have a little probability
+#: of the other domains, and none of them is given up for a share: where it cannot be met otherwise it is not met.
 DOMAINS = ("clean", "junk", "toxic")
-TARGETS = {"clean": 0.943, "junk": 0.05, "toxic": 0.007}
+TARGETS = {"clean": 0.95, "junk": 0.05, "toxic": 0.0}
 #: Labelled documents per domain that the classifier is fitted on.
 PER_DOMAIN = 800
+#: Least rate of documents whose best posterior is the first domain, so that none of them is lost.
+LEAST = 1.0
 #: Tokens aimed at, as a multiple of what the first domain has divided by its target: the first
-#: domain's documents then have rates of about this much, so that none of them is lost.
+#: domain's documents then have rates of about this much.
 HEADROOM = 1.1
 BUCKETS = 1 << 15
 #: The penalties leave some hundred words and signs of weight in the model.
 SETTINGS = Settings(alpha=0.2, l1=12.0, l2=0.01, epochs=8)
 #: Weight of staying near rate one, which makes the solution unique; most steps; relative error that ends them.
 RIDGE, STEPS, CLOSE = 1e-4, 40, 1e-4
+_LOG = logging.getLogger(__name__)
 _TOKEN = re.compile(rb"[a-z\x80-\xff]+|[.,;:]|[^a-z\x80-\xff\s0-9.,;:]+")
 
 
@@ -103,6 +107,7 @@ class Rates:
     totals: np.ndarray
     wanted: np.ndarray
     reached: np.ndarray
+    least: float = 0.0
 
     def at(self, p: np.ndarray) -> np.ndarray:
         """Rates of the documents with posteriors ``p``, one row each."""
@@ -111,12 +116,22 @@ class Rates:
     def replay(self, p: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Rates after all steps, and the point at which the next gradient is taken."""
         rate = ahead = np.ones(len(p))
+        floor = self.floor(p)
         for pull, momentum in zip(self.pulls, self.momenta):
             then = rate
-            rate = np.maximum(0.0, ahead - (p @ pull + RIDGE * (ahead - 1.0)) / (1.0 + RIDGE))
+            rate = np.maximum(floor, ahead - (p @ pull + RIDGE * (ahead - 1.0)) / (1.0 + RIDGE))
             ahead = rate + momentum * (rate - then)
         return rate, ahead
 
+    def floor(self, p: np.ndarray) -> np.ndarray:
+        """``least`` for documents whose best posterior is the first domain's, and zero for the others."""
+        return np.where((p[:, :1] >= p).all(axis=1), self.least, 0.0)
+
+    def shares(self) -> str:
+        """Shares of all tokens that were wanted and reached."""
+        both = [x / x.sum() if x.sum() > 0 else x for x in (self.wanted, self.reached)]
+        return ", ".join(f"{d}: wanted {a:.4f}, reached {b:.4f}" for d, a, b in zip(DOMAINS, *both))
+
 
 def _matrix(column: pa.Array) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
@@ -142,13 +157,14 @@ def _totals(rows: DataFrame, rates: Rates) -> np.ndarray:
     return sums.reshape(2, width)
 
 
-def fit_rates(rows: DataFrame, targets: dict[str, float], headroom: float = HEADROOM) -> Rates:
-    """Nonnegative rates whose expected tokens by domain match the targets, by projected gradient.
+def fit_rates(rows: DataFrame, targets: dict[str, float], headroom: float = HEADROOM, least: float = 0.0) -> Rates:
+    """Nonnegative rates, of ``least`` or more for documents that are best in the first domain, whose expected tokens by domain match the targets, by projected gradient.
 
     ``rows`` has ``tokens`` and ``p``. Minimised is the squared error of each domain's expected tokens,
     relative to what the domain has now, plus a small pull towards rate one. In these units the
     gradient of a document depends on its posteriors alone and the step length is one, so a step is
     one pass over narrow rows that returns a few sums, and the driver keeps a few numbers a step.
+    Where the bound forbids the targets, the error that remains is the smallest.
     A domain without tokens is left out; with no tokens at all every rate is one.
     """
     none = Rates([], [], np.zeros(len(DOMAINS)), np.zeros(len(DOMAINS)), np.zeros(len(DOMAINS)))
@@ -156,9 +172,9 @@ def fit_rates(rows: DataFrame, targets: dict[str, float], headroom: float = HEAD
     total = now.sum()
     share = np.array([targets.get(d, 0.0) for d in DOMAINS])
     if total <= 0 or share[0] <= 0 or now[0] <= 0:
-        return Rates([], [], now, now, now)
+        return Rates([], [], now, now, now, least)
     wanted = headroom * now[0] / share[0] * share
-    rates = Rates([], [], now, wanted, now)
+    rates = Rates([], [], now, wanted, now, least)
     weight, ahead, speed = np.where(now > 0, now, np.inf), now, 1.0
     for _ in range(STEPS):
         rates.pulls.append((ahead - wanted) / weight)
@@ -168,6 +184,7 @@ def fit_rates(rows: DataFrame, targets: dict[str, float], headroom: float = HEAD
         rates.reached, ahead = _totals(rows, rates)
         if np.abs(rates.reached - wanted).max() <= CLOSE * total:
             break
+    _LOG.info("mixing: %s", rates.shares())
     return rates
 
 
@@ -175,11 +192,12 @@ def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = N
     """``doc_id, twin, tokens``, the posteriors ``p_*``, ``rate`` and ``copies`` of every row of ``docs``.
 
     ``copies`` is the rate rounded up or down by a hash of id and text, so that it equals the rate on average;
-    rounding is repeatable. The shares of tokens after mixing match ``targets``.
+    rounding is repeatable. Documents that are clean by their best posterior have a rate of ``LEAST`` or more. The shares of tokens
+    after mixing match ``targets`` as nearly as that permits; the log tells the shares reached.
     """
     model = train_domains(docs, labels)
     rows = stored(posteriors(docs, model), "posteriors")
-    rates = fit_rates(rows, targets or TARGETS)
+    rates = fit_rates(rows, targets or TARGETS, least=LEAST)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
