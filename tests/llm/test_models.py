@@ -282,6 +282,20 @@ def test_no_clean_document_is_given_up_for_a_share(spark):
     assert "toxic: wanted 0.0000, reached" in rates.shares()
 
 
+def test_steps_go_on_until_rates_settle_and_a_limit_is_told(spark, monkeypatch, caplog):
+    import tongues.llm.mixing as mixing
+
+    rng = np.random.default_rng(9)
+    p = np.array([[0.5, 0.3, 0.2]]) + rng.uniform(-0.02, 0.02, (300, 1)) * np.array([[1, -0.5, -0.5]])  # hardly told apart
+    rows = spark.createDataFrame([(100, [float(x) for x in q]) for q in p], "tokens long, p array<double>").coalesce(1).cache()
+    rates = fit_rates(rows, TARGETS)
+    moved = np.abs(rates.replay(p)[2]).max()
+    assert moved <= mixing.FLAT and len(rates.pulls) < mixing.STEPS and not caplog.records
+    monkeypatch.setattr(mixing, "STEPS", 2)
+    fit_rates(rows, TARGETS)
+    assert "2 steps did not settle" in caplog.text and "reached" in caplog.text
+
+
 def test_mixing_of_odd_tables(spark, documents):
     labels = spark.createDataFrame([(1, 1, 0), (2, 0, 0), (3, 1, 1), (3, None, 1), (None, 1, 1), (4, None, None), (77, 1, 0)], "doc_id long, quality int, toxic int")
     rows = [(1, "good words"), (2, "*** %%%"), (3, "bad idiot"), (4, None), (5, ""), (5, ""), (None, "good words")]

@@ -32,8 +32,9 @@ HEADROOM = 1.1
 BUCKETS = 1 << 15
 #: The penalties leave some hundred words and signs of weight in the model.
 SETTINGS = Settings(alpha=0.2, l1=12.0, l2=0.01, epochs=8)
-#: Weight of staying near rate one, which makes the solution unique; most steps; relative error that ends them.
-RIDGE, STEPS, CLOSE = 1e-4, 40, 1e-4
+#: Weight of staying near rate one, which makes the solution unique; relative error, or change of any rate in a step, that ends the
+#: steps; and steps after which they end in any case, with a warning.
+RIDGE, CLOSE, FLAT, STEPS = 1e-4, 1e-4, 1e-3, 400
 _LOG = logging.getLogger(__name__)
 _TOKEN = re.compile(rb"[a-z\x80-\xff]+|[.,;:]|[^a-z\x80-\xff\s0-9.,;:]+")
 
@@ -113,15 +114,17 @@ class Rates:
         """Rates of the documents with posteriors ``p``, one row each."""
         return self.replay(p)[0]
 
-    def replay(self, p: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Rates after all steps, and the point at which the next gradient is taken."""
+    def replay(self, p: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Rates after all steps, the point at which the next gradient is taken, and the projected gradient of the last step."""
         rate = ahead = np.ones(len(p))
+        slope = np.zeros(len(p))
         floor = self.floor(p)
         for pull, momentum in zip(self.pulls, self.momenta):
             then = rate
             rate = np.maximum(floor, ahead - (p @ pull + RIDGE * (ahead - 1.0)) / (1.0 + RIDGE))
+            slope = ahead - rate
             ahead = rate + momentum * (rate - then)
-        return rate, ahead
+        return rate, ahead, slope
 
     def floor(self, p: np.ndarray) -> np.ndarray:
         """``least`` for documents whose best posterior is the first domain's, and zero for the others."""
@@ -137,24 +140,29 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
 
 
-def _totals(rows: DataFrame, rates: Rates) -> np.ndarray:
-    """Expected tokens by domain, at the rates and at the point ahead of them: one row from each task."""
+def _totals(rows: DataFrame, rates: Rates) -> tuple[np.ndarray, np.ndarray, float]:
+    """Expected tokens by domain, at the rates and at the point ahead of them, and the largest projected gradient: a few rows from each task."""
     width = len(DOMAINS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = np.zeros(2 * width)
+        sums, steepest = np.zeros(2 * width), 0.0
         for batch in batches:
             if batch.num_rows:
                 p, tokens = _matrix(batch.column(1)), batch.column(0).to_numpy(zero_copy_only=False)
-                rate, ahead = rates.replay(p)
+                rate, ahead, slope = rates.replay(p)
                 sums += np.concatenate([(tokens * rate) @ p, (tokens * ahead) @ p])
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(2 * width)), pa.array(sums)], ["k", "v"])
+                steepest = max(steepest, float(np.abs(slope).max()))
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(2 * width + 1)), pa.array([*sums, steepest])], ["k", "v"])
 
-    found = rows.select("tokens", "p").mapInArrow(run, "k long, v double").groupBy("k").agg(F.sum("v").alias("v"))
-    sums = np.zeros(2 * width)
+    found = rows.select("tokens", "p").mapInArrow(run, "k long, v double").groupBy("k").agg(F.sum("v").alias("v"), F.max("v").alias("most"))
+    sums, steepest = np.zeros(2 * width), 0.0
     for r in found.collect():
-        sums[r["k"]] = r["v"]
-    return sums.reshape(2, width)
+        if r["k"] < 2 * width:
+            sums[r["k"]] = r["v"]
+        else:
+            steepest = r["most"]
+    now, ahead = sums.reshape(2, width)
+    return now, ahead, steepest
 
 
 def fit_rates(rows: DataFrame, targets: dict[str, float], headroom: float = HEADROOM, least: float = 0.0) -> Rates:
@@ -164,11 +172,12 @@ def fit_rates(rows: DataFrame, targets: dict[str, float], headroom: float = HEAD
     relative to what the domain has now, plus a small pull towards rate one. In these units the
     gradient of a document depends on its posteriors alone and the step length is one, so a step is
     one pass over narrow rows that returns a few sums, and the driver keeps a few numbers a step.
+    Steps go on until the targets are met or the projected gradient is small; ``STEPS`` without either are warned of.
     Where the bound forbids the targets, the error that remains is the smallest.
     A domain without tokens is left out; with no tokens at all every rate is one.
     """
     none = Rates([], [], np.zeros(len(DOMAINS)), np.zeros(len(DOMAINS)), np.zeros(len(DOMAINS)))
-    now, _ = _totals(rows, none)
+    now, _, _ = _totals(rows, none)
     total = now.sum()
     share = np.array([targets.get(d, 0.0) for d in DOMAINS])
     if total <= 0 or share[0] <= 0 or now[0] <= 0:
@@ -181,9 +190,11 @@ def fit_rates(rows: DataFrame, targets: dict[str, float], headroom: float = HEAD
         faster = (1.0 + np.sqrt(1.0 + 4.0 * speed * speed)) / 2.0
         rates.momenta.append((speed - 1.0) / faster)
         speed = faster
-        rates.reached, ahead = _totals(rows, rates)
-        if np.abs(rates.reached - wanted).max() <= CLOSE * total:
+        rates.reached, ahead, steepest = _totals(rows, rates)
+        if np.abs(rates.reached - wanted).max() <= CLOSE * total or steepest <= FLAT:
             break
+    else:
+        _LOG.warning("mixing: %d steps did not settle the rates, which still change by %.2g a step; %s", STEPS, steepest, rates.shares())
     _LOG.info("mixing: %s", rates.shares())
     return rates
 
