@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tongues.llm.audit import audit_filters
 from tongues.llm.exact import exact_groups
 from tongues.llm.html import extract
 from tongues.llm.language import identify
@@ -16,6 +17,8 @@ from tongues.llm.pii import personal_data
 from tongues.llm.sentencepiece import tokenize
 from tongues.llm.sharding import shard_documents
 from tongues.llm.simhash import hex16, simhash_groups
+from tongues.llm.spelling import spelling_groups
+from tongues.llm.suffixes import remove_repeats
 from tongues.llm.vptree import nearest
 from tongues.sources.tables import table
 
@@ -62,10 +65,22 @@ def op10_line_dedup(spark: SparkSession, directory: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op11_spelling(spark: SparkSession, directory: str) -> DataFrame:
+    return spelling_groups(table(spark, directory, "documents"))
+
+
+def op12_suffix_dedup(spark: SparkSession, directory: str) -> DataFrame:
+    return remove_repeats(table(spark, directory, "documents"))
+
+
+def op13_filter_audit(spark: SparkSession, directory: str) -> DataFrame:
+    return audit_filters(table(spark, directory, "documents"), table(spark, directory, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_pii, op2_mixing, op3_simhash, op4_sentencepiece, op5_exact_dedup, op6_language_id, op7_html_text, op8_sharding,
-        op9_nearest, op10_line_dedup,
+        op9_nearest, op10_line_dedup, op11_spelling, op12_suffix_dedup, op13_filter_audit,
     )
 }
