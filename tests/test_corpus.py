@@ -12,7 +12,7 @@ from tongues.operators import sampling as B
 from tongues.operators import sets as U
 from tongues.operators.ranking import first_by_key, rank_by_key, top_k
 from tongues.operators.summaries import corpus_counts, length_stats
-from tongues.plans.build import build_corpus, collect_sentences, pages_to_read, save_corpus
+from tongues.plans.build import build_corpus, collect_sentences, page_table, pages_to_read, save_corpus
 from tongues.sources import dims
 from tongues.sources.corpus import corpus_stats, read_corpus, read_seed, write_corpus, write_stats
 
@@ -206,12 +206,15 @@ def test_collecting_pages(spark, monkeypatch, tmp_path):
     pages, sources = site(spark)
     rules = dims.link_rule_dim(spark)
     config = CorpusConfig(max_pages_per_source=3)
-    order = [r["page_id"] for r in pages_to_read(pages, sources, rules, config).orderBy("page_order").collect()]
-    assert order == [1, 2, 3, 5]  # the third link is beyond the limit, a second snapshot is not read
-    monkeypatch.setattr("tongues.operators.ranking.MAX_BROADCAST_ROWS", -1)
-    monkeypatch.setattr("tongues.operators.links.MAX_BROADCAST_ROWS", -1)
-    shuffled = pages_to_read(pages, sources, rules, config).orderBy("page_order").collect()
-    assert [r["page_id"] for r in shuffled] == order
+    for most, host_limit in (("10MB", 1000), ("-1", 1000), ("-1", 1)):
+        monkeypatch.setattr("tongues.plans.build.MAX_HOSTS", host_limit)
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", most)
+        try:
+            records, _ = page_table(pages, dims.rule_dim(spark), sources)
+            order = [r["page_id"] for r in pages_to_read(records, sources, rules, config).orderBy("page_order").collect()]
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        assert order == [1, 2, 3, 5]  # the third link is beyond the limit, a second snapshot is not read
 
     texts = by_language(collect_sentences(pages, sources, config=config).collect())["english"]
     assert any("alpha" in t for t in texts) and not any("gamma" in t for t in texts)

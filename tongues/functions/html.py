@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import re
 from bisect import bisect_left, bisect_right
+from collections.abc import Sequence
 from functools import lru_cache
 from html import unescape
 from html.parser import HTMLParser
@@ -43,45 +44,81 @@ def _matches(selector: str, tag: str, classes: list[str]) -> bool:
     return not part or part in " ".join(classes)
 
 
+Rule = tuple[tuple[str, ...], tuple[str, ...]]  # selectors to include and to exclude
+_MEMORY = 50_000
+
+
+class Selection:
+    """Several rules as one: which of their selectors an element matches, remembered by its tag and classes."""
+
+    def __init__(self, rules: Sequence[Rule] = ()):
+        self.excluded = list(dict.fromkeys(tuple(exclude) for _, exclude in rules))
+        self.rules = [(tuple(include), self.excluded.index(tuple(exclude))) for include, exclude in rules]
+        self.memory: dict[tuple[str, str], tuple[list[int], list[tuple[int, int]]]] = {}
+
+    def of(self, tag: str, names: str) -> tuple[list[int], list[tuple[int, int]]]:
+        """Exclusions that hide the element, and ``(rule, selector)`` pairs that include it."""
+        found = self.memory.get((tag, names))
+        if found is None:
+            classes = names.split()
+            hides = [k for k, selectors in enumerate(self.excluded) if any(_matches(s, tag, classes) for s in selectors)]
+            takes = [(r, i) for r, (include, _) in enumerate(self.rules) for i, s in enumerate(include) if _matches(s, tag, classes)]
+            found = hides, takes
+            if len(self.memory) >= _MEMORY:
+                self.memory.clear()
+            self.memory[tag, names] = found
+        return found
+
+
 class PageReader(HTMLParser):
-    """Collects ranges for ``include`` selectors and for links, skipping ``exclude`` subtrees.
+    """One pass over a page for any number of rules: its text, its links, and the ranges that each rule selects or hides.
 
     An end tag closes up to the nearest open tag of its name and is ignored when
-    there is none; no tag closes another one implicitly.
+    there is none; no tag closes another one implicitly. The text is that of the whole page; what a rule
+    excludes is a range of it.
     """
 
-    def __init__(self, include: tuple[str, ...] = (), exclude: tuple[str, ...] = ()):
+    def __init__(self, selection: Selection):
         super().__init__(convert_charrefs=False)
-        self.include, self.exclude = include, exclude
+        self.selection = selection
         self.pieces: list[str] = []
         self.size = 0
-        self.open: list[tuple[str, list[list], bool, bool]] = []  # name, ranges, hidden, silent
+        self.open: list[tuple[str, list[list], list[int], bool]] = []  # name, ranges, exclusions, silent
         self.open_names: dict[str, int] = {}
-        self.hidden = self.silent = 0
-        self.ranges: list[list] = []  # [selector index, start, end]
+        self.depth = [0] * len(selection.excluded)
+        self.silent = 0
+        self.hidden: list[list[list[int]]] = [[] for _ in selection.excluded]  # outermost hidden [start, end]
+        self.ranges: list[list[list[int]]] = [[] for _ in selection.rules]  # [selector, start, end]
         self.links: list[list] = []  # [href, start, end]
 
     def handle_starttag(self, tag, attrs):
-        values = dict(attrs)
-        classes = (values.get("class") or "").split()
-        hidden = any(_matches(s, tag, classes) for s in self.exclude)
+        names, href = "", None
+        for name, value in attrs:
+            if name == "class":
+                names = value or ""
+            elif name == "href":
+                href = value or ""
+        hides, takes = self.selection.of(tag, names)
         started: list[list] = []
-        if not (hidden or self.hidden):
-            for i, s in enumerate(self.include):
-                if _matches(s, tag, classes):
-                    started.append([i, self.size, None])
-            self.ranges.extend(started)
-            if tag == "a" and "href" in values:
-                link = [values["href"] or "", self.size, None]
-                self.links.append(link)
-                started.append(link)
+        for k in hides:
+            if not self.depth[k]:
+                self.hidden[k].append([self.size, self.size])
+            self.depth[k] += 1
+        for r, i in takes:
+            if not self.depth[self.selection.rules[r][1]]:
+                item = [i, self.size, self.size]
+                self.ranges[r].append(item)
+                started.append(item)
+        if tag == "a" and href is not None:
+            item = [href, self.size, self.size]
+            self.links.append(item)
+            started.append(item)
         if tag in VOID:
-            self._end(started)
+            self._end(started, hides)
             return
         silent = tag in SILENT
-        self.hidden += hidden
         self.silent += silent
-        self.open.append((tag, started, hidden, silent))
+        self.open.append((tag, started, hides, silent))
         self.open_names[tag] = self.open_names.get(tag, 0) + 1
 
     def handle_startendtag(self, tag, attrs):
@@ -91,20 +128,22 @@ class PageReader(HTMLParser):
 
     def handle_endtag(self, tag):
         while self.open_names.get(tag):
-            name, started, hidden, silent = self.open.pop()
+            name, started, hides, silent = self.open.pop()
             self.open_names[name] -= 1
-            self.hidden -= hidden
             self.silent -= silent
-            self._end(started)
+            self._end(started, hides)
             if name == tag:
                 return
 
-    def _end(self, started):
+    def _end(self, started, hides):
         for item in started:
             item[2] = self.size
+        for k in hides:
+            self.depth[k] -= 1
+            self.hidden[k][-1][1] = self.size
 
     def handle_data(self, data):
-        if not (self.hidden or self.silent):
+        if not self.silent:
             self.pieces.append(data)
             self.size += len(data)
 
@@ -122,24 +161,31 @@ class PageReader(HTMLParser):
     def read(self, html: str) -> str:
         self.feed(html)
         self.close()
-        for _, started, _, _ in self.open:
-            self._end(started)
+        for _, started, hides, _ in reversed(self.open):
+            self._end(started, hides)
         return "".join(self.pieces)
 
 
 def page_links(html: str) -> list[tuple[str, str]]:
     """``(href, lower-cased text)`` of every link, in document order."""
-    reader = PageReader()
+    reader = PageReader(Selection())
     text = reader.read(html)
     return [(href, text[start:end].lower()) for href, start, end in reader.links]
 
 
-def _paragraph_ranges(html, include, exclude) -> tuple[str, list[tuple[int, int]]]:
-    reader = PageReader(tuple(include), tuple(exclude))
-    text = reader.read(html)
-    found = sorted(reader.ranges, key=lambda r: r[0])  # stable: document order within a selector
+def _trimmed(text: str, ranges: list[list[int]], hidden: list[list[int]]) -> tuple[str, list[tuple[int, int]]]:
+    """The text without what is hidden, and the non-blank ranges in it, selector by selector and in document order."""
+    cuts = [h for h in hidden if h[1] > h[0]]
+    if cuts:
+        starts = [c[0] for c in cuts]
+        lost = [0]
+        for start, end in cuts:
+            lost.append(lost[-1] + end - start)
+        text = "".join(text[a:b] for a, b in zip([0, *(c[1] for c in cuts)], [*starts, len(text)]))
+        # no range starts inside of what is hidden from its rule, and none ends there
+        ranges = [[i, a - lost[bisect_right(starts, a - 1)], b - lost[bisect_right(starts, b - 1)]] for i, a, b in ranges]
     trimmed = []
-    for _, start, end in found:
+    for _, start, end in sorted(ranges, key=lambda r: r[0]):  # stable: document order within a selector
         body = text[start:end]
         left = len(body) - len(body.lstrip())
         stop = len(body.rstrip())
@@ -150,18 +196,54 @@ def _paragraph_ranges(html, include, exclude) -> tuple[str, list[tuple[int, int]
 
 def paragraphs(html: str, include, exclude):
     """Trimmed text of every matching element, selector by selector."""
-    text, ranges = _paragraph_ranges(html, include, exclude)
+    reader = PageReader(Selection([(tuple(include), tuple(exclude))]))
+    text, ranges = _trimmed(reader.read(html), reader.ranges[0], reader.hidden[0])
     for start, end in ranges:
         yield text[start:end]
 
 
 def sentence_pieces(html: str, include, exclude, max_length: int):
-    """Distinct sentences of all matching elements, white space collapsed.
+    """``distinct_pieces`` of what one rule selects."""
+    reader = PageReader(Selection([(tuple(include), tuple(exclude))]))
+    return distinct_pieces(*_trimmed(reader.read(html), reader.ranges[0], reader.hidden[0]), max_length)
+
+
+def read_page(html: str, selection: Selection, max_length: int) -> tuple[str, list[tuple[str, int, int]], dict[str, int]]:
+    """The texts of a page's links, its links as ``(href, start, size)`` in them, and its sentences with the rules that select them.
+
+    Links whose ranges overlap share their text, so links that are never closed cost no more than the page. Rules are bits of a
+    number in the order of ``selection``; those that select the same ranges are worked out once.
+    """
+    reader = PageReader(selection)
+    text = reader.read(html)
+    parts, shift, upto, moved = [], 0, 0, {}
+    for _, start, end in reader.links:  # in order of their starts
+        if start > upto:
+            shift += start - upto
+            upto = start
+        moved[start] = start - shift
+        if end > upto:
+            parts.append(text[upto:end])
+            upto = end
+    links = [(href, moved[start], end - start) for href, start, end in reader.links]
+    alike: dict[tuple, int] = {}
+    for r, (_, k) in enumerate(selection.rules):
+        if reader.ranges[r]:
+            key = k, tuple(map(tuple, reader.ranges[r]))
+            alike[key] = alike.get(key, 0) | 1 << r
+    sentences: dict[str, int] = {}
+    for (k, ranges), rules in alike.items():
+        for piece in distinct_pieces(*_trimmed(text, ranges, reader.hidden[k]), max_length):
+            sentences[piece] = sentences.get(piece, 0) | rules
+    return "".join(parts), links, sentences
+
+
+def distinct_pieces(text: str, ranges: list[tuple[int, int]], max_length: int):
+    """Distinct sentences of all ranges of a text, white space collapsed.
 
-    Overlapping elements share their inner sentences, which are emitted once: the
-    work stays linear in the page. Pieces longer than ``max_length`` are left out.
+    Overlapping ranges share their inner sentences, which are emitted once: the
+    work stays linear in the text. Pieces longer than ``max_length`` are left out.
     """
-    text, ranges = _paragraph_ranges(html, include, exclude)
     breaks = [m.span() for m in _BREAK.finditer(text)]
     starts = [b[0] for b in breaks]
     inner = [0] * (len(breaks) + 1)

@@ -2,15 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tongues.config import CorpusConfig
-from tongues.functions import html as H
-from tongues.operators.ranking import MAX_BROADCAST_ROWS, small_side
+from tongues.operators.pages import anchor, page_records
 
 DEFAULT = CorpusConfig()
 
@@ -18,40 +14,33 @@ DEFAULT = CorpusConfig()
 def page_links(pages: DataFrame, *keep: str) -> DataFrame:
     """One row per link with a ``href``: position, href and lower-cased text.
 
-    Pages without the start of a link never leave the JVM.
+    Pages without the start of a link never leave the JVM. Links leave the page's record one by one, so links
+    that are never closed do not multiply the page.
     """
     keep = keep or ("page_id",)
-    fields = [f for f in pages.schema.fields if f.name in keep]
-    schema = ", ".join([f"{f.name} {f.dataType.simpleString()}" for f in fields])
-    names = [f.name for f in fields]
-
-    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            rows = [
-                (*key, pos, href, text)
-                for *key, html in batch.itertuples(index=False, name=None)
-                for pos, (href, text) in enumerate(H.page_links(html))
-            ]
-            yield pd.DataFrame(rows, columns=[*names, "pos", "href", "anchor"])
-
-    return (
-        pages.filter(F.col("html").rlike(r"(?i)<a[\s/]"))
-        .select(*names, "html")
-        .mapInPandas(read, f"{schema}, pos long, href string, anchor string")
-    )
+    records = page_records(pages.filter(F.col("html").rlike(r"(?i)<a[\s/]")), keep=keep)
+    rows = records.select(*keep, "anchors", F.posexplode("links").alias("pos", "_link"))
+    return rows.select(*keep, F.col("pos").cast("long").alias("pos"), F.col("_link.href").alias("href"), anchor(F.col("_link")).alias("anchor"))
 
 
 def netloc(url: Column) -> Column:
     return F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1)
 
 
+def absolute(href: Column, base: Column) -> Column:
+    """Address that a link on the page ``base`` leads to, null when it is neither rooted nor http."""
+    return F.when(href.startswith("/"), F.concat(F.lit("https://"), netloc(base), href)).when(href.startswith("http"), href)
+
+
+def is_article(target: Column, text: Column, patterns: Column, base: Column) -> Column:
+    """Whether a link stays on its page's host and its address or text holds one of the patterns."""
+    hit = F.exists(patterns, lambda p: F.contains(F.lower(target), p) | F.contains(text, p))
+    return hit & F.contains(target, netloc(base))
+
+
 def resolve_links(links: DataFrame, base: str = "url") -> DataFrame:
     """Absolute ``target`` of each link; links that are neither rooted nor http are dropped."""
-    href = F.col("href")
-    target = F.when(href.startswith("/"), F.concat(F.lit("https://"), netloc(F.col(base)), href)).when(
-        href.startswith("http"), href
-    )
-    return links.withColumn("target", target).filter(F.col("target").isNotNull())
+    return links.withColumn("target", absolute(F.col("href"), F.col(base))).filter(F.col("target").isNotNull())
 
 
 def article_links(links: DataFrame, rules: DataFrame, base: str = "url") -> DataFrame:
@@ -59,28 +48,38 @@ def article_links(links: DataFrame, rules: DataFrame, base: str = "url") -> Data
 
     ``rules`` is the link-pattern dimension, one row per configured language.
     """
-    address, host = F.lower("target"), netloc(F.col(base))
-    hit = F.exists("patterns", lambda p: F.contains(address, p) | F.contains(F.col("anchor"), p))
-    return (
-        links.join(F.broadcast(rules), "language")
-        .filter(hit & F.contains(F.col("target"), host))
-        .drop("patterns")
-    )
+    hit = is_article(F.col("target"), F.col("anchor"), F.col("patterns"), F.col(base))
+    return links.join(F.broadcast(rules), "language").filter(hit).drop("patterns")
+
+
+def article_targets(records: DataFrame, rules: DataFrame, base: str = "url") -> DataFrame:
+    """``records`` with ``targets``: the addresses of ``article_links``, in document order, as an array of each page's own.
+
+    The same as resolving and filtering rows of links, within the row that holds them. ``records`` have a ``language``.
+    """
+    url = F.col(base)
+    resolved = F.transform("links", lambda link: F.struct(absolute(link["href"], url).alias("target"), anchor(link).alias("anchor")))
+    # a condition on null is no hit, so links that resolve to nothing go as well
+    kept = F.filter(resolved, lambda link: is_article(link["target"], link["anchor"], F.col("patterns"), url))
+    return records.join(F.broadcast(rules), "language").withColumn("targets", F.transform(kept, lambda link: link["target"])).drop("patterns")
+
+
+def first_targets(pages: DataFrame, *page: str, limit: int = DEFAULT.max_links_per_page) -> DataFrame:
+    """First ``limit`` different ``targets`` of each row, numbered from 1. Nothing leaves its row, so nothing is shuffled."""
+    page = page or ("page_id",)
+    best = F.slice(F.array_distinct("targets"), 1, limit)
+    return pages.select(*page, F.posexplode(best)).select(*page, (F.col("pos") + 1).cast("long").alias("link_rank"), F.col("col").alias("target"))
 
 
 def top_links(links: DataFrame, *page: str, limit: int = DEFAULT.max_links_per_page) -> DataFrame:
-    """First ``limit`` different targets of each page, numbered from 1 in document order.
+    """``first_targets`` of links that come as rows, with ``pos`` and ``target``: those of a page meet in one shuffle first.
 
-    The links of one page, which its size bounds, meet in one shuffle; repeats are
-    removed in place, keeping the first.
+    Links that are still in their page's record need no shuffle; see ``article_targets``.
     """
     page = page or ("page_id",)
     ordered = F.array_sort(F.collect_list(F.struct("pos", "target")))
     listed = links.groupBy(*page).agg(ordered.alias("_all"))
-    different = F.array_distinct(F.transform("_all", lambda link: link["target"]))
-    return listed.select(*page, F.posexplode(F.slice(different, 1, limit))).select(
-        *page, (F.col("pos") + 1).cast("long").alias("link_rank"), F.col("col").alias("target")
-    )
+    return first_targets(listed.withColumn("targets", F.transform("_all", lambda link: link["target"])), *page, limit=limit)
 
 
 def page_candidates(sources: DataFrame, links: DataFrame, per_source: int = DEFAULT.max_pages_per_source) -> DataFrame:
@@ -92,26 +91,17 @@ def page_candidates(sources: DataFrame, links: DataFrame, per_source: int = DEFA
     return own.unionByName(linked)
 
 
-def page_frontier(candidates: DataFrame, pages: DataFrame, rows: int | None = None) -> DataFrame:
+def page_frontier(candidates: DataFrame, pages: DataFrame) -> DataFrame:
     """Candidates that were fetched, with the page that answers their address.
 
-    ``rows`` is an upper bound of the candidates, if one is known. When it is small they
-    are broadcast and the page table is only scanned. Otherwise addresses and ids are
-    shuffled, never page bodies. One snapshot per address keeps the page side unique, so
+    Only addresses and ids are joined, never page bodies. One snapshot per address keeps the page side unique, so
     a popular address is skewed on one side only, which adaptive execution splits.
     """
-    known = pages.select("url", "page_id")
-    if rows is not None and rows <= MAX_BROADCAST_ROWS:
-        known = known.join(F.broadcast(candidates.select("url")), "url", "left_semi")
-    known = known.groupBy("url").agg(F.min("page_id").alias("page_id"))
-    found = known.join(small_side(candidates, rows), "url")
-    return found.select("language", "source_rank", "page_rank", "url", "page_id")
-
-
-def frontier_pages(
-    frontier: DataFrame, pages: DataFrame, config: CorpusConfig = DEFAULT, rows: int | None = None
-) -> DataFrame:
-    """Pages to read per language with their ``page_order``; later repeats of a page are dropped."""
+    known = pages.groupBy("url").agg(F.min("page_id").alias("page_id"))
+    return candidates.join(known, "url").select("language", "source_rank", "page_rank", "url", "page_id")
+
+
+def reading_order(frontier: DataFrame, config: CorpusConfig = DEFAULT) -> DataFrame:
+    """``(language, page_id, page_order)``: sources in their order, each followed by its links; later repeats of a page are dropped."""
     order = F.col("source_rank") * (config.max_links_per_page + 1) + F.col("page_rank")
-    first = frontier.groupBy("language", "page_id").agg(F.min(order).alias("page_order"))
-    return pages.select("page_id", "url", "html").join(small_side(first, rows), "page_id")
+    return frontier.groupBy("language", "page_id").agg(F.min(order).alias("page_order"))

@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from tongues.sources.dims import CODES
 
 SALTS = 64
-MAX_BROADCAST_ROWS = 1_000_000
 BUCKET_DIGITS = 4  # leading hex digits of an md5 key: 65,536 even buckets per group
 
 
@@ -59,11 +58,6 @@ def per_label(df: DataFrame, stats: DataFrame, label: str, labels: Sequence[str]
     return df.withColumn(label, listed(label, labels)).join(F.broadcast(small), label, "left")
 
 
-def small_side(df: DataFrame, rows: int | None) -> DataFrame:
-    """Broadcast ``df`` when it has a known bound of few rows; join by shuffle otherwise."""
-    return F.broadcast(df) if rows is not None and rows <= MAX_BROADCAST_ROWS else df
-
-
 def _bucket_sizes(keyed: DataFrame, group: str, digits: int) -> DataFrame:
     """Rows per (group, bucket), the rows in earlier buckets, and the size of the group."""
     sizes = keyed.groupBy(group, F.left("_key", F.lit(digits)).alias("_bucket")).agg(F.count("*").alias("_here"))

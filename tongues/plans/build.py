@@ -7,35 +7,46 @@ from pyspark.sql import functions as F
 
 from tongues.config import CorpusConfig, TopUpConfig
 from tongues.operators import links as L
+from tongues.operators import pages as P
 from tongues.operators.augment import augment
-from tongues.operators.paragraphs import page_sentences
-from tongues.operators.ranking import small_side
-from tongues.operators.sentences import clean_sentences
 from tongues.operators.sets import capped_corpus, hybrid_topup
 from tongues.sources import dims
 from tongues.sources.corpus import read_seed, write_corpus, write_stats
+from tongues.sources.scratch import stored
 
 MODES = ("web", "seed", "hybrid")
+MAX_HOSTS = 1000  # host names that are tried on the address of every page
 
 
-def pages_to_read(
-    pages: DataFrame, sources: DataFrame, link_rules: DataFrame, config: CorpusConfig = CorpusConfig()
-) -> DataFrame:
-    """``(language, page_id, page_order, url, html)`` of the source pages and what they link to.
+def page_table(pages: DataFrame, rules: DataFrame, sources: DataFrame | None = None, config: CorpusConfig = CorpusConfig()) -> tuple[DataFrame, dict[str, int]]:
+    """Records of ``pages``, each parsed once, in a stored table that all later joins work on, and the rule of each language.
 
-    The number of sources bounds every list of pages made here, and decides between
-    broadcasting such a list to the page table and a shuffle join.
+    With ``sources`` only pages that they can lead to are parsed: a link counts if its address holds the host of its source,
+    so the address of every page that is read holds the host of some source.
     """
-    count = sources.count()
-    rows = count * (config.max_pages_per_source + 1)
+    distinct, bits = P.rule_bits(rules)
+    if sources is not None:
+        pages = _reachable(pages, sources)
+    return stored(P.page_records(pages, distinct, config=config), "page-table"), bits
+
+
+def _reachable(pages: DataFrame, sources: DataFrame) -> DataFrame:
+    """Pages whose address holds the host of a source, if there are at most ``MAX_HOSTS`` hosts to try; else all."""
+    hosts = [r["host"] for r in sources.select(L.netloc(F.col("url")).alias("host")).distinct().limit(MAX_HOSTS + 1).collect()]
+    if len(hosts) > MAX_HOSTS or not all(hosts):
+        return pages
+    return pages.filter(F.exists(F.lit(hosts).cast("array<string>"), lambda host: F.contains(F.col("url"), host)))
+
+
+def pages_to_read(records: DataFrame, sources: DataFrame, link_rules: DataFrame, config: CorpusConfig = CorpusConfig()) -> DataFrame:
+    """``(language, page_id, page_order)`` of the source pages and what they link to, from the records of all pages."""
     own = sources.select("language", "source_rank", F.lit(0).cast("long").alias("page_rank"), "url")
-    fetched = L.page_frontier(own, pages, count)
-    bodies = pages.select("page_id", "html").join(small_side(fetched, count), "page_id")
-    found = L.page_links(bodies, "language", "source_rank", "url")
-    articles = L.article_links(L.resolve_links(found), link_rules)
-    best = L.top_links(articles, "language", "source_rank", limit=config.max_links_per_page)
+    known = records.select("page_id", "url")
+    fetched = L.page_frontier(own, known)
+    linking = fetched.join(records.select("page_id", "anchors", "links"), "page_id")
+    best = L.first_targets(L.article_targets(linking, link_rules), "language", "source_rank", limit=config.max_links_per_page)
     candidates = L.page_candidates(fetched, best, config.max_pages_per_source)
-    return L.frontier_pages(L.page_frontier(candidates, pages, rows), pages, config, rows)
+    return L.reading_order(L.page_frontier(candidates, known), config)
 
 
 def collect_sentences(
@@ -48,16 +59,11 @@ def collect_sentences(
 ) -> DataFrame:
     """Distinct clean sentences of the pages each language needs to reach its cap."""
     spark = pages.sparkSession
-    chosen = pages_to_read(
-        pages,
-        dims.source_dim(spark) if sources is None else sources,
-        dims.link_rule_dim(spark) if link_rules is None else link_rules,
-        config,
-    )
-    raw = page_sentences(
-        chosen, dims.rule_dim(spark) if rules is None else rules, ("language", "page_order"), config
-    )
-    clean = clean_sentences(raw, config)
+    sources = dims.source_dim(spark) if sources is None else sources
+    records, bits = page_table(pages, dims.rule_dim(spark) if rules is None else rules, sources, config)
+    chosen = pages_to_read(records, sources, dims.link_rule_dim(spark) if link_rules is None else link_rules, config)
+    bodies = records.select("page_id", "sentences").join(chosen, "page_id")
+    clean = P.record_sentences(bodies, bits, ("language", "page_order"), config)
     return capped_corpus(clean, config.max_sentences_per_language, "page_order", languages)
 
 

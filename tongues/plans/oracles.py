@@ -506,6 +506,15 @@ ORACLES: dict[str, str] = {
     ),
     "extract_paragraphs": _sql(PARAGRAPHS, "SELECT page_id, language, para_pos, text FROM paragraphs"),
     "page_sentences": _sql(PAGE_CLEAN, "SELECT DISTINCT page_id, language, text FROM page_clean"),
+    "page_table": _sql(
+        {
+            **{**PAGES, **PAGE_CLEAN},
+            "linked": "SELECT page_id, count(*) AS links FROM links GROUP BY page_id",
+            "said": "SELECT page_id, count(DISTINCT text) AS sentences FROM page_clean GROUP BY page_id",
+        },
+        "SELECT p.page_id, coalesce(links, 0) AS links, coalesce(sentences, 0) AS sentences FROM pages p "
+        "LEFT JOIN linked USING (page_id) LEFT JOIN said USING (page_id) WHERE html <> ''",
+    ),
     "collect_sentences": _sql(
         {
             **{**CANDIDATES, **PAGE_CLEAN},

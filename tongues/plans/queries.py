@@ -19,6 +19,7 @@ from tongues.model.vectors import feature_vectors, tfidf_vectors
 from tongues.operators import evaluate as E
 from tongues.operators import links as L
 from tongues.operators import ngrams as N
+from tongues.operators import pages as O
 from tongues.operators import paragraphs as P
 from tongues.operators import sampling as B
 from tongues.operators import sentences as C
@@ -27,7 +28,7 @@ from tongues.operators import summaries as Z
 from tongues.operators.augment import augment as augmented
 from tongues.operators.augment import variants_of
 from tongues.plans import training as T
-from tongues.plans.build import build_corpus, collect_sentences
+from tongues.plans.build import build_corpus, collect_sentences, page_table
 from tongues.sources import dims
 from tongues.sources.corpus import read_corpus, read_seed, write_corpus, write_stats
 from tongues.sources.scratch import cut_lineage, scratch
@@ -140,9 +141,16 @@ def q_article_links(spark, d):
     return articles(spark, d).select("page_id", "pos", "target")
 
 
+def linking_pages(spark, d):
+    """Records of the pages with the addresses of their article links as an array."""
+    pages = with_url_language(read_pages(spark, d)).filter(F.col("html").rlike(r"(?i)<a[\s/]"))
+    records = O.page_records(pages, keep=("page_id", "language", "url"))
+    return L.article_targets(records, dims.link_rule_dim(spark, PATTERNS))
+
+
 @query
 def q_top_links(spark, d):
-    return L.top_links(articles(spark, d), limit=LINKS_PER_PAGE)
+    return L.first_targets(linking_pages(spark, d), limit=LINKS_PER_PAGE)
 
 
 def page_sources(spark, d):
@@ -151,9 +159,8 @@ def page_sources(spark, d):
 
 
 def candidates(spark, d):
-    best = L.top_links(
-        articles(spark, d).withColumnRenamed("page_id", "source_rank"), "language", "source_rank", limit=LINKS_PER_PAGE
-    )
+    linking = linking_pages(spark, d).withColumnRenamed("page_id", "source_rank")
+    best = L.first_targets(linking, "language", "source_rank", limit=LINKS_PER_PAGE)
     return L.page_candidates(page_sources(spark, d), best)
 
 
@@ -181,6 +188,14 @@ def q_page_sentences(spark, d):
     return rows.select("page_id", "language", "text").distinct()
 
 
+@query
+def q_page_table(spark, d):
+    """Links of every page, and different clean sentences that the rule of its own language finds in it."""
+    records, bits = page_table(read_pages(spark, d), dims.rule_dim(spark))
+    found = O.record_sentences(with_url_language(records), bits).distinct().groupBy("page_id").agg(F.count("*").alias("sentences"))
+    return records.select("page_id", F.size("links").cast("long").alias("links")).join(found, "page_id", "left").na.fill(0, ["sentences"])
+
+
 @query
 def q_collect_sentences(spark, d):
     return collect_sentences(
