@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable, Sequence
+
+import numpy as np
 
 WORD_CACHE = 100_000
 CACHED_LENGTH = 64
@@ -41,3 +43,75 @@ def count_grams(text: str | None, grams: Callable[[str], list]) -> dict:
         for gram in grams(word):
             counts[gram] = counts.get(gram, 0) + times
     return counts
+
+
+class TermCounter:
+    """Uses of vocabulary terms in a batch of texts, as flat arrays; a word's terms are looked up once and remembered.
+
+    The memory is a table of words that starts anew when it is full; words too long to remember are looked up each time.
+    """
+
+    def __init__(self, terms: Sequence[str], min_n: int, max_n: int):
+        self.index = {term: i for i, term in enumerate(terms)}
+        self.size, self.min_n, self.max_n = len(terms), min_n, max_n
+        self._forget()
+
+    def _forget(self) -> None:
+        self.places: dict[str, int] = {}
+        self.terms: list[np.ndarray] = []
+
+    def _place(self, word: str) -> int:
+        self.terms.append(np.array([self.index[g] for g in word_grams(word, self.min_n, self.max_n) if g in self.index], dtype=np.int64))
+        if len(word) <= CACHED_LENGTH:
+            self.places[word] = len(self.terms) - 1
+        return len(self.terms) - 1
+
+    def count(self, texts: Iterable[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """``(row, term, uses)`` of every term that a text has, in order of row and term.
+
+        Words are worked on ``WORD_CACHE`` at a time, so a long text needs little more memory than a short one.
+        """
+        parts, rows, found = [], [], []
+
+        def fold() -> None:
+            parts.append(self._fold(np.repeat(*np.array(rows).T), np.array(found)))
+            rows.clear()
+            found.clear()
+            if len(self.terms) >= WORD_CACHE:
+                self._forget()
+
+        for row, text in enumerate(texts):
+            words = (text or "").lower().split()
+            for at in range(0, len(words), WORD_CACHE):
+                some = words[at:at + WORD_CACHE]
+                rows.append((row, len(some)))
+                found += [self.places[w] if w in self.places else self._place(w) for w in some]
+                if len(found) >= WORD_CACHE:
+                    fold()
+        if found:
+            fold()
+        if not parts:
+            return (np.empty(0, np.int64),) * 3
+        keys, uses = parts[0] if len(parts) == 1 else _summed(*map(np.concatenate, zip(*parts)))
+        return *np.divmod(keys, max(self.size, 1)), uses
+
+    def _fold(self, row: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """``row * size + term`` with its uses, in order: equal words of a text are counted first, then equal terms of its words."""
+        keys, uses = np.unique(row * len(self.terms) + word, return_counts=True)
+        row, word = np.divmod(keys, len(self.terms))
+        used, word = np.unique(word, return_inverse=True)
+        lists = [self.terms[i] for i in used.tolist()]
+        sizes = np.fromiter(map(len, lists), np.int64, len(lists))
+        flat, starts, each = np.concatenate(lists), np.cumsum(sizes) - sizes, sizes[word]
+        at = np.repeat(starts[word] - (np.cumsum(each) - each), each) + np.arange(each.sum())
+        return _summed(np.repeat(row, each) * max(self.size, 1) + flat[at], np.repeat(uses, each))
+
+
+def _summed(keys: np.ndarray, uses: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Different keys in order, with the sum of their uses."""
+    if not len(keys):
+        return keys, uses
+    order = np.argsort(keys, kind="stable")
+    keys, uses = keys[order], uses[order]
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    return keys[first], np.add.reduceat(uses, first)

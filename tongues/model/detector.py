@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 
 from tongues.functions import report as R
 from tongues.functions.text import strip, word_count
-from tongues.model.forest import Sigmoid, calibrated_probabilities
+from tongues.model.forest import Sigmoid
+from tongues.model.scoring import Forest, score_texts
 from tongues.model.vectors import feature_matrix
 from tongues.sources.dims import FAMILIES, NAMES
 
@@ -29,6 +30,7 @@ class Detector:
     families: dict[str, str] = field(default_factory=lambda: dict(FAMILIES))
     min_n: int = 2
     max_n: int = 5
+    nodes: list[Forest] = field(default_factory=list)  # of the forests, read when they are first needed
 
     @property
     def trained(self) -> bool:
@@ -41,8 +43,11 @@ class Detector:
         """Add ``probabilities`` in class order. Row-local: no shuffle, same in a stream."""
         if not self.trained:
             raise ValueError(R.ERROR_UNTRAINED)
-        scored = calibrated_probabilities(self.features(df, text), self.forests, self.sigmoids, self.classes)
-        return scored.drop("features")
+        if len(self.nodes) != len(self.forests):
+            self.nodes = [Forest.of(df.sparkSession, forest) for forest in self.forests]
+        return score_texts(
+            df, self.terms, self.nodes, self.sigmoids, len(self.classes), text, min_n=self.min_n, max_n=self.max_n
+        )
 
     def detect(self, df: DataFrame, text: str = "text", top_n: int = 2) -> DataFrame:
         """Full result per row: label, confidence, alternatives, warnings or an error."""
