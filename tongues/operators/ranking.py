@@ -74,20 +74,32 @@ def _bucket_sizes(keyed: DataFrame, group: str, digits: int) -> DataFrame:
 def rank_by_key(
     df: DataFrame, group: str, text: str, seed: int, rank: str = "rank", digits: int = BUCKET_DIGITS
 ) -> DataFrame:
-    """``row_number`` over (group, md5 key, text) for every row.
+    """Position of every row in the order of (md5 key, text) within its group; copies of a text follow each other.
 
-    Rows are shuffled by (group, key bucket), and the offset of a bucket comes from a
-    table of at most ``16 ** digits`` rows per group, so no task holds a whole group.
+    Rows that are equal in all columns are counted before the shuffle and expanded by generated
+    sequences at the end. Copies that differ in other columns go to one of ``SALTS`` parts by a hash of these; a part's offset
+    comes from counts of the parts. So a task orders a part of one text's copies at most, and bucket counts,
+    ``16 ** digits`` per group, tell what comes before a text. Columns must be comparable.
     """
-    keyed = df.withColumn("_key", sample_key(text, seed)).withColumn("_bucket", F.left("_key", F.lit(digits)))
-    within = Window.partitionBy(group, "_bucket").orderBy("_key", text)
-    offsets = _bucket_sizes(keyed, group, digits).select(group, "_bucket", "_before")
-    ranked = keyed.withColumn("_within", F.row_number().over(within))
-    return (
-        ranked.join(offsets.hint("shuffle_hash"), [group, "_bucket"])
-        .withColumn(rank, (F.col("_before") + F.col("_within")).cast("long"))
-        .drop("_key", "_bucket", "_within", "_before")
-    )
+    columns = df.columns
+    others = [c for c in columns if c not in (group, text)]
+    part = F.pmod(F.xxhash64(*others), F.lit(SALTS)) if others else F.lit(0).cast("long")
+    counted = df.groupBy(*columns).agg(F.count("*").alias("_n")).withColumn("_part", part).withColumn("_key", sample_key(text, seed))
+    counted = counted.withColumn("_bucket", F.left("_key", F.lit(digits)))
+    keys = [group, "_bucket", "_key", text, "_part"]
+    # of the parts in a bucket, what comes before each; of the buckets, likewise
+    parts = counted.groupBy(*keys).agg(F.sum("_n").alias("_sum"))
+    earlier = Window.partitionBy(group, "_bucket").orderBy("_key", text, "_part").rowsBetween(Window.unboundedPreceding, -1)
+    sums = parts.groupBy(group, "_bucket").agg(F.sum("_sum").alias("_sum"))
+    before = Window.partitionBy(group).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    buckets = sums.select(group, "_bucket", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_before"))
+    offsets = parts.withColumn("_within", F.coalesce(F.sum("_sum").over(earlier), F.lit(0))).join(buckets, [group, "_bucket"])
+    offsets = offsets.select(*keys, (F.col("_before") + F.col("_within")).alias("_offset"))
+    inside = Window.partitionBy(*keys).orderBy(*(others or [text])).rowsBetween(Window.unboundedPreceding, -1)
+    placed = counted.withColumn("_above", F.coalesce(F.sum("_n").over(inside), F.lit(0)))
+    placed = placed.join(offsets.hint("merge"), keys)  # the window has dealt out and ordered its side for this
+    first = F.col("_offset") + F.col("_above") + 1
+    return placed.select(*columns, F.explode(F.sequence(first, first + F.col("_n") - 1)).alias(rank))
 
 
 def _holder(

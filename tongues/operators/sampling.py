@@ -68,7 +68,7 @@ def stratified_split(
 def stratified_folds(
     df: DataFrame, folds: int = 5, label: str = "language", seed: int = 42
 ) -> DataFrame:
-    """Add ``fold`` (0 to ``folds - 1``), dealt out in turn within each label."""
+    """Add ``fold`` (0 to ``folds - 1``), dealt out in turn within each label, copies of a text one after another."""
     ranked = rank_by_key(df, label, "text", seed, "_rank")
     return ranked.withColumn("fold", (F.col("_rank") - 1) % folds).drop("_rank")
 

@@ -392,6 +392,10 @@ ORACLES: dict[str, str] = {
     "balance": _sql(RANKED, "SELECT language, text FROM ranked WHERE r <= 300"),
     "stratified_split": _sql(SPLIT, "SELECT language, text, is_test FROM split"),
     "stratified_folds": _sql(RANKED, "SELECT language, text, (r - 1) % 5 AS fold FROM ranked"),
+    "copy_folds": _sql(
+        {**CLEAN, "turned": "SELECT language, text, row_number() OVER (PARTITION BY language ORDER BY md5('42|' || text), text) AS r FROM clean"},
+        "SELECT language, text, (r - 1) % 5 AS fold, count(*) AS copies FROM turned GROUP BY ALL",
+    ),
     "class_weights": _sql(
         {**RANKED, "k": "SELECT count(DISTINCT language) AS k, count(*) AS total FROM corpus"},
         "SELECT language, text, round(total::DOUBLE / (k * n), 6) AS weight FROM ranked, k",

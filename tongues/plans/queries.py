@@ -360,6 +360,13 @@ def q_stratified_folds(spark, d):
     return B.stratified_folds(corpus(spark, d))
 
 
+@query
+def q_copy_folds(spark, d):
+    """Folds of sentences that repeat within and across documents: how many copies of each are in each fold."""
+    folded = B.stratified_folds(clean(spark, d).select("doc_id", "pos", "language", "text"))
+    return folded.groupBy("language", "text", "fold").agg(F.count("*").alias("copies"))
+
+
 @query
 def q_class_weights(spark, d):
     return B.class_weights(corpus(spark, d)).withColumn("weight", F.round("weight", 6))
