@@ -87,11 +87,14 @@ def anchor(link: Column) -> Column:
     return F.lower(F.substring(F.col("anchors"), link["start"] + 1, link["size"]))
 
 
-def record_sentences(records: DataFrame, bits: dict[str, int], keep: Sequence[str] = ("page_id", "language"), config: CorpusConfig = DEFAULT) -> DataFrame:
-    """Clean sentences of records for the ``language`` of each row, as ``(keep, text)``; languages without a rule have none."""
-    bit = F.lit(None).cast("long")
+def rule_texts(bits: dict[str, int]) -> Column:
+    """Of a record, the sentences that the rule of the row's ``language`` selects; none where it has no rule."""
+    bit = F.lit(0).cast("long")
     for language, place in bits.items():
         bit = F.when(F.col("language") == language, F.lit(1 << place).cast("long")).otherwise(bit)
-    asked = records.withColumn("_bit", bit).filter("_bit IS NOT NULL")
-    own = F.transform(F.filter("sentences", lambda s: s["rules"].bitwiseAND(F.col("_bit")) != 0), lambda s: s["text"])
-    return clean_sentences(asked.select(*keep, F.explode(own).alias("text")), config)
+    return F.transform(F.filter("sentences", lambda s: s["rules"].bitwiseAND(bit) != 0), lambda s: s["text"])
+
+
+def record_sentences(records: DataFrame, bits: dict[str, int], keep: Sequence[str] = ("page_id", "language"), config: CorpusConfig = DEFAULT) -> DataFrame:
+    """Clean sentences of records for the ``language`` of each row, as ``(keep, text)``; languages without a rule have none."""
+    return clean_sentences(records.select(*keep, F.explode(rule_texts(bits)).alias("text")), config)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -19,9 +19,9 @@ def distinct_sentences(df: DataFrame, on: Sequence[str] = KEY) -> DataFrame:
     return df.select(*on).distinct()
 
 
-def new_sentences(df: DataFrame, known: DataFrame, on: Sequence[str] = KEY) -> DataFrame:
-    """Distinct rows of ``df`` whose key is not in ``known``. Both sides are unique before the join."""
-    left = df.select(*dict.fromkeys([*KEY, *on])).distinct()
+def new_sentences(df: DataFrame, known: DataFrame, on: Sequence[str] = KEY, keep: Sequence[str] = ()) -> DataFrame:
+    """Distinct rows of ``df``, with the columns ``keep``, whose key is not in ``known``. Both sides are unique before the join."""
+    left = df.select(*dict.fromkeys([*KEY, *on, *keep])).distinct()
     return left.join(known.select(*on).distinct(), list(on), "left_anti").select(*left.columns)
 
 
@@ -37,14 +37,19 @@ def capped_corpus(
     cap: int = CorpusConfig().max_sentences_per_language,
     order: str = "page_order",
     languages: Sequence[str] = CODES,
+    found: Mapping[str, int] | None = None,
 ) -> DataFrame:
     """Distinct sentences of the first pages of each language, until there are ``cap`` of them.
 
     A page is read only while fewer than ``cap`` sentences were found before it, so the
     last page may overshoot. ``order`` is a non-negative integer, unique per page
     within a language. Pages are counted in blocks of consecutive order: the first block that reaches
-    the cap is found from block sums, and only its pages are put in sequence.
+    the cap is found from block sums, and only its pages are put in sequence. ``found`` tells how many sentences
+    a language has from earlier pages, none by default.
     """
+    start = F.lit(0).cast("long")
+    for code, n in (found or {}).items():
+        start = F.when(F.col("language") == code, F.lit(n).cast("long")).otherwise(start)
     first_seen = df.groupBy(*KEY).agg(F.min(order).alias("page_order"))
     per_page = first_seen.groupBy("language", "page_order").agg(F.count("*").alias("_new"))
     per_page = per_page.withColumn("_block", F.floor(F.col("page_order") / BLOCK))
@@ -52,7 +57,7 @@ def capped_corpus(
     earlier = Window.partitionBy("language").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     blocks = (
         per_page.groupBy("language", "_block").agg(F.sum("_new").alias("_sum"))
-        .withColumn("_before", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)))
+        .withColumn("_before", start + F.coalesce(F.sum("_sum").over(earlier), F.lit(0)))
     )
     last = Window.partitionBy("language")
     ending = (

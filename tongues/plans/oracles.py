@@ -10,7 +10,7 @@ from tongues.functions.report import ERROR_EMPTY, ERROR_SHORT
 from tongues.functions.stats import ALL, CHAR_SETS, WORD_PATTERNS
 from tongues.functions.text import DIGIT, WS
 from tongues.functions.variants import PREFIXES, TYPOS
-from tongues.plans.queries import CAP, LINKS_PER_PAGE, PATTERNS, TOPUP
+from tongues.plans.queries import CAP, LINKS_PER_PAGE, MODEL, PATTERNS, TOPUP
 from tongues.sources.dims import LANGUAGES
 
 
@@ -304,6 +304,21 @@ def _kept(condition: str) -> str:
     return _sql(NORMAL, f"SELECT doc_id, pos, text FROM normal WHERE {condition}")
 
 
+COLLECTED = {
+    **{**CANDIDATES, **PAGE_CLEAN},
+    "known": "SELECT url, min(page_id) AS page_id FROM pages WHERE html <> '' GROUP BY url",
+    "reading": "SELECT c.language, k.page_id, min(c.source_rank * 21 + c.page_rank) AS page_order "
+    "FROM candidates c JOIN known k ON c.url = k.url GROUP BY ALL",
+    "first_seen": "SELECT r.language, text, min(page_order) AS page_order FROM page_clean p JOIN reading r ON p.page_id = r.page_id GROUP BY ALL",
+    "fresh": "SELECT language, page_order, count(*) AS n FROM first_seen GROUP BY ALL",
+    "running": "SELECT language, page_order, coalesce(sum(n) OVER (PARTITION BY language ORDER BY page_order "
+    "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM fresh",
+}
+COLLECT = (
+    "SELECT f.language, f.text FROM first_seen f JOIN running r ON f.language = r.language AND f.page_order = r.page_order "
+    f"WHERE before < {CAP}"
+)
+
 ORACLES: dict[str, str] = {
     "read_pages": "SELECT page_id, url, length(html) AS html_length FROM pages WHERE html <> ''",
     "read_write_corpus": _sql(CORPUS, "SELECT language, text FROM corpus"),
@@ -350,6 +365,19 @@ ORACLES: dict[str, str] = {
         },
         f"SELECT f.language, f.text FROM firsts f JOIN running r ON f.language = r.language AND f.doc = r.doc WHERE before < {CAP}",
     ),
+    "known_corpus": _sql(
+        {**CORPUS, **BENCH}, "SELECT language, text FROM corpus WHERE text NOT IN (SELECT text FROM bench)"
+    ),
+    "stream_capped_corpus": _sql(
+        {
+            **CLEAN,
+            "firsts": "SELECT language, text, min(doc_id) AS doc FROM clean GROUP BY ALL",
+            "fresh": "SELECT language, doc, count(*) AS n FROM firsts GROUP BY ALL",
+            "running": "SELECT language, doc, coalesce(sum(n) OVER (PARTITION BY language ORDER BY doc "
+            "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM fresh",
+        },
+        f"SELECT f.language, f.text FROM firsts f JOIN running r ON f.language = r.language AND f.doc = r.doc WHERE before < {CAP}",
+    ),
     "hybrid_topup": _sql(
         {
             **CORPUS,
@@ -479,6 +507,10 @@ ORACLES: dict[str, str] = {
         + ", ".join(f"coalesce(sum(n) FILTER (predicted = '{c}'), 0)::BIGINT AS {c}" for c in STAND_IN)
         + " FROM labels_used LEFT JOIN pairs ON actual = label GROUP BY label",
     ),
+    "stream_page_sentences": _sql(
+        {**PAGE_CLEAN, "snapshots": "SELECT min(page_id) AS page_id FROM pages WHERE html <> '' GROUP BY url"},
+        "SELECT DISTINCT language, text FROM page_clean SEMI JOIN snapshots USING (page_id)",
+    ),
     "stream_new_sentences": _sql(CORPUS, "SELECT language, text FROM corpus"),
     "train_forest": _sql(
         RANKED,
@@ -519,18 +551,24 @@ ORACLES: dict[str, str] = {
         "SELECT p.page_id, coalesce(links, 0) AS links, coalesce(sentences, 0) AS sentences FROM pages p "
         "LEFT JOIN linked USING (page_id) LEFT JOIN said USING (page_id) WHERE html <> ''",
     ),
-    "collect_sentences": _sql(
+    "collect_sentences": _sql(COLLECTED, COLLECT),
+    "build_corpus": _sql(
+        {**COLLECTED, "corpus": COLLECT, "made": AUGMENTED["made"], "augmented": AUGMENTED["augmented"]},
+        "SELECT language, text, is_base FROM augmented",
+    ),
+    "train_model": _sql(
         {
-            **{**CANDIDATES, **PAGE_CLEAN},
-            "known": "SELECT url, min(page_id) AS page_id FROM pages WHERE html <> '' GROUP BY url",
-            "reading": "SELECT c.language, k.page_id, min(c.source_rank * 21 + c.page_rank) AS page_order "
-            "FROM candidates c JOIN known k ON c.url = k.url GROUP BY ALL",
-            "first_seen": "SELECT r.language, text, min(page_order) AS page_order FROM page_clean p JOIN reading r ON p.page_id = r.page_id GROUP BY ALL",
-            "fresh": "SELECT language, page_order, count(*) AS n FROM first_seen GROUP BY ALL",
-            "running": "SELECT language, page_order, coalesce(sum(n) OVER (PARTITION BY language ORDER BY page_order "
-            "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM fresh",
+            "shares": f"SELECT CAST(round({MODEL.test_size} * {MODEL.max_per_class}) AS BIGINT) AS n",
+            "classes": f"SELECT code AS label, n FROM (VALUES {_values(LANGUAGES)}) t(code, name, family, iso), shares",
         },
-        "SELECT f.language, f.text FROM first_seen f JOIN running r ON f.language = r.language AND f.page_order = r.page_order "
-        f"WHERE before < {CAP}",
+        "SELECT label, n AS support, true AS sound, CAST(NULL AS BOOLEAN) AS accurate FROM classes UNION ALL "
+        "SELECT label, (SELECT CAST(sum(n) AS BIGINT) FROM classes), true, CASE WHEN label = 'accuracy' THEN true END "
+        "FROM (VALUES ('accuracy'), ('macro avg'), ('weighted avg')) t(label)",
+    ),
+    "model_info": _sql(
+        {"known": f"SELECT *, row_number() OVER () AS i FROM (VALUES {_values(LANGUAGES)}) t(code, name, family, iso)"},
+        "SELECT string_agg(name, ',' ORDER BY i) AS languages, string_agg(code, ',' ORDER BY i) AS language_codes, "
+        f"string_agg(DISTINCT family, ',' ORDER BY family) AS language_families, {MODEL.max_features}::BIGINT AS features, "
+        "'CalibratedRandomForest' AS model_type FROM known",
     ),
 }

@@ -26,13 +26,16 @@ from tongues.operators import sentences as C
 from tongues.operators import sets as U
 from tongues.operators import summaries as Z
 from tongues.operators.augment import augment as augmented
+from tongues.operators.frequent import frequent_terms
 from tongues.operators.augment import variants_of
 from tongues.plans import training as T
 from tongues.plans.build import build_corpus, collect_sentences, page_table
 from tongues.sources import dims
 from tongues.sources.corpus import read_corpus, read_seed, write_corpus, write_stats
+from tongues.sources.known import KnownCorpus
 from tongues.sources.scratch import cut_lineage, scratch
 from tongues.sources.tables import read_documents, read_pages, spread, table, with_url_language
+from tongues.streaming.corpora import CappedCorpus, PageCorpus
 from tongues.streaming.jobs import run_available, stream_detect, stream_new_sentences
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -268,6 +271,14 @@ def q_new_sentences(spark, d):
     return U.new_sentences(clean(spark, d), benchmark_sentences(spark, d), ["text"])
 
 
+@query
+def q_known_corpus(spark, d):
+    """``new_sentences`` against a corpus that is stored in buckets of its texts."""
+    known = KnownCorpus(spark, f"{scratch(spark, 'known')}/corpus", on=("text",))
+    known.add(benchmark_sentences(spark, d).select("language", "text"))
+    return known.unknown(clean(spark, d))
+
+
 @query
 def q_capped_corpus(spark, d):
     return U.capped_corpus(clean(spark, d), CAP, "doc_id")
@@ -425,8 +436,7 @@ def q_doc_freq(spark, d):
 
 @query
 def q_vocabulary(spark, d):
-    docs = read_documents(spark, d)
-    return N.vocabulary(N.text_frequencies(docs), docs)
+    return frequent_terms(read_documents(spark, d).select("text"))
 
 
 @query
@@ -594,7 +604,13 @@ def q_calibrate(spark, d):
 
 @query
 def q_train_model(spark, d):
-    return trained(spark, d).report()
+    """Held-out rows of each language and of all, whether the report's shares are sound, and whether it gets 95 % right."""
+    report = trained(spark, d).report()
+    sound = F.lit(True)
+    for share in ("precision", "recall", "f1"):
+        sound = sound & (F.col(share).isNull() | F.col(share).between(0, 1))
+    overall = F.when(F.col("label") == "accuracy", F.col("f1") >= 0.95)
+    return report.select("label", "support", sound.alias("sound"), overall.alias("accurate"))
 
 
 @query
@@ -641,7 +657,9 @@ def q_save_load_model(spark, d):
 
 @query
 def q_model_info(spark, d):
-    return trained(spark, d).detector.info(spark)
+    """What the model says about itself; lists are joined by commas."""
+    info = trained(spark, d).detector.info(spark)
+    return info.select(*[F.array_join(c, ",").alias(c) if kind.startswith("array") else F.col(c) for c, kind in info.dtypes])
 
 
 @query
@@ -669,6 +687,28 @@ def q_stream_new_sentences(spark, d):
     return spark.read.parquet(f"{out}/rows")
 
 
+@query
+def q_stream_page_sentences(spark, d):
+    """New sentences of a stream of pages, of one snapshot for each address."""
+    out = scratch(spark, "stream")
+    found = PageCorpus(spark, f"{out}/corpus", dims.rule_dim(spark), tasks=spark.sparkContext.defaultParallelism)
+    found.start(with_url_language(_stream(spark, d, "pages")), f"{out}/checkpoint")
+    return found.read()
+
+
+@query
+def q_stream_capped_corpus(spark, d):
+    """The capped corpus of documents that arrive in three parts, one after another."""
+    out = scratch(spark, "stream")
+    rows = clean(spark, d).select("doc_id", "language", "text")
+    last = rows.agg(F.coalesce(F.max("doc_id"), F.lit(0))).first()[0]
+    found = CappedCorpus(spark, f"{out}/corpus", CAP, "doc_id")
+    for low, high in ((0, last // 40), (last // 40 + 1, last // 20), (last // 20 + 1, last)):
+        rows.filter(F.col("doc_id").between(low, high)).write.mode("append").parquet(f"{out}/in")
+        found.start(spark.readStream.schema(rows.schema).parquet(f"{out}/in"), f"{out}/checkpoint")
+    return found.read()
+
+
 @query
 def q_stream_detect(spark, d):
     out = scratch(spark, "stream")
