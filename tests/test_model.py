@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import math
+from dataclasses import replace
 
 import numpy as np
 import pytest
@@ -8,9 +9,12 @@ from pyspark.sql import functions as F
 
 from tongues.config import TrainConfig
 from tongues.functions import report as R
+from tongues.functions.grams import word_grams
 from tongues.model.detector import Detector, present
 from tongues.model.forest import fit_sigmoids
+from tongues.model.store import ModelStore
 from tongues.operators.augment import augment
+from tongues.operators.sampling import stratified_split
 from tongues.plans.training import suite_eval, suite_score, train_model
 from tongues.sources.corpus import read_seed
 from tongues.streaming.jobs import run_available, stream_detect
@@ -160,3 +164,44 @@ def test_ties_notes_and_unknown_codes(spark):
     assert out[1]["note"] and out[2]["note"] is None and out[3]["note"]
     single = present(df, ["zz", "english", "german"], top_n=1).first()
     assert single["note"] is None and len(single["top_predictions"]) == 1
+
+
+def test_an_interrupted_save_leaves_the_model_before_it(spark, training, tmp_path, monkeypatch):
+    home = str(tmp_path / "model")
+    store = ModelStore(spark, home)
+    assert training.detector.save(spark, home)
+    first = store.last()
+    other = Detector(**{**vars(training.detector), "terms": [(t, 1.0) for t, _ in training.detector.terms]})
+    monkeypatch.setattr(ModelStore, "commit", lambda self, path: (_ for _ in ()).throw(OSError("broken off")))
+    with pytest.raises(OSError):
+        other.save(spark, home)
+    monkeypatch.undo()
+    assert store.last() == first and len(store.versions(complete=False)) == 2
+    assert Detector.load(spark, home).terms == training.detector.terms
+    assert other.save(spark, home)
+    assert Detector.load(spark, home).terms == other.terms
+    assert store.versions() == [first, store.last()]  # whoever reads the first one still can
+    assert training.detector.save(spark, home)
+    assert first not in store.versions(complete=False) and len(store.versions(complete=False)) == 2
+    assert Detector.load(spark, home).terms == training.detector.terms
+
+
+def test_fitting_the_vocabulary_on_training_rows_only(spark):
+    """With ``fit_on="train"`` nothing of the test rows reaches the features: a word that only they have is no term."""
+    seed = read_seed(spark).select("language", "text")
+    config = TrainConfig(trees=5, max_depth=6, folds=2, max_features=10**6, min_df=1, max_df=1.0, max_per_class=None)
+    tests = stratified_split(seed, config.test_size, seed=config.seed)
+    marked = tests.select("language", F.when(F.col("is_test"), F.concat("text", F.lit(" qqqxq"))).otherwise(F.col("text")).alias("text"), "is_test")
+    pairs = {r["text"]: r["is_test"] for r in marked.collect()}
+    found = {}
+    for fit_on in ("all", "train"):
+        model = train_model(marked.select("language", "text"), replace(config, fit_on=fit_on))
+        found[fit_on] = {t for t, _ in model.detector.terms}
+        assert model.summary.first()["features"] == len(found[fit_on]) + 18
+    assert found["train"] < found["all"]
+    # the split goes by text, so the marked texts are dealt out anew; a gram of theirs is a term only if one was trained on
+    held = {t for t, is_test in pairs.items() if is_test}
+    split = stratified_split(marked.select("language", "text"), config.test_size, seed=config.seed)
+    trained_on = {r["text"] for r in split.filter("NOT is_test").collect()}
+    grams = {g for t in trained_on for w in t.lower().split() for g in word_grams(w, 2, 5)}
+    assert found["train"] == grams and ("qxq " in grams) == any(t in trained_on for t in held)

@@ -14,6 +14,7 @@ from tongues.functions import report as R
 from tongues.functions.text import strip, word_count
 from tongues.model.forest import Sigmoid
 from tongues.model.scoring import Forest, score_texts
+from tongues.model.store import ModelStore
 from tongues.model.vectors import feature_matrix
 from tongues.sources.dims import FAMILIES, NAMES
 
@@ -86,18 +87,20 @@ class Detector:
         )
 
     def save(self, spark: SparkSession, directory: str) -> bool:
-        """Write forests, sigmoids, vocabulary and metadata; False when there is nothing to save."""
+        """Write a new version of the model below ``directory``; False when there is nothing to save.
+
+        A version is a folder of its own and counts once its marker is there, which is written last. A save that breaks off leaves
+        the earlier version in place, and readers of that one are not disturbed: it is deleted by the next save but one.
+        """
         if not self.trained:
             return False
+        store = ModelStore(spark, directory)
+        path = store.begin()
         for fold, forest in enumerate(self.forests):
-            forest.write().overwrite().save(f"{directory}/forests/{fold}")
-        spark.createDataFrame(self.sigmoids, "fold int, class int, slope double, intercept double").coalesce(
-            1
-        ).write.mode("overwrite").parquet(f"{directory}/sigmoids")
+            forest.write().save(f"{path}/forests/{fold}")
+        spark.createDataFrame(self.sigmoids, "fold int, class int, slope double, intercept double").coalesce(1).write.parquet(f"{path}/sigmoids")
         terms = [(i, term, weight) for i, (term, weight) in enumerate(self.terms)]
-        spark.createDataFrame(terms, "term_index int, term string, idf double").coalesce(1).write.mode(
-            "overwrite"
-        ).parquet(f"{directory}/vocabulary")
+        spark.createDataFrame(terms, "term_index int, term string, idf double").coalesce(1).write.parquet(f"{path}/vocabulary")
         meta = {
             "classes": self.classes,
             "names": self.names,
@@ -106,32 +109,30 @@ class Detector:
             "min_n": self.min_n,
             "max_n": self.max_n,
         }
-        # The metadata is written last: its presence marks a complete model.
-        spark.createDataFrame([(json.dumps(meta),)], "value string").coalesce(1).write.mode("overwrite").text(
-            f"{directory}/meta"
-        )
+        spark.createDataFrame([(json.dumps(meta),)], "value string").coalesce(1).write.text(f"{path}/meta")
+        store.commit(path)
         return True
 
     @classmethod
     def load(cls, spark: SparkSession, directory: str) -> Detector | None:
-        """The saved model, or None when there is none in ``directory``."""
-        path = spark._jvm.org.apache.hadoop.fs.Path(f"{directory}/meta/_SUCCESS")
-        if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+        """The last complete version in ``directory``, or None when there is none."""
+        path = ModelStore(spark, directory).last()
+        if path is None:
             return None
-        meta = json.loads(spark.read.text(f"{directory}/meta").first()["value"])
-        sigmoids = spark.read.parquet(f"{directory}/sigmoids").orderBy("fold", "class").collect()
-        terms = spark.read.parquet(f"{directory}/vocabulary").orderBy("term_index").collect()
+        meta = json.loads(spark.read.text(f"{path}/meta").first()["value"])
+        sigmoids = spark.read.parquet(f"{path}/sigmoids").orderBy("fold", "class").collect()
+        terms = spark.read.parquet(f"{path}/vocabulary").orderBy("term_index").collect()
+        folds = [f"{path}/forests/{fold}" for fold in range(meta["folds"])]
         return cls(
             terms=[(r["term"], r["idf"]) for r in terms],
             classes=meta["classes"],
-            forests=[
-                RandomForestClassificationModel.load(f"{directory}/forests/{fold}") for fold in range(meta["folds"])
-            ],
+            forests=[RandomForestClassificationModel.load(fold) for fold in folds],
             sigmoids=[tuple(r) for r in sigmoids],
             names=meta["names"],
             families=meta["families"],
             min_n=meta["min_n"],
             max_n=meta["max_n"],
+            nodes=[Forest.read(spark, fold) for fold in folds],
         )
 
 

@@ -96,11 +96,13 @@ def fit_sigmoids(
     data = rows.select(array_to_vector(design).alias("_x"), target.alias("_t"))
     # The union of folds has folds times the partitions of one; every iteration is a job over them.
     data = data.coalesce(max(1, scored.rdd.getNumPartitions() // folds)).cache()
-    fitted = GeneralizedLinearRegression(
-        family="binomial", link="logit", featuresCol="_x", labelCol="_t",
-        fitIntercept=False, regParam=0.0, tol=1e-10, maxIter=100,
-    ).fit(data)
-    data.unpersist()
+    try:
+        fitted = GeneralizedLinearRegression(
+            family="binomial", link="logit", featuresCol="_x", labelCol="_t",
+            fitIntercept=False, regParam=0.0, tol=1e-10, maxIter=100,
+        ).fit(data)
+    finally:
+        data.unpersist()
     found = [float(c) for c in fitted.coefficients]
     return [(fold, k, found[g], found[len(groups) + g]) for g, (fold, k) in enumerate(groups)]
 
