@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from itertools import islice
 
 import numpy as np
@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tongues.llm.components import components
+from tongues.llm.interim import Interim
 from tongues.sources.scratch import stored
 
 SEED = 42
@@ -28,6 +29,8 @@ BANDS, ROWS = 9, 3
 SIMILAR = (4, 5)
 #: Candidates that leave a search at a time.
 PAIRS = 1 << 16
+#: Bytes of shingle sets in one shard of a bucket.
+SHARD_BYTES = 1 << 24
 LANE_NAMES = tuple(f"lane{i}" for i in range(LANES))
 _SALTS = np.arange(1, LANES + BANDS * ROWS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
 _BLOCK, _SLICE = 1 << 16, 1 << 12
@@ -150,71 +153,128 @@ def _spanning(own: list[int], asked: list[int], radius: int) -> list[tuple[int,
     return links
 
 
-def _candidates(rows: np.ndarray, split: int, radius: int, spanning: bool) -> Iterator[tuple[int, int]]:
-    """Pairs of nodes within ``radius`` and of unlike roots, among the first ``split`` rows or, if there are others, between
-    those and the first; if ``spanning``, as many of these as connect what they connect. Rows hold the node, its root and its lanes."""
-    nodes, roots = rows[:, 0].tolist(), rows[:, 1].tolist()
-    values = [int.from_bytes(lanes.tobytes(), "little") for lanes in rows[:, 2:]]
-    parent = {r: r for r in roots}
-    tree, holders = BKTree(), {}
+class _Bucket:
+    """The nodes of one group: those in the tree, which are the first ``split``, and those that ask; if there are no others the first ask each other.
 
-    def root(x: int) -> int:
+    Rows hold the node, its root and its lanes. ``pairs`` are the candidates, within ``radius`` and of unlike roots at that time.
+    """
+
+    def __init__(self, rows: np.ndarray, split: int, radius: int):
+        self.nodes, self.roots = rows[:, 0].tolist(), rows[:, 1].tolist()
+        self.values = [int.from_bytes(lanes.tobytes(), "little") for lanes in rows[:, 2:]]
+        self.split, self.radius = split, radius
+        self.parent = {r: r for r in self.roots}
+
+    def root(self, i: int) -> int:
+        x, parent = self.roots[i], self.parent
         while (up := parent[x]) != x:
             parent[x] = x = parent[up]
         return x
 
-    def ask(i: int) -> Iterator[tuple[int, int]]:
-        for value in tree.near(values[i], radius):
-            for j in holders[value]:
-                a, b = root(roots[i]), root(roots[j])
-                if a != b:
-                    if spanning:
-                        parent[a] = b
-                    yield nodes[i], nodes[j]
-
-    for i in range(split):
-        if split == len(rows):
+    def unite(self, i: int, j: int) -> None:
+        self.parent[self.root(i)] = self.root(j)
+
+    def pairs(self) -> Iterator[tuple[int, int]]:
+        tree, holders = BKTree(), {}
+
+        def ask(i: int) -> Iterator[tuple[int, int]]:
+            for value in tree.near(self.values[i], self.radius):
+                for j in holders[value]:
+                    if self.root(i) != self.root(j):
+                        yield i, j
+
+        for i in range(self.split):
+            if self.split == len(self.nodes):
+                yield from ask(i)
+            if self.values[i] not in holders:
+                tree.add(self.values[i])
+            holders.setdefault(self.values[i], []).append(i)
+        for i in range(self.split, len(self.nodes)):
             yield from ask(i)
-        if values[i] not in holders:
-            tree.add(values[i])
-        holders.setdefault(values[i], []).append(i)
-    for i in range(split, len(rows)):
-        yield from ask(i)
+
+    def spanning(self) -> Iterator[tuple[int, int]]:
+        """As many candidates as connect what all of them connect."""
+        for i, j in self.pairs():
+            self.unite(i, j)
+            yield self.nodes[i], self.nodes[j]
+
+    def touched(self) -> set[int]:
+        """The nodes that are in a candidate."""
+        return {self.nodes[k] for pair in self.pairs() for k in pair}
+
+    def confirmed(self, sets: list[np.ndarray]) -> Iterator[tuple[int, int]]:
+        """Candidates whose shingle sets are similar, as many as connect what all of these connect."""
+        for i, j in self.pairs():
+            if _alike(sets[i], sets[j]):
+                self.unite(i, j)
+                yield self.nodes[i], self.nodes[j]
+
+
+Group = tuple[np.ndarray, list[bytes] | None]
 
 
-def _search(radius: int, spanning: bool = True):
-    """Links in each group of equal first four columns; after the role come the node and, if the node is not its own
-    fingerprint, its root and the lanes of its fingerprint."""
+def _groups(batches: Iterator[pa.RecordBatch], numbers: int) -> Iterator[Group]:
+    """Rows with equal first four columns, which come one after another: their first ``numbers`` columns, and the bytes in the next one, if any."""
+    held: Group | None = None
+    for batch in batches:
+        rows = np.column_stack([c.to_numpy(zero_copy_only=False).astype(np.int64) for c in batch.columns[:numbers]])
+        more = batch.column(numbers).to_pylist() if batch.num_columns > numbers else None
+        if held is not None:
+            rows, more = np.concatenate([held[0], rows]), more if more is None else held[1] + more
+        if not len(rows):
+            continue
+        cuts = np.flatnonzero((rows[1:, :4] != rows[:-1, :4]).any(axis=1)) + 1
+        edges = [0, *cuts.tolist(), len(rows)]
+        parts = [(rows[a:b], more if more is None else more[a:b]) for a, b in zip(edges, edges[1:])]
+        yield from parts[:-1]
+        held = parts[-1]
+    if held is not None:
+        yield held
+
+
+def _asking(rows: np.ndarray) -> int | None:
+    """Where the rows begin that ask; None if a group has no pairs."""
+    split = int(np.searchsorted(rows[:, 4], 1))
+    return None if len(rows) < 2 or (rows[0, 2] != rows[0, 3] and split in (0, len(rows))) else split
+
+
+def _pairs(found: Iterable[tuple[int, int]]) -> Iterator[pa.RecordBatch]:
+    found = iter(found)
+    while some := list(islice(found, PAIRS)):
+        yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*some)], ["a", "b"])
+
+
+def _search(radius: int):
+    """Links of fingerprints in each group; after the role come the fingerprints."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: np.ndarray | None = None
-
-        def links(rows: np.ndarray) -> Iterable[tuple[int, int]]:
-            split = int(np.searchsorted(rows[:, 4], 1))
-            if len(rows) < 2 or (rows[0, 2] != rows[0, 3] and split in (0, len(rows))):
-                return ()
-            if rows.shape[1] > 6:
-                return _candidates(rows[:, 5:], split, radius, spanning)
-            nodes = rows[:, 5].tolist()
-            return _spanning(nodes[:split], nodes[split:], radius)
-
-        def out(found: Iterable[tuple[int, int]]) -> Iterator[pa.RecordBatch]:
-            found = iter(found)
-            while some := list(islice(found, PAIRS)):
-                a, b = zip(*some)
-                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+        for rows, _ in _groups(batches, 6):
+            if (split := _asking(rows)) is not None:
+                nodes = rows[:, 5].tolist()
+                yield from _pairs(_spanning(nodes[:split], nodes[split:], radius))
+
+    return run
 
-        for batch in batches:
-            rows = np.column_stack([c.to_numpy(zero_copy_only=False).astype(np.int64) for c in batch.columns])
-            rows = rows if held is None else np.concatenate([held, rows])
-            if not len(rows):
-                continue
-            cuts = np.flatnonzero((rows[1:, :4] != rows[:-1, :4]).any(axis=1)) + 1
-            edges = [0, *cuts.tolist()]
-            yield from out(x for a, b in zip(edges, edges[1:]) for x in links(rows[a:b]))
-            held = rows[edges[-1]:]
-        if held is not None and len(held):
-            yield from out(links(held))
+
+def _walk(radius: int, found: Callable[[_Bucket, list[np.ndarray]], Iterator[tuple[int, int]]]):
+    """What ``found`` makes of each bucket that has pairs; after the role come node, root and lanes, and then the shingle set, if there is one."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, sets in _groups(batches, 7 + LANES):
+            if (split := _asking(rows)) is not None:
+                yield from _pairs(found(_Bucket(rows[:, 5:], split, radius), [np.frombuffer(x, np.uint64) for x in sets or ()]))
+
+    return run
+
+
+def _touch(radius: int):
+    """``band, value, fp`` of the nodes that are in a candidate in their bucket."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, _ in _groups(batches, 7 + LANES):
+            if (split := _asking(rows)) is not None and (nodes := sorted(_Bucket(rows[:, 5:], split, radius).touched())):
+                columns = [np.full(len(nodes), rows[0, 0]), np.full(len(nodes), rows[0, 1]), np.array(nodes)]
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["band", "value", "fp"])
 
     return run
 
@@ -233,24 +293,32 @@ def near_links(fps: DataFrame, radius: int = RADIUS, tree: int = TREE) -> DataFr
     mask = F.lit((1 << width) - 1).cast("long")
     banded = fps.select("fp", F.explode(F.array(*[F.lit(i) for i in range(bands)])).alias("band"))
     shift = F.expr(f"shiftrightunsigned(fp, band * {width})")
-    return _links(banded.select("fp", "band", shift.bitwiseAND(mask).alias("value")), [], radius, tree)
+    placed = _placed(banded.select("fp", "band", shift.bitwiseAND(mask).alias("value")), [], tree, stored)
+    return placed.mapInArrow(_search(radius), "a long, b long")
 
 
-def _links(banded: DataFrame, lanes: list[str], radius: int, tree: int, spanning: bool = True) -> DataFrame:
-    """Search the buckets of equal ``band`` and ``value``, as ``near_links`` describes; those of a single root, if it is known, have no links."""
-    unlike = [F.min("root") < F.max("root")] if "root" in lanes else []
-    sizes = banded.groupBy("band", "value").agg(F.count(F.lit(1)).alias("n"), *[u.alias("unlike") for u in unlike])
+def _placed(banded: DataFrame, more: list[str], tree: int, keep, size: Column | None = None) -> DataFrame:
+    """Rows of the buckets of equal ``band`` and ``value`` in order of bucket, pair of shards, role and ``fp``, with the columns ``more``.
+
+    Buckets of a single root, if it is known, have no links and are left out. A bucket has a shard for each ``tree`` nodes and each
+    ``SHARD_BYTES`` of ``size``.
+    """
+    unlike = [F.min("root") < F.max("root")] if "root" in more else []
+    shards = F.ceil(F.count(F.lit(1)) / tree)
+    if size is not None:
+        shards = F.greatest(shards, F.ceil(F.sum(size) / SHARD_BYTES))
+    sizes = banded.groupBy("band", "value").agg(F.count(F.lit(1)).alias("n"), shards.alias("shards"), *[u.alias("unlike") for u in unlike])
     sizes = sizes.filter("n > 1 and unlike" if unlike else "n > 1")
-    sizes = stored(sizes.select("band", "value", F.ceil(F.col("n") / tree).alias("shards")), "bk-sizes")
+    sizes = keep(sizes.select("band", "value", "shards"), "bk-sizes")
     homed = banded.join(sizes, ["band", "value"]).withColumn("home", F.pmod(F.xxhash64("fp", "band"), "shards"))
-    placed = homed.select("fp", *lanes, "band", "value", "home", F.explode(F.expr("sequence(0L, shards - 1)")).alias("other"))
+    placed = homed.select("fp", *more, "band", "value", "home", F.explode(F.expr("sequence(0L, shards - 1)")).alias("other"))
     # of a pair of shards the lower one asks and the higher one is the tree; a shard paired with itself is the tree
     placed = placed.select(
         "band", "value", F.least("home", "other").alias("s"), F.greatest("home", "other").alias("t"),
-        F.when(F.col("other") > F.col("home"), 1).otherwise(0).alias("role"), "fp", *lanes,
+        F.when(F.col("other") > F.col("home"), 1).otherwise(0).alias("role"), "fp", *more,
     )
     keys = ["band", "value", "s", "t"]
-    return placed.repartition(*keys).sortWithinPartitions(*keys, "role", "fp").mapInArrow(_search(radius, spanning), "a long, b long")
+    return placed.repartition(*keys).sortWithinPartitions(*keys, "role", "fp")
 
 
 def hex16(fp: Column) -> Column:
@@ -347,21 +415,20 @@ def _alike(a: np.ndarray, b: np.ndarray) -> bool:
     return shared * below >= (least + most - shared) * above
 
 
-def _confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, words: int) -> DataFrame:
-    """``a, b, alike``: the pairs of nodes, and whether the shingle sets of their texts are similar.
-
-    A set is computed once for each node in a pair, from the text with the node's ``twin``, and travels to its pairs by joins.
-    """
-    asked = pairs.select(F.col("a").alias("fp")).union(pairs.select(F.col("b").alias("fp"))).distinct()
-    asked = stored(nodes.join(asked, "fp", "left_semi").select("fp", "twin"), "similar-asked")
+def _sets(asked: DataFrame, docs: DataFrame, words: int) -> DataFrame:
+    """``fp, shingles``: the sets of the nodes ``asked``, each computed once, from the text with the node's ``twin``."""
 
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [shingle_set(t.as_py(), words).tobytes() for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], ["fp", "shingles"])
 
-    texts = docs.select(F.col("text").cast("string").alias("_text"), twin().alias("twin")).join(asked, "twin")
-    shingles = stored(texts.select("fp", "_text").mapInArrow(sets, "fp long, shingles binary").dropDuplicates(["fp"]), "similar-sets")
+    texts = docs.select(F.col("text").cast("string").alias("_text"), twin().alias("twin")).join(asked.select("fp", "twin"), "twin")
+    return texts.select("fp", "_text").mapInArrow(run, "fp long, shingles binary").dropDuplicates(["fp"])
+
+
+def _confirmed(pairs: DataFrame, shingles: DataFrame) -> DataFrame:
+    """``a, b, alike``: the pairs of nodes, and whether the shingle sets of their texts are similar."""
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -370,7 +437,7 @@ def _confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, words: int)
             yield pa.RecordBatch.from_arrays([*batch.columns[:2], alike], ["a", "b", "alike"])
 
     both = pairs.join(shingles.toDF("a", "sa"), "a").join(shingles.toDF("b", "sb"), "b").select("a", "b", "sa", "sb")
-    return stored(both.mapInArrow(compare, "a long, b long, alike boolean"), "similar-confirmed")
+    return both.mapInArrow(compare, "a long, b long, alike boolean")
 
 
 def similar_groups(docs: DataFrame, words: int = SIMILAR_WORDS, radius: int = SIMILAR_RADIUS) -> DataFrame:
@@ -380,29 +447,42 @@ def similar_groups(docs: DataFrame, words: int = SIMILAR_WORDS, radius: int = SI
     free of so many differences, so the shards of the BK-trees are the buckets that ``signature`` names, and
     the trees yield candidates, which link only if the exact similarity of their shingle sets is ``SIMILAR`` or more.
     Of pairs at 0.8, buckets miss 0.2 % and the radius nearly none.
-    Large groups have too many pairs to list. So at first only candidates that connect what all of them connect
-    are confirmed. Where some fail, others may hold instead: a second search lists every candidate between texts that
-    are not connected yet.
+    Large groups have too many pairs to list, also of those that are not similar in the end. So at first only candidates that connect what all
+    of them connect are confirmed. Where some fail, others may hold instead: the nodes that still have candidates among nodes they
+    are not connected to are named, their shingle sets go to the buckets where that is so, and the trees are walked once more, where a candidate is
+    confirmed or refuted at once and only confirmed ones that connect something leave the search.
     """
-    rows = stored(signatures(docs, words), "signatures")
+    spark, keep = docs.sparkSession, Interim("similar")
+    rows = keep("signatures", signatures(docs, words))
     # texts of equal sets are one member
-    members = stored(rows.select("fp", *LANE_NAMES, "buckets").distinct(), "signature-members")
-    nodes = stored(rows.groupBy("fp").agg(F.min("doc_id").alias("first"), F.min("twin").alias("twin")), "fingerprint-nodes")
+    members = keep("members", rows.select("fp", *LANE_NAMES, "buckets").distinct())
+    nodes = keep("nodes", rows.groupBy("fp").agg(F.min("doc_id").alias("first"), F.min("twin").alias("twin")))
+    lanes = ["root", *LANE_NAMES]
 
-    def candidates(rooted: DataFrame, spanning: bool) -> DataFrame:
-        lanes = ["root", *LANE_NAMES]
+    def placed(rooted: DataFrame, name: str) -> DataFrame:
         banded = rooted.select("fp", *lanes, F.posexplode("buckets").alias("band", "value"))
-        found = _links(banded, lanes, radius, TREE, spanning)
-        return stored(found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "similar-pairs")
+        return _placed(banded, lanes, TREE, lambda sizes, _: keep(f"sizes-{name}", sizes))
 
-    tried = _confirmed(candidates(members.withColumn("root", F.col("fp")), True), nodes, docs, words)
+    found = placed(members.withColumn("root", F.col("fp")), "first").mapInArrow(_walk(radius, lambda bucket, _: bucket.spanning()), "a long, b long")
+    pairs = keep("pairs", found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    asked = pairs.select(F.col("a").alias("fp")).union(pairs.select(F.col("b").alias("fp"))).distinct()
+    sets = keep("sets", _sets(nodes.join(asked, "fp", "left_semi"), docs, words))
+    tried = keep("tried", _confirmed(pairs, sets))
+    keep.drop(spark, "sizes-first", "pairs", "sets")
     links = tried.filter("alike").select("a", "b")
     if not tried.filter(~F.col("alike")).isEmpty():
-        roots = stored(components(links), "similar-roots")
+        roots = keep("roots", components(links))
         rooted = members.join(roots, members["fp"] == roots["node"], "left").withColumn("root", F.coalesce("root", "fp"))
-        more = candidates(stored(rooted.drop("node"), "similar-rooted"), False).join(tried, ["a", "b"], "left_anti")
-        links = links.union(_confirmed(more, nodes, docs, words).filter("alike").select("a", "b"))
-    return _grouped(rows.select("doc_id", "twin", "fp"), nodes, links)
+        rooted = keep("rooted", rooted.drop("node"))
+        pending = keep("pending", placed(rooted, "second").mapInArrow(_touch(radius), "band long, value long, fp long").distinct())
+        sets = keep("more-sets", _sets(nodes.join(pending.select("fp").distinct(), "fp", "left_semi"), docs, words))
+        shipped = pending.join(rooted.select("fp", *lanes), "fp").join(sets, "fp")
+        ready = _placed(shipped, [*lanes, "shingles"], TREE, lambda sizes, _: keep("sizes-sets", sizes), F.octet_length("shingles"))
+        links = links.union(keep("more", ready.mapInArrow(_walk(radius, lambda bucket, sets: bucket.confirmed(sets)), "a long, b long").distinct()))
+        keep.drop(spark, "roots", "rooted", "sizes-second", "pending", "more-sets", "sizes-sets")
+    found = _grouped(rows.select("doc_id", "twin", "fp"), nodes, links)
+    keep.drop(spark, "members", "nodes", *(n for n in ("tried", "more") if n in keep.paths))
+    return found
 
 
 def keep_one(docs: DataFrame, groups: DataFrame | None = None) -> DataFrame:
