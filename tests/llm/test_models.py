@@ -10,10 +10,10 @@ import pytest
 import sentencepiece
 import xxhash
 
-from tongues.llm import html, linear
+from tongues.llm import html, linear, mixing, simhash
 from tongues.llm.components import components
 from tongues.llm.language import identify, predict, train
-from tongues.llm.mixing import DOMAINS, TARGETS, fit_rates, mix, mixed_documents
+from tongues.llm.mixing import DOMAINS, TARGETS, fit_rates, mix, mixed_documents, mixture
 from tongues.llm.sentencepiece import MODEL, Vocabulary, codes_of, compose, prefixes, tokenize
 from tongues.llm.simhash import SIMILAR_RADIUS, BKTree, fingerprint, keep_one, near_links, signature, simhash_groups, similar_groups
 from tongues.llm.vptree import VPTree, nearest
@@ -289,13 +289,58 @@ def test_steps_go_on_until_rates_settle_and_a_limit_is_told(spark, monkeypatch,
     p = np.array([[0.5, 0.3, 0.2]]) + rng.uniform(-0.02, 0.02, (300, 1)) * np.array([[1, -0.5, -0.5]])  # hardly told apart
     rows = spark.createDataFrame([(100, [float(x) for x in q]) for q in p], "tokens long, p array<double>").coalesce(1).cache()
     rates = fit_rates(rows, TARGETS)
-    moved = np.abs(rates.replay(p)[2]).max()
-    assert moved <= mixing.FLAT and len(rates.pulls) < mixing.STEPS and not caplog.records
+    rate = rates.at(p)
+    gradient = p @ (((100 * rate) @ p - rates.wanted) / rates.totals) + mixing.RIDGE * (rate - 1)
+    assert np.abs(np.where(rate > 0, gradient, np.minimum(gradient, 0))).max() <= 1e-6
+    assert rates.gradient <= mixing.FLAT and rates.passes < mixing.STEPS and not caplog.records
     monkeypatch.setattr(mixing, "STEPS", 2)
     fit_rates(rows, TARGETS)
     assert "2 steps did not settle" in caplog.text and "reached" in caplog.text
 
 
+@pytest.mark.parametrize("least", [0.0, 1.0])
+def test_rates_equal_an_independent_bounded_solution(spark, least):
+    """Coordinate descent, rate by rate, on the same objective."""
+    rng = np.random.default_rng(21)
+    p = np.concatenate([rng.dirichlet([6, 1, 1.5], 90), rng.dirichlet([0.5, 0.5, 4], 40), rng.dirichlet([0.5, 4, 0.5], 40)])
+    tokens = rng.integers(0, 300, len(p))
+    rows = spark.createDataFrame([(int(t), [float(x) for x in q]) for t, q in zip(tokens, p)], "tokens long, p array<double>").coalesce(1).cache()
+    rates = fit_rates(rows, TARGETS, least=least)
+    floor = np.where(p.argmax(axis=1) == 0, least, 0.0)
+
+    def objective(rate):
+        miss = (tokens * rate) @ p - rates.wanted
+        return (miss ** 2 / rates.totals).sum() / 2 + mixing.RIDGE * (tokens * (rate - 1) ** 2).sum() / 2
+
+    rate = np.maximum(floor, 1.0)
+    for _ in range(4000):
+        miss = ((tokens * rate) @ p - rates.wanted)
+        for d in np.flatnonzero(tokens):
+            slope = (p[d] * miss / rates.totals).sum() + mixing.RIDGE * (rate[d] - 1)
+            new = max(floor[d], rate[d] - slope / (tokens[d] * (p[d] ** 2 / rates.totals).sum() + mixing.RIDGE))
+            miss += tokens[d] * (new - rate[d]) * p[d]
+            rate[d] = new
+    best, mine = objective(rate), objective(rates.at(p))
+    assert mine <= best * (1 + 1e-6) + 1e-9
+    assert rates.passes <= 30
+    column = np.array([r[0] for r in rows.select(rates.column()).collect()])
+    assert np.allclose(np.sort(column), np.sort(rates.at(p)), atol=1e-12)
+
+
+def test_totals_wanted_and_reached_are_returned(spark, documents):
+    rows = [(i, "good words here" if i % 3 else "bad words there") for i in range(60)]
+    labels = spark.createDataFrame([(i, 1, int(i % 3 == 0)) for i in range(40)], "doc_id long, quality int, toxic int")
+    found = mixture(documents(rows), labels)
+    totals = {r["domain"]: (r["wanted"], r["reached"]) for r in found.totals().collect()}
+    rates = [r for r in found.documents.collect()]
+    assert list(totals) == list(DOMAINS)
+    for d in DOMAINS:
+        assert totals[d][1] == pytest.approx(sum(r["tokens"] * r["rate"] * r[f"p_{d}"] for r in rates))
+    for r in mix(documents(rows), labels).collect():
+        best = max(DOMAINS, key=lambda d: r[f"p_{d}"])
+        assert r["domain"] == best and (r["wanted"], r["reached"]) == pytest.approx(totals[best])
+
+
 def test_mixing_of_odd_tables(spark, documents):
     labels = spark.createDataFrame([(1, 1, 0), (2, 0, 0), (3, 1, 1), (3, None, 1), (None, 1, 1), (4, None, None), (77, 1, 0)], "doc_id long, quality int, toxic int")
     rows = [(1, "good words"), (2, "*** %%%"), (3, "bad idiot"), (4, None), (5, ""), (5, ""), (None, "good words")]
@@ -488,3 +533,16 @@ def test_max_plus_products_are_associative():
     for i, m in enumerate(ms[1:], 1):
         out = compose(out, m)
         assert (prefixes(ms)[i] == out).all()
+
+
+@pytest.mark.parametrize("rows", [60, 120, 240])
+def test_links_of_a_template_family_grow_linearly(documents, monkeypatch, rows):
+    """Texts of one template with three words changed are all candidates of each other, and most are similar to a few only."""
+    rng = random.Random(rows)
+    template = [f"w{i}" for i in range(64)]
+    texts = [" ".join(edited(rng, template, template, 3)) for _ in range(rows)]
+    emitted = []
+    monkeypatch.setattr(simhash, "components", lambda links: emitted.append(links.count()) or components(links))
+    found = {r["doc_id"]: r["component_id"] for r in similar_groups(documents(list(enumerate(texts)))).collect()}
+    assert [found[i] for i in range(rows)] == plain_similar_groups(texts)
+    assert max(emitted) <= 2 * simhash.BANDS * rows

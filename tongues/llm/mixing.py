@@ -7,10 +7,11 @@ import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,9 +33,9 @@ HEADROOM = 1.1
 BUCKETS = 1 << 15
 #: The penalties leave some hundred words and signs of weight in the model.
 SETTINGS = Settings(alpha=0.2, l1=12.0, l2=0.01, epochs=8)
-#: Weight of staying near rate one, which makes the solution unique; relative error, or change of any rate in a step, that ends the
-#: steps; and steps after which they end in any case, with a warning.
-RIDGE, CLOSE, FLAT, STEPS = 1e-4, 1e-4, 1e-3, 400
+#: Weight of staying near rate one, which makes the solution unique; the projected gradient that ends the steps, as a share of
+#: a domain's tokens; and passes after which they end in any case, with a warning.
+RIDGE, FLAT, STEPS = 1e-4, 1e-9, 200
 _LOG = logging.getLogger(__name__)
 _TOKEN = re.compile(rb"[a-z\x80-\xff]+|[.,;:]|[^a-z\x80-\xff\s0-9.,;:]+")
 
@@ -101,34 +102,23 @@ def posteriors(docs: DataFrame, model: Model) -> DataFrame:
 
 @dataclass
 class Rates:
-    """Document rates as the replay of the descent: they depend on the posteriors alone."""
+    """Document rates as three numbers: ``pull`` for each domain. They depend on the posteriors alone."""
 
-    pulls: list[np.ndarray]
-    momenta: list[float]
+    pull: np.ndarray
     totals: np.ndarray
     wanted: np.ndarray
     reached: np.ndarray
     least: float = 0.0
+    passes: int = 0
+    gradient: float = 0.0
 
     def at(self, p: np.ndarray) -> np.ndarray:
         """Rates of the documents with posteriors ``p``, one row each."""
-        return self.replay(p)[0]
-
-    def replay(self, p: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Rates after all steps, the point at which the next gradient is taken, and the projected gradient of the last step."""
-        rate = ahead = np.ones(len(p))
-        slope = np.zeros(len(p))
-        floor = self.floor(p)
-        for pull, momentum in zip(self.pulls, self.momenta):
-            then = rate
-            rate = np.maximum(floor, ahead - (p @ pull + RIDGE * (ahead - 1.0)) / (1.0 + RIDGE))
-            slope = ahead - rate
-            ahead = rate + momentum * (rate - then)
-        return rate, ahead, slope
-
-    def floor(self, p: np.ndarray) -> np.ndarray:
-        """``least`` for documents whose best posterior is the first domain's, and zero for the others."""
-        return np.where((p[:, :1] >= p).all(axis=1), self.least, 0.0)
+        return np.maximum(np.where((p[:, :1] >= p).all(axis=1), self.least, 0.0), 1.0 - p @ self.pull)
+
+    def column(self, p: str = "p") -> Column:
+        """The same as an expression over an array of posteriors."""
+        return F.greatest(_floor(p, self.least), 1.0 - _product(p, self.pull))
 
     def shares(self) -> str:
         """Shares of all tokens that were wanted and reached."""
@@ -136,95 +126,125 @@ class Rates:
         return ", ".join(f"{d}: wanted {a:.4f}, reached {b:.4f}" for d, a, b in zip(DOMAINS, *both))
 
 
-def _matrix(column: pa.Array) -> np.ndarray:
-    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
+def _product(p: str, pull: np.ndarray) -> Column:
+    return reduce(Column.__add__, [F.col(p)[i] * float(x) for i, x in enumerate(pull)])
 
 
-def _totals(rows: DataFrame, rates: Rates) -> tuple[np.ndarray, np.ndarray, float]:
-    """Expected tokens by domain, at the rates and at the point ahead of them, and the largest projected gradient: a few rows from each task."""
-    width = len(DOMAINS)
+def _floor(p: str, least: float) -> Column:
+    """``least`` for documents whose best posterior is the first domain's, and zero for the others."""
+    return F.when(reduce(Column.__and__, [F.col(p)[0] >= F.col(p)[i] for i in range(len(DOMAINS))]), F.lit(float(least))).otherwise(0.0)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums, steepest = np.zeros(2 * width), 0.0
-        for batch in batches:
-            if batch.num_rows:
-                p, tokens = _matrix(batch.column(1)), batch.column(0).to_numpy(zero_copy_only=False)
-                rate, ahead, slope = rates.replay(p)
-                sums += np.concatenate([(tokens * rate) @ p, (tokens * ahead) @ p])
-                steepest = max(steepest, float(np.abs(slope).max()))
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(2 * width + 1)), pa.array([*sums, steepest])], ["k", "v"])
-
-    found = rows.select("tokens", "p").mapInArrow(run, "k long, v double").groupBy("k").agg(F.sum("v").alias("v"), F.max("v").alias("most"))
-    sums, steepest = np.zeros(2 * width), 0.0
-    for r in found.collect():
-        if r["k"] < 2 * width:
-            sums[r["k"]] = r["v"]
-        else:
-            steepest = r["most"]
-    now, ahead = sums.reshape(2, width)
-    return now, ahead, steepest
+
+def _pass(rows: DataFrame, pull: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray, float, float]:
+    """At the rates of ``pull``: expected tokens by domain, the Gram matrix of the posteriors of documents that are not at their bound,
+    the integral of the rates along the pull, and all tokens. One pass over narrow rows, which are added up where they are read."""
+    width, tokens = len(DOMAINS), F.col("tokens").cast("double")
+    marked = rows.select(tokens.alias("t"), "p", _floor("p", least).alias("f"), _product("p", pull).alias("u"))
+    p, free = [F.col("p")[i] for i in range(width)], 1.0 - F.col("u") > F.col("f")
+    weight = F.when(free, F.col("t")).otherwise(0.0)
+    rate = F.greatest("f", 1.0 - F.col("u"))
+    # the integral of the rate from 0 to u, where it is 1 - u down to the bound, and the bound from there on
+    edge = 1.0 - F.col("f")
+    area = F.when(free, F.col("u") - F.col("u") * F.col("u") / 2).otherwise(edge - edge * edge / 2 + F.col("f") * (F.col("u") - edge))
+    sums = [F.sum(F.col("t") * rate * x) for x in p] + [F.sum(weight * p[i] * p[j]) for i in range(width) for j in range(i, width)]
+    found = [x or 0.0 for x in marked.agg(*[c.alias(f"s{i}") for i, c in enumerate([*sums, F.sum(F.col("t") * area), F.sum("t")])]).first()]
+    gram = np.zeros((width, width))
+    gram[np.triu_indices(width)] = found[width:-2]
+    return np.array(found[:width]), gram + np.triu(gram, 1).T, found[-2], found[-1]
 
 
 def fit_rates(rows: DataFrame, targets: dict[str, float], headroom: float = HEADROOM, least: float = 0.0) -> Rates:
     """Nonnegative rates, of ``least`` or more for documents that are best in the first domain, whose expected tokens by domain match the targets, by projected gradient.
 
-    ``rows`` has ``tokens`` and ``p``. Minimised is the squared error of each domain's expected tokens,
-    relative to what the domain has now, plus a small pull towards rate one. In these units the
-    gradient of a document depends on its posteriors alone and the step length is one, so a step is
-    one pass over narrow rows that returns a few sums, and the driver keeps a few numbers a step.
-    Steps go on until the targets are met or the projected gradient is small; ``STEPS`` without either are warned of.
-    Where the bound forbids the targets, the error that remains is the smallest.
-    A domain without tokens is left out; with no tokens at all every rate is one.
+    ``rows`` has ``tokens`` and ``p``. Minimised is half the squared error of each domain's expected tokens, divided by what the domain has
+    now, plus ``RIDGE`` times half the squared distance of the rates from one, weighted by tokens. The gradient of a document is the same function of its posteriors
+    for all documents, so every iterate is a rate of one less the posteriors' product with a pull, projected onto the bound. A step
+    has two metrics: documents at their bound that the gradient presses on stay there, and the others move along the gradient in the metric of their own Hessian, which
+    the Gram matrix of their posteriors, three by three, gives; it is halved until the objective's dual falls. So a step is one pass, and nothing is replayed.
+    Steps go on until the projected gradient is small; ``STEPS`` without that are warned of. Where the bound forbids the
+    targets, the error that remains is the smallest. A domain without tokens is left out; with no tokens at all every rate is one.
     """
-    none = Rates([], [], np.zeros(len(DOMAINS)), np.zeros(len(DOMAINS)), np.zeros(len(DOMAINS)))
-    now, _, _ = _totals(rows, none)
-    total = now.sum()
+    width = len(DOMAINS)
+    pull, zero = np.zeros(width), np.zeros(width)
+    now, _, _, total = _pass(rows, zero, 0.0)
     share = np.array([targets.get(d, 0.0) for d in DOMAINS])
     if total <= 0 or share[0] <= 0 or now[0] <= 0:
-        return Rates([], [], now, now, now, least)
+        return Rates(zero, now, now, now, 0.0 if total <= 0 else least, 1)
     wanted = headroom * now[0] / share[0] * share
-    rates = Rates([], [], now, wanted, now, least)
-    weight, ahead, speed = np.where(now > 0, now, np.inf), now, 1.0
-    for _ in range(STEPS):
-        rates.pulls.append((ahead - wanted) / weight)
-        faster = (1.0 + np.sqrt(1.0 + 4.0 * speed * speed)) / 2.0
-        rates.momenta.append((speed - 1.0) / faster)
-        speed = faster
-        rates.reached, ahead, steepest = _totals(rows, rates)
-        if np.abs(rates.reached - wanted).max() <= CLOSE * total or steepest <= FLAT:
+    there = now > 0
+    scale = RIDGE * np.where(there, now, 1.0)
+    passes = 1
+
+    def look(at: np.ndarray) -> tuple[np.ndarray, np.ndarray, float, np.ndarray]:
+        nonlocal passes
+        passes += 1
+        reached, gram, area, _ = _pass(rows, at, least)
+        slope = np.where(there, reached - wanted - scale * at, 0.0)
+        return reached, gram, float(scale @ (at * at) / 2 + wanted @ at - area), slope
+
+    reached, gram, height, slope = look(pull)
+    while True:
+        gradient = float(np.abs(slope[there] / now[there]).max())
+        if gradient <= FLAT or passes >= STEPS:
             break
-    else:
-        _LOG.warning("mixing: %d steps did not settle the rates, which still change by %.2g a step; %s", STEPS, steepest, rates.shares())
-    _LOG.info("mixing: %s", rates.shares())
-    return rates
+        step = np.zeros(width)
+        step[there] = np.linalg.solve((gram + np.diag(scale))[np.ix_(there, there)], slope[there])
+        length = 1.0
+        while True:
+            ahead = look(pull + length * step)
+            if ahead[2] <= height - 1e-4 * length * float(slope @ step) or length < 1e-6 or passes >= STEPS:
+                break
+            length /= 2
+        pull = pull + length * step
+        reached, gram, height, slope = ahead
+    found = Rates(pull, now, wanted, reached, least, passes, gradient)
+    if gradient > FLAT:
+        _LOG.warning("mixing: %d steps did not settle the rates, whose projected gradient is still %.2g; %s", passes, gradient, found.shares())
+    _LOG.info("mixing: %s", found.shares())
+    return found
 
 
-def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None) -> DataFrame:
-    """``doc_id, twin, tokens``, the posteriors ``p_*``, ``rate`` and ``copies`` of every row of ``docs``.
+@dataclass
+class Mixture:
+    """Documents with their rates, and what the rates were to reach and reach."""
+
+    documents: DataFrame
+    rates: Rates
+
+    def totals(self) -> DataFrame:
+        """``domain, wanted, reached``: expected tokens, one row for each domain."""
+        rows = [(d, float(a), float(b)) for d, a, b in zip(DOMAINS, self.rates.wanted, self.rates.reached)]
+        return self.documents.sparkSession.createDataFrame(rows, "domain string, wanted double, reached double")
+
+
+def mixture(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None) -> Mixture:
+    """``doc_id, twin, tokens``, the posteriors ``p_*``, ``rate`` and ``copies`` of every row of ``docs``, with the totals wanted and reached.
 
     ``copies`` is the rate rounded up or down by a hash of id and text, so that it equals the rate on average;
-    rounding is repeatable. Documents that are clean by their best posterior have a rate of ``LEAST`` or more. The shares of tokens
-    after mixing match ``targets`` as nearly as that permits; the log tells the shares reached.
+    rounding is repeatable. Documents that are clean by their best posterior have a rate of ``LEAST`` or more, whatever the targets: this is a bounded
+    least-squares problem, and its totals are as near to the targets as that permits.
     """
     model = train_domains(docs, labels)
     rows = stored(posteriors(docs, model), "posteriors")
     rates = fit_rates(rows, targets or TARGETS, least=LEAST)
+    chance = F.pmod(F.xxhash64("doc_id", "twin"), F.lit(1 << 20)) / float(1 << 20)
+    split = [F.col("p")[i].alias(f"p_{d}") for i, d in enumerate(DOMAINS)]
+    rated = rows.select("doc_id", "twin", "tokens", *split, rates.column().alias("rate"))
+    return Mixture(rated.withColumn("copies", F.floor(F.col("rate") + chance).cast("long")), rates)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            p = _matrix(batch.column(3)) if batch.num_rows else np.empty((0, len(DOMAINS)))
-            columns = [*batch.columns[:3], *[pa.array(p[:, i]) for i in range(len(DOMAINS))], pa.array(rates.at(p))]
-            yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names[:3], *[f"p_{d}" for d in DOMAINS], "rate"])
 
-    schema = T.StructType([*rows.schema.fields[:3], *[T.StructField(n, T.DoubleType()) for n in (*[f"p_{d}" for d in DOMAINS], "rate")]])
-    rated = rows.mapInArrow(run, schema)
-    chance = F.pmod(F.xxhash64("doc_id", "twin"), F.lit(1 << 20)) / float(1 << 20)
-    return rated.withColumn("copies", F.floor(F.col("rate") + chance).cast("long"))
+def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None) -> DataFrame:
+    """The documents of ``mixture`` with the ``domain`` of their best posterior, and its tokens ``wanted`` and ``reached`` by all documents."""
+    found = mixture(docs, labels, targets)
+    posterior = [F.col(f"p_{d}") for d in DOMAINS]
+    best = F.array_position(F.array(*posterior), F.greatest(*posterior)).cast("int") - 1  # ties to the first
+    names = {"domain": DOMAINS, "wanted": found.rates.wanted.tolist(), "reached": found.rates.reached.tolist()}
+    return found.documents.withColumns({k: F.get(F.lit(list(v)), best) for k, v in names.items()})
 
 
 def mixed_documents(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None) -> DataFrame:
     """The rows of ``docs``, each as often as its ``copies`` say, in the columns of ``docs``."""
-    copies = mix(docs, labels, targets).groupBy("doc_id", "twin").agg(F.max("copies").alias("_copies"))
+    copies = mixture(docs, labels, targets).documents.groupBy("doc_id", "twin").agg(F.max("copies").alias("_copies"))
     copies = copies.filter("_copies > 0").toDF("_id", "_text", "_copies")
     marked = docs.withColumn("_twin", F.xxhash64("text"))
     joined = marked.join(copies, marked["doc_id"].eqNullSafe(copies["_id"]) & (marked["_twin"] == copies["_text"]))
