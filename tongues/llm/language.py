@@ -23,7 +23,7 @@ UNKNOWN = "und"
 _PIECE = 1 << 18
 _SHIFT = np.uint64(64 - 15)
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], dtype=np.uint64)
-_LETTER = re.compile(r"[^\W\d_]")
+_WORD_SIGN = re.compile(r"[^\W\d_]")
 
 
 def gram_counts(text: str) -> tuple[np.ndarray, np.ndarray]:
@@ -48,6 +48,11 @@ def gram_counts(text: str) -> tuple[np.ndarray, np.ndarray]:
     return positions, sums[positions]
 
 
+def has_letter(text: str) -> bool:
+    """Whether a code point is a letter by its Unicode category; other numerals than digits are signs of words but no letters."""
+    return any(m[0].isalpha() for m in _WORD_SIGN.finditer(text))
+
+
 def held_out(doc_id: str = "doc_id") -> Column:
     """Documents that are kept for tests: CRC-32 of the id as text leaves 2 when divided by 4."""
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % 4 == 2
@@ -101,7 +106,7 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
             names, scores = [], []
             for value in batch.column(batch.schema.get_field_index("text")):
                 text = value.as_py()
-                if not m.classes or text is None or not _LETTER.search(text):
+                if not m.classes or text is None or not has_letter(text):
                     names.append(UNKNOWN)
                     scores.append(0.0)
                     continue
