@@ -34,11 +34,17 @@ NEVER = frozenset(
 NOT_CONTENT = frozenset(
     "nav navbar navigation menu masthead footer sidebar aside ad ads advert adverts advertisement adsense banner sponsor "
     "sponsored promo promotion cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe "
-    "subscription signup login search share sharing social related recommended comment comments disqus respond replies "
-    "breadcrumb breadcrumbs pagination pager toolbar widget hidden".split()
+    "subscription signup login search share sharing social related recommended breadcrumb breadcrumbs pagination pager toolbar widget hidden".split()
+)
+#: Names of what readers say. No article inside such an element is the page's article.
+COMMENTS = frozenset("comment comments commentlist disqus respond replies".split())
+#: What may stand around such names, as in site-header, left-sidebar or comments-section; beside anything else, as in comments-open, has-sidebar or
+#: related-work, a name is not known to mean what it holds.
+STRUCTURE = frozenset(
+    "site page main global primary secondary left right top bottom upper lower user reader site wide sticky fixed inner outer "
+    "bar box area block list item items links link buttons button posts post articles stories form section wrapper wrap container holder slot "
+    "thread body tools row column col panel group unit zone region module widgets icons inline text title heading count".split()
 )
-#: What may stand before or after such a name, as in site-header or share-buttons; of anything else a name is not known to be one.
-BEFORE, AFTER = frozenset("site page main global".split()), frozenset("bar box area block list links buttons posts form".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar".split())
 #: Elements that never make a block of their own.
 INLINE = frozenset(
@@ -104,13 +110,9 @@ def _hash(*parts: object) -> int:
     return int.from_bytes(xxhash.xxh64_digest("\x1f".join(map(str, parts))), "big", signed=True)
 
 
-def _not_content(name: list[str], header: bool) -> bool:
-    """Whether the parts of a class or id say that the element is not content: each is such a word, but for what may stand around one."""
-    if name and name[0] in BEFORE:
-        name = name[1:]
-    while name and name[-1] in AFTER:
-        name = name[:-1]
-    return bool(name) and all(part in NOT_CONTENT or part == "header" and header for part in name)
+def _means(name: list[str], words: frozenset[str]) -> bool:
+    """Whether the parts of a class or id are some of ``words`` and otherwise tell only where or how the element stands."""
+    return any(part in words for part in name) and all(part in words or part in STRUCTURE for part in name)
 
 
 class Page:
@@ -149,14 +151,14 @@ class Page:
         if text:
             node = self.stack[-1]
             if not node.ruled_out:
-                self.parts.append(text)
+                self.parts.append(unescape(text))
             words = text.split()
             if words:
                 node.text.update(" ".join(words))
 
     def _flush(self) -> None:
         if self.parts:
-            text = " ".join(unescape("".join(self.parts)).split())
+            text = " ".join("".join(self.parts).split())
             self.parts = []
             if text:
                 node = self.stack[-1]
@@ -184,9 +186,12 @@ class Page:
         if parent.region == "main" and tag == "article":
             region = "article"
         out = parent.ruled_out or tag in NEVER or role in ROLES
+        if tag not in ("html", "body", "main"):
+            out = out or any(_means(name, COMMENTS) for name in names)
         marked = tag == "header" and not parent.region
         if tag not in ("html", "body", "main", "article") and role != "main":
-            marked = marked or any(_not_content(name, not parent.region) for name in names)
+            known = NOT_CONTENT if parent.region else NOT_CONTENT | {"header"}
+            marked = marked or any(_means(name, known) for name in names)
         deep = parent.depth >= DEPTH
         node = Node(tag, parent.key if deep else _hash(parent.key, label), parent.depth + (not deep), out, region, parent.around, parent.marks, parent.prose or tag in PROSE)
         if marked:
@@ -326,8 +331,8 @@ def style_tree(pages: DataFrame) -> DataFrame:
 def extract(pages: DataFrame) -> DataFrame:
     """``page_id, url, text, n_chars`` of every row of ``pages``; null html is empty, and so is its text.
 
-    Elements that are never part of an article, and those whose role or whole class or id says so, are ruled out first; a class or id does
-    not rule out the article or main element with the most text, nor what holds it.
+    Elements that are never part of an article, and those whose role, class or id says so, are ruled out first. A class or id of layout does
+    not rule out the article or main element with the most text, nor what holds it; one of reader comments does, and their articles are none.
     Then the branches go whose importance in the host's style tree is low, except paragraphs, headings,
     lists and tables inside an article, which repeat where pages are copies of one another. The text
     is of the articles and of main's paragraphs around them, or of all of main, or of the whole body, by where most of it is. Blocks are
