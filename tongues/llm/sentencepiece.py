@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import reduce
 from pathlib import Path
 
 import numpy as np
@@ -19,6 +20,8 @@ from tongues.sources.scratch import stored
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: Texts longer than ``GIANT`` code points are cut into chunks of ``CHUNK`` that are worked on separately.
 GIANT, CHUNK = 65_536, 8_192
+#: Transfer matrices that one group combines.
+SPAN = 256
 #: Words whose ids a worker remembers.
 REMEMBERED = 100_000
 _SPACE = "▁"
@@ -268,22 +271,21 @@ def compose(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return (a[:, :, None] + b[None, :, :]).max(1)
 
 
-def prefixes(matrices: list[np.ndarray]) -> list[np.ndarray]:
-    """Products of the first one, two, three and so on: as the product is associative, a logarithmic number of rounds is enough."""
-    out, step = list(matrices), 1
-    while step < len(out):
-        out = [compose(out[i - step], m) if i >= step else m for i, m in enumerate(out)]
-        step *= 2
-    return out
+def product(matrices: list[np.ndarray]) -> np.ndarray:
+    """The max-plus product of some chunks' matrices, in order."""
+    return reduce(compose, matrices)
 
 
-def boundary_states(matrices: list[np.ndarray]) -> list[int]:
-    """The state of a best path at the start of each chunk and after the last one."""
-    before = prefixes(matrices)
-    states = [int(before[-1][0].argmax())]
-    for k in range(len(matrices) - 1, 0, -1):
-        states.append(int((before[k - 1][0] + matrices[k][:, states[-1]]).argmax()))
-    return [0, *reversed(states)]
+def boundary_states(matrices: list[np.ndarray], entry: int = 0, leave: int | None = None) -> list[int]:
+    """The states of a best path from state ``entry`` to state ``leave``, the best one by default, at the start of each chunk and after the last one."""
+    scores = [np.full(matrices[0].shape[0], _NONE)]
+    scores[0][entry] = 0.0
+    for m in matrices:
+        scores.append((scores[-1][:, None] + m).max(0))
+    states = [int(scores[-1].argmax()) if leave is None else leave]
+    for score, m in zip(reversed(scores[:-1]), reversed(matrices)):
+        states.append(int((score + m[:, states[-1]]).argmax()))
+    return states[::-1]
 
 
 def backtrace(v: Vocabulary, lattice: list, codes: np.ndarray, a: int, b: int, begins: bool, entry: int, leave: int) -> list[int]:
@@ -340,12 +342,44 @@ def _short(shared, decoded: bool, slice_: int = 250):
     return run
 
 
+def _read(table: pa.Table) -> list[np.ndarray]:
+    return [np.frombuffer(m).reshape(-1, w) for m, w in zip(table["matrix"].to_pylist(), table["width"].to_pylist())]
+
+
+def scan(moves: DataFrame, span: int = SPAN) -> DataFrame:
+    """``tid, k, entry, leave``: the states of a best path of each text before and after each of its chunks ``k``, from their matrices."""
+
+    def up(table: pa.Table) -> pa.Table:
+        m = product(_read(table.sort_by("k")))
+        return pa.table({"tid": table["tid"][:1], "k": table["block"][:1], "matrix": pa.array([m.tobytes()], pa.binary()), "width": pa.array([m.shape[1]], pa.int32())})
+
+    def down(table: pa.Table) -> pa.Table:
+        table = table.sort_by("k")
+        at = boundary_states(_read(table), table["from"][0].as_py(), table["to"][0].as_py())
+        return pa.table({"tid": table["tid"], "k": table["k"], "entry": pa.array(at[:-1], pa.int32()), "leave": pa.array(at[1:], pa.int32())})
+
+    block = F.expr(f"k div {span}").alias("block")
+    levels = [stored(moves, "matrices")]
+    while (levels[-1].agg(F.max("k")).first()[0] or 0) >= span:
+        above = levels[-1].select("*", block).groupBy("tid", "block").applyInArrow(up, "tid string, k long, matrix binary, width int")
+        levels.append(stored(above, "matrices"))
+    # a text begins in its only state, 0, and ends in its best one
+    ends = levels[-1].select("*", F.lit(0).alias("from"), F.lit(None).cast("int").alias("to"), F.lit(0).cast("long").alias("block"))
+    for i in range(len(levels) - 1, -1, -1):
+        found = ends.groupBy("tid", "block").applyInArrow(down, "tid string, k long, entry int, leave int")
+        if i:
+            found = stored(found.select("tid", F.col("k").alias("block"), F.col("entry").alias("from"), F.col("leave").alias("to")), "states")
+            ends = levels[i - 1].select("*", block).join(found, ["tid", "block"])
+    return found
+
+
 def _giants(texts: DataFrame, v: Vocabulary, chunk: int) -> DataFrame:
     """``tid, ids`` of distinct giant texts ``tid, text``.
 
     Chunks are rows of their own, with a margin in which the pieces across their boundaries lie. Each yields its
-    transfer matrix; one small task a text composes these and fixes the states at the boundaries;
-    each chunk is then traced back on its own.
+    transfer matrix. As the product is associative, the matrices of ``SPAN`` neighbours are combined into one, and so on until a text has
+    ``SPAN`` at most; from these the states at the boundaries are handed down again, level by level, so no group has more than
+    ``SPAN`` matrices. Each chunk is then traced back on its own.
     """
     shared = texts.sparkSession.sparkContext.broadcast(v)
     margin = v.longest
@@ -374,12 +408,6 @@ def _giants(texts: DataFrame, v: Vocabulary, chunk: int) -> DataFrame:
             columns = [batch.column("tid"), batch.column("start"), pa.array(found, pa.binary()), pa.array(widths, pa.int32())]
             yield pa.RecordBatch.from_arrays(columns, ["tid", "start", "matrix", "width"])
 
-    def states(table):
-        table = table.sort_by("start")
-        found = zip(table["matrix"].to_pylist(), table["width"].to_pylist())
-        at = boundary_states([np.frombuffer(m).reshape(-1, w) for m, w in found])
-        return pa.table({"tid": table["tid"], "start": table["start"], "entry": pa.array(at[:-1], pa.int32()), "leave": pa.array(at[1:], pa.int32())})
-
     def traces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = shared.value
         for batch in batches:
@@ -389,10 +417,13 @@ def _giants(texts: DataFrame, v: Vocabulary, chunk: int) -> DataFrame:
                 ids.append(np.array(backtrace(v, v.lattice(codes), codes, a, b, start == 0, entry, leave), np.int32))
             yield pa.RecordBatch.from_arrays([batch.column("tid"), batch.column("start"), _lists(ids)], ["tid", "start", "ids"])
 
-    moves = chunks.repartition(tasks, "tid", "start").mapInArrow(matrices, "tid string, start int, matrix binary, width int")
-    fixed = moves.groupBy("tid").applyInArrow(states, "tid string, start int, entry int, leave int")
+    # by other expressions than the join's keys, as an exchange that the join makes needless is dropped, and its own has few tasks
+    dealt = F.xxhash64(F.lit(4), "tid", "start")
+    moves = chunks.repartition(tasks, dealt).mapInArrow(matrices, "tid string, start int, matrix binary, width int")
+    fixed = scan(moves.select("tid", F.expr(f"start div {chunk}").alias("k"), "matrix", "width"))
+    fixed = fixed.select("tid", (F.col("k") * chunk).cast("int").alias("start"), "entry", "leave")
     placed = chunks.join(fixed, ["tid", "start"]).select("tid", "start", "a", "b", "part", "entry", "leave")
-    traced = placed.repartition(tasks, "tid", "start").mapInArrow(traces, "tid string, start int, ids array<int>")
+    traced = placed.repartition(tasks, dealt).mapInArrow(traces, "tid string, start int, ids array<int>")
     parts = traced.groupBy("tid").agg(F.array_sort(F.collect_list(F.struct("start", "ids"))).alias("parts"))
     return parts.select("tid", F.flatten(F.transform("parts", lambda p: p["ids"])).alias("ids"))
 
