@@ -10,11 +10,13 @@ import pytest
 import sentencepiece
 import xxhash
 
+from pyspark.sql import functions as F
+
 from tongues.llm import html, linear, mixing, simhash
 from tongues.llm.components import components
 from tongues.llm.language import identify, predict, train
 from tongues.llm.mixing import DOMAINS, TARGETS, fit_rates, mix, mixed_documents, mixture
-from tongues.llm.sentencepiece import MODEL, Vocabulary, codes_of, compose, prefixes, tokenize
+from tongues.llm.sentencepiece import MODEL, Vocabulary, codes_of, compose, product, scan, tokenize
 from tongues.llm.simhash import SIMILAR_RADIUS, BKTree, fingerprint, keep_one, near_links, signature, simhash_groups, similar_groups
 from tongues.llm.vptree import VPTree, nearest
 
@@ -532,7 +534,7 @@ def test_max_plus_products_are_associative():
     out = ms[0]
     for i, m in enumerate(ms[1:], 1):
         out = compose(out, m)
-        assert (prefixes(ms)[i] == out).all()
+        assert (product(ms[:i + 1]) == out).all()
 
 
 @pytest.mark.parametrize("rows", [60, 120, 240])
@@ -546,3 +548,132 @@ def test_links_of_a_template_family_grow_linearly(documents, monkeypatch, rows):
     found = {r["doc_id"]: r["component_id"] for r in similar_groups(documents(list(enumerate(texts)))).collect()}
     assert [found[i] for i in range(rows)] == plain_similar_groups(texts)
     assert max(emitted) <= 2 * simhash.BANDS * rows
+
+
+@pytest.mark.parametrize("span", [2, 5, 256])
+def test_states_of_many_chunks_equal_a_plain_walk(spark, span):
+    """Texts of one to many chunks, in groups of ``span`` matrices at most; scores of the paths are the best there are."""
+    rng = np.random.default_rng(span)
+    rows, plain = [], {}
+    for tid, n in (("a", 1), ("b", 4), ("c", 33), ("d", 64)):
+        sizes = [1, *rng.integers(1, 4, n - 1).tolist(), 1]
+        ms = [np.where(rng.random((a, b)) < 0.2, -np.inf, rng.integers(-9, 9, (a, b)).astype(float)) for a, b in zip(sizes, sizes[1:])]
+        ms = [np.where(np.isneginf(m).all(), 0.0, m) for m in ms]
+        plain[tid] = ms
+        rows += [(tid, k, m.tobytes(), m.shape[1]) for k, m in enumerate(ms)]
+    rng.shuffle(rows)
+    frame = spark.createDataFrame([(t, int(k), bytes(m), int(w)) for t, k, m, w in rows], "tid string, k long, matrix binary, width int")
+    found = {(r["tid"], r["k"]): (r["entry"], r["leave"]) for r in scan(frame, span).collect()}
+    for tid, ms in plain.items():
+        path = [found[tid, k] for k in range(len(ms))]
+        assert path[0][0] == 0 and all(a[1] == b[0] for a, b in zip(path, path[1:]))
+        assert sum(m[a, b] for m, (a, b) in zip(ms, path)) == product(ms)[0].max()
+
+
+def test_a_hundred_thousand_chunks_meet_in_small_groups(spark):
+    n = 100_000
+    m = np.array([[0.0, -1.0], [-1.0, 0.0]])
+    frame = spark.range(n).selectExpr("'t' AS tid", "id AS k").repartition(8)
+    frame = frame.withColumn("matrix", F.lit(m.tobytes())).withColumn("width", F.lit(2))
+    found = scan(frame).agg(F.count("*"), F.sum("entry"), F.sum("leave")).first()
+    assert tuple(found) == (n, 0, 0)
+
+
+NOT_STORY = ["comments-section", "user-comments", "comment-thread", "comment-body", "left-sidebar", "top-nav", "footer-wrapper", "ad-slot",
+             "ad-container", "related-articles", "share-tools", "comment-list", "site-header", "cookie-notice"]
+
+
+@pytest.mark.parametrize("name", NOT_STORY)
+def test_names_of_what_is_not_the_story(name):
+    for attribute in ("class", "id"):
+        page = f"<body><article><p>The story itself.</p></article><div {attribute}='{name}'><p>Something else that is a little longer.</p></div></body>"
+        assert html.Page(page).main_text(frozenset()) == "The story itself."
+        page = f"<body><div><p>The story itself.</p></div><div {attribute}='{name}'><p>Else.</p></div></body>"
+        assert html.Page(page).main_text(frozenset()) == "The story itself."
+
+
+@pytest.mark.parametrize("name", ["has-sidebar", "no-sidebar", "comments-open", "with-menu", "related-work", "advice", "story-body", "content", "shareholder"])
+def test_names_that_may_hold_the_story(name):
+    assert html.Page(f"<body><div class='{name}'><p>The story itself.</p></div></body>").main_text(frozenset()) == "The story itself."
+
+
+def test_reader_comments_shaped_like_articles():
+    remarks = "".join(f"<article class='remark'><p>Reader {i} has a good deal to say about this, more than the story has.</p></article>" for i in range(3))
+    for box in ("<section class='comments'>", "<div id='disqus_thread'>", "<ol class='comment-list'>"):
+        page = f"<body><article><p>The story itself.</p>{'' if 'ol' in box else ''}</article>{box}{remarks}</body>"
+        assert html.Page(page).main_text(frozenset()) == "The story itself."
+    page = "<body><article><p>The story itself.</p></article><article class='comment'><p>A remark that is much longer than it.</p></article></body>"
+    assert html.Page(page).main_text(frozenset()) == "The story itself."
+    page = "<body><div class='sidebar-wrapper'><article><p>The story itself, in a badly named box.</p></article></div></body>"
+    assert html.Page(page).main_text(frozenset()) == "The story itself, in a badly named box."
+
+
+def test_references_are_decoded_in_their_own_piece_of_text():
+    assert html.Page("<body><p>a &l<b>t;</b> b &lt;i&gt; &amp;amp; &#233;</p></body>").main_text(frozenset()) == "a &lt; b <i> &amp; é"
+
+
+def test_style_tree_equals_plain_entropies(spark):
+    rng = random.Random(14)
+    rows = []
+    for i in range(40):
+        body = "".join(f"<div class='{rng.choice('ab')}'><p>{rng.choice(['same', 'other', f'own {i}'])}</p></div>" for _ in range(rng.randint(0, 3)))
+        rows.append((i, f"https://h{i % 3}.org/{i}", f"<body><nav>menu</nav>{body}</body>" if i % 11 else None))
+    found = {(r["host"], r["node"]): (r["pages"], r["importance"]) for r in html.style_tree(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    seen = {}
+    for _, url, page in rows:
+        parsed = html.Page(page or "")
+        for node, layout, content in parsed.style():
+            old = seen.setdefault((html.host_of(url), node), {}).get(parsed.words(), (layout, content))
+            seen[html.host_of(url), node][parsed.words()] = min(old[0], layout), min(old[1], content)
+
+    def entropy(values):
+        m = len(values)
+        shares = [values.count(v) / m for v in set(values)]
+        return 1.0 if m == 1 else -sum(s * np.log(s) for s in shares) / np.log(m)
+
+    assert found.keys() == seen.keys()
+    for key, pages in seen.items():
+        layouts, contents = map(list, zip(*pages.values()))
+        below = html.DECAY ** len(set(layouts))
+        assert found[key] == (len(pages), pytest.approx((1 - below) * entropy(layouts) + below * entropy(contents)))
+
+
+@pytest.mark.parametrize("text", ["½ ²", "① ⅷ Ⅳ", "_ 12 ³", "٣", "", None])
+def test_numerals_are_no_letters(documents, text):
+    rows = [(i, "the words of a language", "en") for i in range(30)] + [(100, text, "en")]
+    found = {r["doc_id"]: r for r in identify(documents(rows)).collect()}
+    assert (found[100]["lang_pred"], found[100]["score"]) == ("und", 0.0) and found[0]["lang_pred"] == "en"
+
+
+def test_weights_equal_plain_tfidf():
+    from tongues.llm.language import LENGTHS, gram_counts
+    from tongues.llm.linear import Model, inverse_frequencies
+
+    text = "Ein kleiner Text, ein Ein"
+    grams = [text.lower()[i:i + n] for n in LENGTHS for i in range(len(text) - n + 1)]
+    at, counts = gram_counts(text)
+    assert counts.sum() == len(grams) and sorted(counts.tolist()) == sorted(grams.count(g) for g in set(grams))
+    idf = inverse_frequencies(9, np.arange(1 << 15) % 7)
+    _, weights = Model(["a"], np.zeros((1, 1)), idf).weigh(at, counts)
+    plain = np.array([(1 + np.log(c)) * (np.log(10 / (1 + p % 7)) + 1) for p, c in zip(at, counts)])
+    assert weights == pytest.approx(plain / np.linalg.norm(plain))
+
+
+@pytest.mark.parametrize("scale", [1e-170, 1e-320, 1e160, 1e300, None])
+def test_nearest_of_extreme_components(spark, scale):
+    rng = np.random.default_rng(31)
+    vectors = rng.normal(size=(600, 5))
+    sizes = np.full(600, scale) if scale else 10.0 ** rng.integers(-300, 300, 600)
+    vectors = vectors * sizes[:, None]
+    vectors[(vectors == 0).all(axis=1), 0] = 5e-324
+    frame = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>")
+    found = {}
+    for r in nearest(frame, frame["vec_id"] % 20 == 0, shard=250, block=7).collect():
+        found.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], r["score"]))
+    for q in range(0, 600, 20):
+        scores = np.zeros(600)
+        with np.errstate(over="ignore", invalid="ignore"):
+            for j in range(5):
+                scores += vectors[q, j] * vectors[:, j]
+        order = [i for i in np.lexsort((np.arange(600), -scores)) if i != q and not np.isnan(scores[i])][:20]
+        assert sorted(found[q]) == [(n + 1, i, scores[i]) for n, i in enumerate(order)]
