@@ -15,7 +15,7 @@ import pytest
 from tongues.llm import suffixes
 from tongues.llm.audit import FILTERS, Diagram, adjacent_swaps, audit_filters, audit_part
 from tongues.llm.spelling import gram_prefix, index_keys, pivots, probe_keys, spelling_groups
-from tongues.llm.suffixes import Intervals, SuffixArray, remove_repeats, window_runs
+from tongues.llm.suffixes import Intervals, SuffixArray, remove_repeats, repeat_groups, window_runs
 
 UPPER = {c: c + 32 for c in range(65, 91)}
 LABELS = "doc_id long, quality int, toxic int"
@@ -165,6 +165,31 @@ def test_repeats_of_nothing_and_of_a_very_long_text(documents):
     assert [r[2:4] for r in collected(remove_repeats(documents(rows)))] == [(0, 0), (60, 1), (100, 1)]
 
 
+@pytest.mark.parametrize("bucket", [suffixes.BUCKET, 2])
+def test_repeat_groups_have_all_their_places(documents, monkeypatch, bucket):
+    monkeypatch.setattr(suffixes, "BUCKET", bucket)
+    rows = [r for r in repeated_rows() if r[0] is not None and r[0] not in (7, 301)]
+    texts = {i: (t or "").encode() for i, t in rows}
+    groups = defaultdict(set)
+    for r in repeat_groups(documents(rows, clash=True).repartition(4)).collect():
+        groups[r["group"], r["size"]].add((r["doc_id"], r["first"]))
+    holding, covered = defaultdict(set), defaultdict(set)
+    for i, t in texts.items():
+        for p in range(len(t) - suffixes.LENGTH + 1):
+            holding[t[p:p + suffixes.LENGTH]].add((i, p))
+    for (_, size), places in groups.items():
+        i, p = min(places)
+        repeat = texts[i][p:p + size]
+        assert size >= suffixes.LENGTH and len(places) > 1
+        everywhere = {(j, q) for j, q in holding[repeat[:suffixes.LENGTH]] if texts[j][q:q + size] == repeat}
+        assert places == everywhere  # not just neighbours
+        for j, q in places:
+            covered[j].update(range(q, q + size - suffixes.LENGTH + 1))
+    for places in holding.values():
+        if len({texts[i] for i, _ in places}) > 1:
+            assert all(p in covered[i] for i, p in places)
+
+
 def test_equal_windows_have_equal_buckets():
     rng = random.Random(8)
     text = bytes(rng.choice(b"abcab ") for _ in range(70_000)) + b"z" * 500

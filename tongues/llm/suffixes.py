@@ -7,6 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -91,13 +92,13 @@ def _signed(values: np.ndarray) -> pa.Array:
 
 
 def _anchored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``bucket, doc, twin, at, role, deal`` of every run.
+    """``bucket, doc, twin, at, role`` of every run.
 
     ``at`` holds start and count. Buckets that two texts of a batch share need no question: their runs
-    have role 0 and are dealt out by text; one row of role 1 without a text tells the others. The rest have role 2. Of copies of
+    have role 0; one row of role 1 without a text tells the others. The rest have role 2. Of copies of
     a text in one batch, that of the smallest document counts.
     """
-    names = ["bucket", "doc", "twin", "at", "role", "deal"]
+    names = ["bucket", "doc", "twin", "at", "role"]
     for batch in batches:
         docs, twins = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
         order = np.lexsort((docs, twins))
@@ -117,10 +118,9 @@ def _anchored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         size = np.diff(np.append(edge, len(bucket)))
         shared = np.minimum.reduceat(row, edge) != np.maximum.reduceat(row, edge)
         role = np.repeat(np.where(shared, 0, 2), size)
-        deal = np.where(role == 0, bucket ^ (twins[row].view(np.uint64) * _M2), bucket)
-        columns = [bucket, docs[row].view(np.uint64), twins[row].view(np.uint64), at.view(np.uint64), role.astype(np.uint64), deal]
+        columns = [bucket, docs[row].view(np.uint64), twins[row].view(np.uint64), at.view(np.uint64), role.astype(np.uint64)]
         tell = bucket[edge[shared]]
-        more = [tell, *[np.zeros(len(tell), np.uint64)] * 3, np.ones(len(tell), np.uint64), tell]
+        more = [tell, *[np.zeros(len(tell), np.uint64)] * 3, np.ones(len(tell), np.uint64)]
         yield pa.RecordBatch.from_arrays([_signed(np.concatenate(x)) for x in zip(columns, more)], names)
 
 
@@ -285,21 +285,10 @@ class Intervals:
         return np.where((found >= 0) & np.array(self.diverse)[np.maximum(found, 0)], found, -1)
 
 
-def _repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of pieces in order of ``bucket``: ``bucket, code, first, size``, what each owner's piece loses to smaller documents."""
-    names = ["bucket", "code", "first", "size"]
+def _whole_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Rows in order of ``bucket`` in tables of about ``_ARRAY`` bytes of pieces that cut no bucket in two."""
     held: list[pa.RecordBatch] = []
     total = 0
-
-    def answer(rows: pa.Table) -> pa.RecordBatch:
-        bucket, code, owner = (rows.column(n).to_numpy() for n in ("bucket", "code", "owner"))
-        array = SuffixArray(rows.column("piece").to_pylist())
-        tree = Intervals(array, owner)
-        node = tree.covering(owner, array)
-        hit = np.flatnonzero(node >= 0)
-        at, size = array.piece[hit], np.array(tree.length, np.int64)[node[hit]] if len(hit) else np.empty(0, np.int64)
-        return pa.RecordBatch.from_arrays([pa.array(x) for x in (bucket[at], code[at], array.offset[hit], size)], names)
-
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -310,15 +299,59 @@ def _repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             bucket = rows.column("bucket").to_numpy()
             last = int(np.searchsorted(bucket, bucket[-1]))
             if last:
-                yield answer(rows.slice(0, last).combine_chunks())
+                yield rows.slice(0, last).combine_chunks()
             held, total = rows.slice(last).combine_chunks().to_batches(), len(rows) - last
     if total:
-        yield answer(pa.Table.from_batches(held).combine_chunks())
+        yield pa.Table.from_batches(held).combine_chunks()
+
+
+def _repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of pieces in order of ``bucket``: ``bucket, code, first, size``, what each owner's piece loses to smaller documents."""
+    for rows in _whole_buckets(batches):
+        bucket, code, owner = (rows.column(n).to_numpy() for n in ("bucket", "code", "owner"))
+        array = SuffixArray(rows.column("piece").to_pylist())
+        tree = Intervals(array, owner)
+        node = tree.covering(owner, array)
+        hit = np.flatnonzero(node >= 0)
+        at, size = array.piece[hit], np.array(tree.length, np.int64)[node[hit]] if len(hit) else np.empty(0, np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (bucket[at], code[at], array.offset[hit], size)], ["bucket", "code", "first", "size"])
+
+
+def _maximal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of pieces in order of ``bucket``, with their number ``n`` of places: ``bucket, code, first, size, group`` of every place of every left-diverse interval in a piece.
+
+    A piece that has several places and is in no interval as a whole is a group of its own.
+    """
+    names = ["bucket", "code", "first", "size", "group"]
+    for rows in _whole_buckets(batches):
+        bucket, code, n = (rows.column(c).to_numpy() for c in ("bucket", "code", "n"))
+        pieces = rows.column("piece").to_pylist()
+        array = SuffixArray(pieces)
+        tree = Intervals(array, np.zeros(len(pieces), np.int64))
+        alone = n > 1
+        found: list[tuple[int, int, int, int]] = []
+        for size, low, high, diverse in zip(tree.length, tree.low, tree.high, tree.diverse):
+            members = list(zip(array.piece[low:high + 1].tolist(), array.offset[low:high + 1].tolist()))
+            for piece, offset in members:
+                alone[piece] &= offset > 0 or size < len(pieces[piece])
+            if diverse:
+                piece, offset = members[0]
+                name = _name(pieces[piece][offset:offset + size])
+                found += [(piece, offset, size, name) for piece, offset in members]
+        found += [(i, 0, len(pieces[i]), _name(pieces[i])) for i in np.flatnonzero(alone).tolist()]
+        if found:
+            at, *rest = (np.array(x, np.int64) for x in zip(*found))
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (bucket[at], code[at], *rest)], names)
+
+
+def _name(repeat: bytes) -> int:
+    """The hash that Spark gives to the same bytes."""
+    return int.from_bytes(xxhash.xxh64_digest(repeat, 42), "big", signed=True)
 
 
 def _split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The strings of ``LENGTH`` bytes in each piece, with their place in it."""
-    names = ["bucket", "code", "owner", "offset", "gram"]
+    """The strings of ``LENGTH`` bytes in each piece, with their place in it and the piece's third column."""
+    names = ["bucket", "code", "value", "offset", "gram"]
     for batch in batches:
         pieces = batch.column(3).to_pylist()
         counts = np.fromiter((len(p) - LENGTH + 1 for p in pieces), np.int64, len(pieces))
@@ -331,10 +364,12 @@ def _split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def shared_runs(docs: DataFrame) -> DataFrame:
     """``bucket, doc, twin, at`` of the runs of windows whose bucket two different texts have; of copies of a text, the smallest document's."""
     found = _texts(docs).filter(F.octet_length("text") >= LENGTH).mapInArrow(
-        _anchored, "bucket long, doc long, twin long, at long, role long, deal long"
+        _anchored, "bucket long, doc long, twin long, at long, role long"
     )
-    dealt = found.repartition("deal").sortWithinPartitions("bucket", "role", "twin", "doc")
-    return dealt.select("bucket", "doc", "twin", "at", "role").mapInArrow(_shared, "bucket long, doc long, twin long, at long")
+    # known runs of a bucket are dealt out by text, all else by bucket
+    dealt = found.repartition(F.when(F.col("role") == 0, F.xxhash64("bucket", "twin")).otherwise(F.col("bucket")))
+    dealt = dealt.sortWithinPartitions("bucket", "role", "twin", "doc")
+    return dealt.mapInArrow(_shared, "bucket long, doc long, twin long, at long")
 
 
 def repeat_pieces(docs: DataFrame, shared: DataFrame) -> DataFrame:
@@ -359,8 +394,8 @@ def lost_ranges(pieces: DataFrame, keep: Interim) -> DataFrame:
     small = sized.filter(F.col("n") <= BUCKET).select(*keys, "owner", "piece").repartition("bucket").sortWithinPartitions("bucket")
     found = small.mapInArrow(_repeats, "bucket long, code long, first long, size long")
     grams = sized.filter(F.col("n") > BUCKET).select(*keys, "owner", "piece").mapInArrow(
-        _split, "bucket long, code long, owner long, offset long, gram binary"
-    )
+        _split, "bucket long, code long, value long, offset long, gram binary"
+    ).withColumnRenamed("value", "owner")
     least = grams.groupBy("gram").agg(F.min("owner").alias("least"))
     hot = grams.join(least, "gram").filter("least < owner").select(*keys, F.col("offset").alias("first"), F.lit(LENGTH).cast("long").alias("size"))
     cuts = keep("cuts", found.unionByName(hot))
@@ -371,6 +406,34 @@ def lost_ranges(pieces: DataFrame, keep: Interim) -> DataFrame:
     return whole.unionByName(cut.select("doc", "twin", (F.col("start") + F.col("first")).alias("first"), "size"))
 
 
+def repeat_groups(docs: DataFrame) -> DataFrame:
+    """``group, size, doc_id, first``: every place of the maximal repeats of ``LENGTH`` bytes or more that two different texts share a window of.
+
+    ``group`` is a hash of the repeated bytes, ``size`` their number, ``first`` where they begin in the document. Repeats are maximal as far as
+    a run of windows of one bucket reaches: a longer one is a chain of groups that overlap. A repeat within another is a group too if it has more places, so the
+    result may be much larger than the texts. In buckets of more than ``BUCKET`` pieces the groups are strings of ``LENGTH`` bytes. A text that is in
+    several rows has its places in each of them; null texts have none.
+    """
+    spark, keep = docs.sparkSession, Interim("groups")
+    pieces = keep("pieces", repeat_pieces(docs, keep("shared", shared_runs(docs))))
+    keep.drop(spark, "shared")
+    pieces = pieces.dropDuplicates(["bucket", "code", "twin", "start"])  # copies that met in no batch
+    keys = ["bucket", "code"]
+    different = keep("different", pieces.groupBy(*keys, "piece").agg(F.count(F.lit(1)).alias("n")))
+    sized = different.join(different.groupBy("bucket").agg(F.count(F.lit(1)).alias("pieces")), "bucket")
+    small = sized.filter(F.col("pieces") <= BUCKET).select(*keys, "n", "piece").repartition("bucket").sortWithinPartitions("bucket")
+    found = small.mapInArrow(_maximal, "bucket long, code long, first long, size long, group long")
+    grams = sized.filter(F.col("pieces") > BUCKET).select(*keys, "n", "piece").mapInArrow(
+        _split, "bucket long, code long, value long, offset long, gram binary"
+    )
+    often = grams.groupBy("gram").agg(F.sum("value").alias("uses")).filter("uses > 1")
+    hot = grams.join(often, "gram").select(*keys, F.col("offset").alias("first"), F.lit(LENGTH).cast("long").alias("size"), F.xxhash64("gram").alias("group"))
+    places = found.unionByName(hot).join(pieces.select(*keys, "twin", "start"), keys)
+    places = places.select("group", "size", "twin", (F.col("start") + F.col("first")).alias("first")).distinct()
+    rows = docs.select("doc_id", F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("twin"))
+    return places.join(rows, "twin").select("group", "size", "doc_id", "first")
+
+
 def _without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Each text without its lost ranges."""
     names = ["doc", "twin", "n_removed", "n_spans", "kept"]
