@@ -143,44 +143,42 @@ def probe_keys(word: str, chosen: Sequence[Gram]) -> set[int]:
     return found
 
 
-def _entries(words: DataFrame, ranks: dict[str, int]) -> DataFrame:
-    """``key, word, n, last, asks`` of the index and of the questions to it; ``last`` is the rank of the last gram of the prefix."""
+def _entries(words: DataFrame, ranks: dict[str, int], asking: bool) -> DataFrame:
+    """``key, word, n, last`` of the index, or of the questions to it; ``last`` is the rank of the last gram of the prefix."""
     shared = words.sparkSession.sparkContext.broadcast(ranks)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows, keys, asks, last = [], [], [], []
+            rows, keys, last = [], [], []
 
             def flush(batch=batch):
                 at = pa.array(rows, pa.int64())
-                columns = [pa.array(keys, pa.int64()), batch.column(0).take(at), batch.column(1).take(at), pa.array(last, pa.int32()), pa.array(asks, pa.bool_())]
-                return pa.RecordBatch.from_arrays(columns, ["key", "word", "n", "last", "asks"])
+                columns = [pa.array(keys, pa.int64()), batch.column(0).take(at), batch.column(1).take(at), pa.array(last, pa.int32())]
+                return pa.RecordBatch.from_arrays(columns, ["key", "word", "n", "last"])
 
             for i, word in enumerate(batch.column(0).to_pylist()):
                 prefix = gram_prefix(word, shared.value)
-                for asking, found in ((False, index_keys(word, prefix)), (True, probe_keys(word, pivots(prefix)))):
-                    keys += found
-                    rows += [i] * len(found)
-                    asks += [asking] * len(found)
-                    last += [prefix[-1][0]] * len(found)
+                found = probe_keys(word, pivots(prefix)) if asking else index_keys(word, prefix)
+                keys += found
+                rows += [i] * len(found)
+                last += [prefix[-1][0]] * len(found)
                 if len(keys) >= _FLUSH:
                     yield flush()
-                    rows, keys, asks, last = [], [], [], []
+                    rows, keys, last = [], [], []
             yield flush()
 
-    return words.select("word", "n").mapInArrow(run, "key long, word string, n long, last int, asks boolean")
+    return words.select("word", "n").mapInArrow(run, "key long, word string, n long, last int")
 
 
-def near_words(words: DataFrame, keep: Interim) -> DataFrame:
+def near_words(words: DataFrame) -> DataFrame:
     """``word, n, near, near_n`` of every two words that differ by one code point inserted, deleted or replaced, in both directions.
 
     Of two near words, that whose prefix ends first in rank (ties: in alphabet) asks: a pivot of its own that the edit leaves alone is in the other's
     prefix, at the same place or moved by the difference in length. Candidates agree outside of the third that holds the
     edit as well; the edit distance decides.
     """
-    entries = keep("entries", _entries(words, gram_ranks(words)))
-    asking = entries.filter("asks").drop("asks")
-    index = entries.filter("NOT asks").select("key", F.col("word").alias("near"), F.col("n").alias("near_n"), F.col("last").alias("near_last"))
+    ranks = gram_ranks(words)
+    asking, index = _entries(words, ranks, True), _entries(words, ranks, False).toDF("key", "near", "near_n", "near_last")
     first = (F.col("last") < F.col("near_last")) | ((F.col("last") == F.col("near_last")) & (F.col("word") < F.col("near")))
     pairs = asking.join(index, "key").filter(first & (F.levenshtein("word", "near", EDITS) == 1))
     pairs = pairs.select("word", "n", "near", "near_n").distinct()
@@ -215,10 +213,9 @@ def spelling_groups(docs: DataFrame) -> DataFrame:
     """
     keep = Interim("spelling")
     words = keep("words", word_counts(docs))
-    near = near_words(words, keep)
+    near = near_words(words)
     best = F.min(F.struct((-F.col("near_n")).alias("less"), F.col("near").alias("form")))
     near = keep("near", near.groupBy("word").agg(F.count(F.lit(1)).alias("n_near"), best.alias("best")))
-    keep.drop(docs.sparkSession, "entries")
     joined = words.join(near, "word", "left").withColumn("_n", -F.col("best.less"))
     found: Column = F.col("_n") >= TIMES * F.col("n")
     rows = keep("forms", joined.select(
