@@ -7,6 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,7 +23,7 @@ PIECE = 32
 #: Different pieces of one bucket that meet in one suffix array; larger buckets are split by their strings of ``LENGTH`` bytes.
 BUCKET = 4096
 _BLOCK = 1 << 16
-_ARRAY = 1 << 21
+_ARRAY, _SLICE = 1 << 21, 1 << 22
 _LAST = 9223372036854775807
 _EMPTY = hashlib.sha256(b"").hexdigest()
 _M1, _M2, _M3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
@@ -91,15 +92,24 @@ def _signed(values: np.ndarray) -> pa.Array:
     return pa.array(np.ascontiguousarray(values).view(np.int64))
 
 
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Parts of batches with about ``_SLICE`` bytes of text, as a text has a run for each 16 bytes or so; the texts are the third column."""
+    for batch in batches:
+        part = np.cumsum(pc.binary_length(batch.column(2)).to_numpy(zero_copy_only=False)) // _SLICE
+        cuts = np.flatnonzero(part[1:] != part[:-1]) + 1
+        for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), batch.num_rows]):
+            yield batch.slice(a, b - a)
+
+
 def _anchored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """``bucket, doc, twin, at, role`` of every run.
 
-    ``at`` holds start and count. Buckets that two texts of a batch share need no question: their runs
+    ``at`` holds start and count. Buckets that two texts of a slice share need no question: their runs
     have role 0; one row of role 1 without a text tells the others. The rest have role 2. Of copies of
-    a text in one batch, that of the smallest document counts.
+    a text in one slice, that of the smallest document counts.
     """
     names = ["bucket", "doc", "twin", "at", "role"]
-    for batch in batches:
+    for batch in _slices(batches):
         docs, twins = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
         order = np.lexsort((docs, twins))
         if not len(order):
