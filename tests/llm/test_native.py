@@ -8,9 +8,10 @@ import zlib
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from tongues.llm.exact import exact_groups
-from tongues.llm.lines import LineRuns, absorb_table, dedup_lines
+from tongues.llm.lines import LineRuns, absorb_table, batch_cuts, dedup_lines
 from tongues.llm.pii import BASE, IBAN_LENGTHS, find_personal_data, iban_pattern, personal_data
 from tongues.llm.sharding import MULTIPLIER, assign_shards, shard_documents
 
@@ -160,6 +161,57 @@ def test_runs_are_compacted_and_hold_each_hash_once(documents):
     assert hashes.count() == hashes.select("h1", "h2").distinct().count() == 7 + 40
 
 
+def test_old_runs_are_neither_exchanged_nor_sorted(documents):
+    from tongues.llm.lines import _ordered_scans
+    runs = absorb_table(documents([(i, f"a line that all have\nline number {i} of this") for i in range(40)]), batches=3)
+    more = documents([(i, f"a line that all have\nanother line {i} of this") for i in range(100, 140)])
+    with _ordered_scans(runs.spark):
+        fresh = runs.unknown(more)
+        plan = fresh._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Bucketed: true") == len(runs.levels) == 2
+        assert plan.count("Exchange hashpartitioning") == 1 and plan.count("+- Sort ") + plan.count(":- Sort ") == 1
+        # the exchange is that of the aggregation, below the joins
+        assert plan.index("LeftAnti") < plan.index("functions=[min(") < plan.index("Exchange") < plan.index("partial_min")
+        merged = runs.merged([p for level in runs.levels for p in level])
+        plan = merged._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and "Sort " not in plan and "SortMergeJoin" in plan
+        assert merged.count() == 41 and fresh.count() == 40
+    runs.absorb(more)
+    assert runs.runs().count() == 81 and runs.runs().select(F.input_file_name()).distinct().count() <= 2 * runs.buckets
+    runs.close()
+
+
+@pytest.mark.parametrize("buckets", [None, 3])
+def test_batches_in_any_order_and_sessions(documents, buckets):
+    parts = [[r for r in LINES if r[0] % 3 == k] for k in (2, 0, 1)]
+    runs = LineRuns(documents([]).sparkSession, buckets=buckets)
+    runs.absorb(documents(parts[0]))
+    runs.close()
+    runs = LineRuns(runs.spark, buckets=runs.buckets, levels=runs.levels)
+    for part in (*parts[1:], parts[0], []):
+        runs.absorb(documents(part))
+    found = runs.apply(documents(LINES)).collect()
+    assert Counter((r["doc_id"], r["n_lines"], r["n_dropped"], r["kept"]) for r in found) == plain_lines(LINES)
+    runs.close()
+
+
+def test_more_runs_a_level(documents):
+    runs = LineRuns(documents([]).sparkSession, fanout=3)
+    for part in range(5):
+        runs.absorb(documents([(i, f"line number {i % 7} of all\nline number {i} of this") for i in range(part * 8, part * 8 + 8)]))
+    assert [len(level) for level in runs.levels] == [2, 1]
+    assert runs.runs().count() == runs.runs().select("h1", "h2").distinct().count() == 7 + 40
+    runs.close()
+
+
+def test_batches_have_about_as_many_rows(documents):
+    ids = [*range(60), 10**9, *range(10**12, 10**12 + 29)]
+    cuts = batch_cuts(documents([(i, "x") for i in ids]), 3)
+    sizes = [sum(low <= i < high for i in ids) for low, high in zip([0, *cuts], [*cuts, 10**13])]
+    assert len(sizes) == 3 and all(28 <= n <= 32 for n in sizes)
+    assert batch_cuts(documents([]), 3) == batch_cuts(documents([(None, "x")]), 3) == []
+
+
 def jump(key, n):
     at, ahead, key = -1, 0, key % 2**64
     while ahead < n:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,6 +18,7 @@ MIN_KEY = 10
 FANOUT = 2
 #: Batches, by range of ``doc_id``, in which a whole table is absorbed.
 BATCHES = 3
+RUN = "h1 bigint, h2 bigint, owner bigint"
 _LAST = 9223372036854775807
 
 
@@ -40,46 +43,105 @@ def line_hashes(docs: DataFrame) -> DataFrame:
     return keyed.select("doc", "twin", F.xxhash64("key").alias("h1"), F.xxhash64(F.lit(7), "key").alias("h2"), "pos")
 
 
+@contextmanager
+def _ordered_scans(spark: SparkSession) -> Iterator[None]:
+    """Spark trusts the order of a bucket that is one file only under this setting, and else sorts it again."""
+    name = "spark.sql.legacy.bucketedTableScan.outputOrdering"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 class LineRuns:
     """Which document owns which line: sorted runs of ``h1, h2, owner`` in levels, kept in the shared folder.
 
-    Batches must arrive in ascending ``doc_id``. A batch adds one run of the hashes that no
-    earlier run has; ``FANOUT`` runs of a level are merged into one of the next, so a
-    hash is in one run only, and there are about ``log(batches)`` runs to look through. All state is
-    files, and the lists of files are a few names: lost executors cost nothing but the task at hand.
+    A run is one sorted file for each of ``buckets`` ranges of the hash, so that all comparisons meet the runs where they
+    are: only the hashes of a batch are exchanged and sorted. A batch adds one run of the hashes that no earlier run
+    has with an owner as small; ``FANOUT`` runs of a level are merged into one of the next, so there are about
+    ``log(batches)`` runs to look through. Batches may arrive in any order; where they come by ascending ``doc_id``,
+    a hash is in one run only. All state is files, and ``levels`` is their few names: lost executors cost nothing
+    but the task at hand, and a later session goes on with the ``levels`` and ``buckets`` of an earlier one.
+
+    ``buckets`` is the session's number of shuffle partitions if not given; another number is right, too, but costs one more exchange
+    of the batch. Tables over the runs belong to the session until ``close``.
     """
 
-    def __init__(self, spark: SparkSession, fanout: int = FANOUT):
+    def __init__(self, spark: SparkSession, fanout: int = FANOUT, buckets: int | None = None, levels: list[list[str]] | None = None):
         self.spark, self.fanout = spark, fanout
-        self.levels: list[list[str]] = []
+        self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        self.levels: list[list[str]] = [list(level) for level in levels or []]
+
+    def _paths(self) -> list[str]:
+        return [p for level in self.levels for p in level]
 
     def runs(self) -> DataFrame | None:
         """All runs as one table, None before the first batch."""
-        found = [self.spark.read.schema("h1 long, h2 long, owner long").parquet(p) for level in self.levels for p in level]
-        return reduce(DataFrame.unionByName, found) if found else None
+        return self.spark.read.schema(RUN).parquet(*self._paths()) if self._paths() else None
+
+    @staticmethod
+    def _name(path: str) -> str:
+        return path.rsplit("/", 1)[1].replace("-", "_")
+
+    def _table(self, path: str) -> DataFrame:
+        """A run as a table that knows of its buckets and their order."""
+        self.spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {self._name(path)} ({RUN}) USING parquet "
+            f"CLUSTERED BY (h1, h2) SORTED BY (h1, h2) INTO {self.buckets} BUCKETS LOCATION '{path}'"
+        )
+        return self.spark.table(self._name(path))
 
     def _write(self, hashes: DataFrame, level: int) -> None:
         while len(self.levels) <= level:
             self.levels.append([])
         path = scratch(self.spark, f"line-run-{level}")
-        hashes.sortWithinPartitions("h1", "h2").write.parquet(path)
+        writer = hashes.write.format("parquet").bucketBy(self.buckets, "h1", "h2").sortBy("h1", "h2")
+        writer.option("path", path).saveAsTable(self._name(path))
         self.levels[level].append(path)
 
+    def unknown(self, batch: DataFrame) -> DataFrame:
+        """``h1, h2, owner`` of the lines of a batch that no run has with an owner as small."""
+        owned = line_hashes(batch).groupBy("h1", "h2").agg(F.min("doc").alias("owner"))
+        if self._paths() and int(self.spark.conf.get("spark.sql.shuffle.partitions")) != self.buckets:
+            owned = owned.repartition(self.buckets, "h1", "h2")
+        for path in self._paths():
+            known = self._table(path).withColumnRenamed("owner", "_owner").hint("merge")
+            # the comparison of owners also keeps the join above the aggregation, where common lines are one row
+            same = (owned["h1"] == known["h1"]) & (owned["h2"] == known["h2"]) & (known["_owner"] <= owned["owner"])
+            owned = owned.join(known, same, "left_anti")
+        return owned
+
+    def merged(self, paths: list[str]) -> DataFrame:
+        """Runs as one, hash by hash, with the smaller owner; two runs meet bucket by bucket, further ones are exchanged."""
+        def pair(one: DataFrame, other: DataFrame) -> DataFrame:
+            both = one.join(other.withColumnRenamed("owner", "_owner").hint("merge"), ["h1", "h2"], "full")
+            return both.select("h1", "h2", F.least("owner", "_owner").alias("owner"))
+
+        return reduce(pair, [self._table(p) for p in paths])
+
     def absorb(self, batch: DataFrame) -> None:
         """Anti-join a batch's line hashes with the runs, add the new ones as a run, compact."""
-        owned = line_hashes(batch).groupBy("h1", "h2").agg(F.min("doc").alias("owner"))
-        known = self.runs()
-        if known is not None:
-            owned = owned.join(known.hint("merge"), ["h1", "h2"], "left_anti")
-        self._write(owned, 0)
-        level = 0
-        while len(self.levels[level]) >= self.fanout:
-            old, self.levels[level] = self.levels[level], []
-            merged = self.spark.read.schema("h1 long, h2 long, owner long").parquet(*old)
-            self._write(merged.repartition("h1", "h2"), level + 1)
-            for path in old:
-                discard(self.spark, path)
-            level += 1
+        with _ordered_scans(self.spark):
+            self._write(self.unknown(batch), 0)
+            level = 0
+            while len(self.levels[level]) >= self.fanout:
+                old = self.levels[level]
+                self._write(self.merged(old), level + 1)
+                self.levels[level] = []
+                for path in old:
+                    self._forget(path)
+                    discard(self.spark, path)
+                level += 1
+
+    def _forget(self, path: str) -> None:
+        self.spark.sql(f"DROP TABLE IF EXISTS {self._name(path)}")
+
+    def close(self) -> None:
+        """Forget the tables; the files stay, and another batch makes the tables anew."""
+        for path in self._paths():
+            self._forget(path)
 
     def dropped(self, docs: DataFrame) -> DataFrame:
         """``doc, twin, drops``: per text the sorted positions of lines that a smaller document owns."""
@@ -112,13 +174,18 @@ class LineRuns:
         )
 
 
+def batch_cuts(docs: DataFrame, batches: int) -> list[int]:
+    """Ids that cut a table into about ``batches`` parts of as many rows each, ascending; none for a table without ids."""
+    if batches < 2:
+        return []
+    found = docs.agg(F.percentile_approx("doc_id", [i / batches for i in range(1, batches)])).first()[0]
+    return sorted(set(found or []))
+
+
 def absorb_table(docs: DataFrame, batches: int = BATCHES) -> LineRuns:
-    """Absorb a whole table in ``batches`` ranges of ``doc_id``, smallest first; null ids go with the last."""
-    low, high = docs.agg(F.min("doc_id"), F.max("doc_id")).first()
+    """Absorb a whole table in ``batches`` ranges of ``doc_id`` with about as many rows each, smallest first; null ids go with the last."""
     runs = LineRuns(docs.sparkSession)
-    low, high = low or 0, high or 0
-    cuts = [low + (high - low + 1) * i // batches for i in range(1, batches)]
-    edges = [None, *cuts, None]
+    edges = [None, *batch_cuts(docs, batches), None]
     for start, end in zip(edges, edges[1:]):
         batch = docs
         if start is not None:
@@ -126,6 +193,7 @@ def absorb_table(docs: DataFrame, batches: int = BATCHES) -> LineRuns:
         if end is not None:
             batch = batch.filter(F.col("doc_id") < end)
         runs.absorb(batch)
+    runs.close()
     return runs
 
 
