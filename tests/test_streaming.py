@@ -103,3 +103,23 @@ def test_state_is_forgotten_by_the_clock(spark, tmp_path):
         found[keep_for] = total
     assert found[None][-1] == 6 * 40  # two levels of 20 sentences a batch
     assert max(found["1 seconds"][2:]) <= 3 * 40
+
+
+@pytest.mark.parametrize("files", [0, 1, 3])
+def test_stream_of_a_table_that_is_a_file_or_a_folder(spark, tmp_path, files):
+    from tongues.plans.queries import QUERIES
+
+    rows = [(i, f"The document number {i} has a sentence of its own. Every document has this sentence.", "en") for i in range(9)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    if files:
+        docs.repartition(files).write.parquet(f"{tmp_path}/documents.parquet")
+    else:  # one file by that name
+        docs.toPandas().to_parquet(f"{tmp_path}/documents.parquet")
+    assert QUERIES["stream_new_sentences"](spark, str(tmp_path)).count() == 10
+
+
+def test_a_stream_without_rows_gives_none(spark, tmp_path):
+    from tongues.plans.queries import QUERIES
+
+    spark.createDataFrame([], "doc_id long, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
+    assert QUERIES["stream_new_sentences"](spark, str(tmp_path)).count() == 0
