@@ -14,7 +14,7 @@ from tongues.llm.language import UNKNOWN, predict, train
 from tongues.llm.lines import dedup_lines
 from tongues.llm.mixing import mixed_documents
 from tongues.llm.sentencepiece import tokenize
-from tongues.llm.simhash import keep_one
+from tongues.llm.simhash import keep_one, near_groups
 from tongues.sources.scratch import scratch
 from tongues.sources.tables import table
 
@@ -36,8 +36,12 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group whose five-word shingles are similar (0.8 or more), that of the smallest id."""
-    return keep_one(docs.select(*COLUMNS))
+    """One document of each group of near copies, that of the smallest id.
+
+    Near copies have fingerprints within 3 bits, as in ``op3``, or similar five-word shingles (0.8 or more).
+    """
+    docs = docs.select(*COLUMNS)
+    return keep_one(docs, near_groups(docs))
 
 
 def mix_domains(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -677,3 +677,20 @@ def test_nearest_of_extreme_components(spark, scale):
                 scores += vectors[q, j] * vectors[:, j]
         order = [i for i in np.lexsort((np.arange(600), -scores)) if i != q and not np.isnan(scores[i])][:20]
         assert sorted(found[q]) == [(n + 1, i, scores[i]) for n, i in enumerate(order)]
+
+
+def test_near_copies_include_those_that_fingerprints_link(spark, documents):
+    from corpus_pipeline import drop_near_copies
+
+    rows = [*enumerate(bits_only()), (5, "another text of its own that has nothing in common")]
+    assert len({r["component_id"] for r in similar_groups(documents(rows)).collect()}) == 3
+    assert {r["component_id"] for r in simhash_groups(documents(rows)).collect()} == {0, 5}
+    assert {r["doc_id"] for r in drop_near_copies(spark, documents(rows), "").collect()} == {0, 5}
+
+
+def bits_only():
+    """Two texts within 3 bits whose sets of five-word shingles are not similar."""
+    rng = random.Random(1)
+    head = [f"h{i}" for i in range(3)]
+    # repeats decide the bits, which count each of them, and the sets count them once
+    return [" ".join(head * 400 + [f"t{k}{rng.random()}" for _ in range(20)]) for k in range(2)]

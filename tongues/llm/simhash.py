@@ -485,6 +485,22 @@ def similar_groups(docs: DataFrame, words: int = SIMILAR_WORDS, radius: int = SI
     return found
 
 
+def near_groups(docs: DataFrame) -> DataFrame:
+    """``doc_id, twin, component_id`` for every row: groups of texts that are linked by ``simhash_groups`` or by ``similar_groups``.
+
+    A group of one kind is a node, and a row links the two that it is in, so whatever is connected by links of either kind is one group.
+    """
+    rows = simhash_groups(docs).select("doc_id", "twin", F.xxhash64(F.lit("bits"), "component_id").alias("a")).distinct()
+    other = similar_groups(docs).select("doc_id", "twin", F.xxhash64(F.lit("sets"), "component_id").alias("b")).distinct()
+    other = other.toDF("_id", "_twin", "b")
+    both = rows.join(other, rows["doc_id"].eqNullSafe(other["_id"]) & rows["twin"].eqNullSafe(other["_twin"])).select("doc_id", "twin", "a", "b")
+    both = stored(both, "near-both")
+    roots = stored(components(both.select("a", "b").distinct()), "near-roots")
+    rooted = both.join(roots, both["a"] == roots["node"]).select("doc_id", "twin", "root")
+    first = rooted.groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    return rooted.join(first, "root").select("doc_id", "twin", "component_id")
+
+
 def keep_one(docs: DataFrame, groups: DataFrame | None = None) -> DataFrame:
     """The rows of ``docs`` that stay when each of ``groups``, similar texts by default, keeps one: that of the smallest ``doc_id``.
 
