@@ -15,13 +15,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tongues.functions.grams import TermCounter, cached, word_grams
+from tongues.functions.grams import TermCounter, cached, slices, word_grams
 from tongues.operators.ngrams import text_frequencies, vocabulary
 from tongues.sources.scratch import stored
 
 #: N-grams in a task's summary, words that are counted before their n-grams are, and terms that a second pass counts at most.
 SUMMARY, WORDS, SURVIVORS = 1 << 16, 1 << 16, 1 << 16
-SLICE = 2_000
 
 
 class Summary:
@@ -63,6 +62,9 @@ def term_summary(df: DataFrame, text: str = "text", min_n: int = 2, max_n: int =
             for word, times in words.items():
                 for term in grams(word):
                     uses[term] = uses.get(term, 0) + times
+                if len(uses) >= size:
+                    summary.add(uses)
+                    uses = {}
             words.clear()
             summary.add(uses)
 
@@ -90,8 +92,8 @@ def listed_frequencies(df: DataFrame, terms: list[str], text: str = "text", min_
         texts, uses = np.zeros(counter.size, np.int64), np.zeros(counter.size, np.int64)
         for batch in batches:
             values = batch.column(0).to_pylist()
-            for at in range(0, len(values), SLICE):
-                _, term, n = counter.count(values[at:at + SLICE])
+            for start, stop in slices(values):
+                _, term, n = counter.count(values[start:stop])
                 texts += np.bincount(term, minlength=counter.size)
                 uses += np.bincount(term, n, counter.size).astype(np.int64)
         there = np.flatnonzero(texts)
