@@ -14,7 +14,7 @@ import pytest
 
 from tongues.llm import suffixes
 from tongues.llm.audit import FILTERS, Diagram, adjacent_swaps, audit_filters, audit_part
-from tongues.llm.spelling import gram_prefix, index_keys, pivots, probe_keys, spelling_groups
+from tongues.llm.spelling import gram_prefix, index_keys, near_words, pivots, probe_keys, spelling_groups
 from tongues.llm.suffixes import Intervals, SuffixArray, remove_repeats, repeat_groups, window_runs
 
 UPPER = {c: c + 32 for c in range(65, 91)}
@@ -75,6 +75,16 @@ def test_spelling_of_nothing(documents):
     assert collected(spelling_groups(documents([(1, "alone alone alone")]))) == [("alone", None, "alone", 3, 0, None)]
 
 
+def test_entries_of_words_are_never_sent_whole_through_the_driver(spark, documents):
+    words = spark.createDataFrame([("abcde", 3), ("abcdx", 9), ("other", 3)], "word string, n long")
+    near = near_words(words)
+    assert collected(near) == [("abcde", 3, "abcdx", 9), ("abcdx", 9, "abcde", 3)]
+    groups = spelling_groups(documents([(1, "abcde abcdx " * 3 + "abcdx " * 6)]))
+    for found in (near, groups):
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_forms_are_followed_to_the_last(documents):
     words = {"abcdefgh": 3, "abcdefgx": 7, "abcdefyx": 15, "abcdezyx": 31, "abcdezy": 70}
     found = {r["word"]: r for r in spelling_groups(documents([(2, " ".join(w for w, n in words.items() for _ in range(n)))])).collect()}

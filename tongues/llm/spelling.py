@@ -176,11 +176,14 @@ def near_words(words: DataFrame) -> DataFrame:
     Of two near words, that whose prefix ends first in rank (ties: in alphabet) asks: a pivot of its own that the edit leaves alone is in the other's
     prefix, at the same place or moved by the difference in length. Candidates agree outside of the third that holds the
     edit as well; the edit distance decides.
+
+    Spark takes the entries for about as large as the words' files, though each word has dozens, and would send the index whole
+    through the driver. So all joins here are hinted to sort and merge: what is joined grows with the words.
     """
     ranks = gram_ranks(words)
     asking, index = _entries(words, ranks, True), _entries(words, ranks, False).toDF("key", "near", "near_n", "near_last")
     first = (F.col("last") < F.col("near_last")) | ((F.col("last") == F.col("near_last")) & (F.col("word") < F.col("near")))
-    pairs = asking.join(index, "key").filter(first & (F.levenshtein("word", "near", EDITS) == 1))
+    pairs = asking.join(index.hint("merge"), "key").filter(first & (F.levenshtein("word", "near", EDITS) == 1))
     pairs = pairs.select("word", "n", "near", "near_n").distinct()
     both = F.array(F.struct("word", "n", "near", "near_n"), F.struct(F.col("near").alias("word"), F.col("near_n").alias("n"), F.col("word").alias("near"), F.col("n").alias("near_n")))
     return pairs.select(F.explode(both).alias("p")).select("p.*")
@@ -195,7 +198,7 @@ def follow(forms: DataFrame, keep: Interim) -> DataFrame:
     rounds, now = 0, keep("roots0", forms.select("word", F.col("form").alias("root")))
     while True:
         further = now.select(F.col("word").alias("root"), F.col("root").alias("next"))
-        then = now.join(further, "root", "left").select("word", F.coalesce("next", "root").alias("root"), F.col("next").isNotNull().alias("moved"))
+        then = now.join(further.hint("merge"), "root", "left").select("word", F.coalesce("next", "root").alias("root"), F.col("next").isNotNull().alias("moved"))
         rounds += 1
         then = keep(f"roots{rounds}", then)
         keep.drop(now.sparkSession, f"roots{rounds - 1}")
@@ -216,11 +219,11 @@ def spelling_groups(docs: DataFrame) -> DataFrame:
     near = near_words(words)
     best = F.min(F.struct((-F.col("near_n")).alias("less"), F.col("near").alias("form")))
     near = keep("near", near.groupBy("word").agg(F.count(F.lit(1)).alias("n_near"), best.alias("best")))
-    joined = words.join(near, "word", "left").withColumn("_n", -F.col("best.less"))
+    joined = words.join(near.hint("merge"), "word", "left").withColumn("_n", -F.col("best.less"))
     found: Column = F.col("_n") >= TIMES * F.col("n")
     rows = keep("forms", joined.select(
         "word", "n", F.coalesce("n_near", F.lit(0).cast("long")).alias("n_near"),
         F.when(found, F.col("best.form")).alias("form"), F.when(found, F.col("_n")).alias("form_n"),
     ))
     roots = follow(rows.filter("form IS NOT NULL"), keep)
-    return rows.join(roots, "word", "left").select("word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")
+    return rows.join(roots.hint("merge"), "word", "left").select("word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")
