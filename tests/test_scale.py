@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import random
 
+from pyspark.sql import functions as F
+
 from tongues.functions import grams as G
+from tongues.functions import variants as V
 from tongues.operators.augment import augment
 from tongues.operators.sampling import balance, balance_distinct
 
@@ -20,6 +23,25 @@ def test_augment_deals_variants_out_to_as_many_tasks_as_asked(spark):
     assert sorted(map(tuple, dealt.collect())) == sorted(map(tuple, augment(rows).collect()))
 
 
+def test_augment_moves_sentences_but_not_their_variants(spark):
+    plan = augment(sentences(spark, 50), tasks=13)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange ") == 1 and plan.index("Exchange ") > plan.index("Generate ")  # the plan begins with its end
+
+
+def test_variants_share_the_key_of_their_text(spark):
+    odd = [c for c in map(chr, range(0x80, 0x20000)) if not 0xD800 <= ord(c) <= 0xDFFF and (c.lower() != c or c.upper() != c or c.isspace())]
+    shapes = ("{} the and that with this have from {}!", "Note: tip:{}with x thıs this have?", "Th{}s has the th{}s and that {}.", "ΟΔΟΣ{} the ΣΑΣ {}Σ. fyi: and")
+    texts = [shape.replace("{}", c) for shape in shapes for c in odd]
+    df = spark.createDataFrame([("english", t) for t in texts], "language string, text string").withColumn("key", V.variant_key(F.col("text")))
+    made = df.select("key", F.explode(V.variants(F.col("text"))).alias("variant"))
+    assert made.filter(V.variant_key(F.col("variant")) != F.col("key")).isEmpty()
+    assert df.select("key").distinct().count() > len(odd)
+    few = df.select("language", "text").sample(0.05, 3).unionByName(spark.createDataFrame([
+        (c, t) for c in ("english", None) for t in ("Note: the cat sat here.", "the cat sat here!", "teh cat sat here.", "THECAT SAT HERE?", "too short")
+    ], "language string, text string"))
+    assert sorted(map(tuple, augment(few, tasks=7).collect()), key=repr) == sorted(map(tuple, augment(few).collect()), key=repr)
+
+
 def test_remembered_grams_are_bounded_by_their_number(monkeypatch):
     monkeypatch.setattr(G, "GRAM_CACHE", 300)
     looked = []
