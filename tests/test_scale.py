@@ -4,10 +4,14 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from tongues.functions import grams as G
 from tongues.functions import variants as V
+from tongues.model import scoring
+from tongues.model.vectors import BatchFeatures
 from tongues.operators.augment import augment
 from tongues.operators.sampling import balance, balance_distinct
 
@@ -42,6 +46,58 @@ def test_variants_share_the_key_of_their_text(spark):
     assert sorted(map(tuple, augment(few, tasks=7).collect()), key=repr) == sorted(map(tuple, augment(few).collect()), key=repr)
 
 
+def random_forest(rng, trees, features, deepest):
+    """Trees with nodes in order from the root on, a leaf among them that is the whole tree."""
+    nodes = []
+
+    def grow(depth):
+        at = len(nodes)
+        nodes.append(None)
+        if depth >= deepest or rng.random() < 0.2:
+            nodes[at] = (-1, 0.0, 0, 0, [rng.random(), rng.random(), rng.random()])
+        else:
+            left = grow(depth + 1)
+            nodes[at] = (rng.randrange(features), rng.choice([0.0, 0.25, 0.5, rng.random()]), left, grow(depth + 1), [0.0] * 3)
+        return at
+
+    roots = [grow(deepest if tree == 1 else 0) for tree in range(trees)]
+    feature, threshold, left, right, share = map(np.array, zip(*nodes))
+    return scoring.Forest(np.array(roots), feature, threshold, np.column_stack([left, right]).ravel(), share)
+
+
+def test_forests_are_walked_together_as_they_are_one_by_one():
+    rng = random.Random(8)
+    forests = [random_forest(rng, trees, 12, deepest) for trees, deepest in ((7, 9), (7, 1), (4, 14))]
+    rows = np.array([[rng.choice([0.0, 0.25, 0.5, rng.random()]) for _ in range(12)] for _ in range(150)])
+    wanted = []
+    for f in forests:
+        votes = np.zeros((len(rows), 3))
+        for r, row in enumerate(rows):
+            for at in f.roots:
+                while f.feature[at] >= 0:
+                    at = f.child[2 * at + (row[f.feature[at]] > f.threshold[at])]
+                votes[r] += f.share[at]
+        wanted.append(votes / votes.sum(1, keepdims=True))
+    found = [scoring.Forests(forests).probabilities(np.ascontiguousarray(rows[a:a + 64].T)) for a in range(0, 150, 64)]
+    np.testing.assert_allclose(np.concatenate(found, 1), wanted, rtol=1e-12)
+    for f, one in zip(forests, wanted):
+        np.testing.assert_allclose(f.probabilities(rows), one, rtol=1e-12)
+        assert f.probabilities(rows[:0]).shape == (0, 3)
+
+
+def test_numbers_follow_the_terms_of_their_row():
+    texts = ["the cat", None, "", "zz", "the the cat"]
+    numbers = np.array([[1.0, 0.0], [0.0, 0.0], [2.0, 3.0], [0.0, 4.0], [5.0, 0.0]])
+    batch = pa.RecordBatch.from_arrays([pa.array(texts), *map(pa.array, numbers.T.copy())], names=["text", "a", "b"])
+    features = BatchFeatures([("the", 1.0), ("at", 2.0), ("zz", 1.5)], 2, 5, 2)
+    ((start, stop, row, place, value),) = features.slices(batch, 0)
+    assert (start, stop) == (0, 5) and sorted(zip(row, place)) == list(zip(row, place))
+    dense = np.zeros((5, 5))
+    dense[row, place] = value
+    np.testing.assert_array_equal(dense[:, 3:], numbers)
+    assert [list(np.flatnonzero(r)) for r in dense[:, :3]] == [[0, 1], [], [], [2], [0, 1]]
+
+
 def test_remembered_grams_are_bounded_by_their_number(monkeypatch):
     monkeypatch.setattr(G, "GRAM_CACHE", 300)
     looked = []
