@@ -14,6 +14,7 @@ from tongues.model import scoring
 from tongues.model.vectors import BatchFeatures
 from tongues.operators.augment import augment
 from tongues.operators.sampling import balance, balance_distinct
+from tongues.plans import queries
 
 
 def sentences(spark, n):
@@ -85,6 +86,15 @@ def test_forests_are_walked_together_as_they_are_one_by_one():
         assert f.probabilities(rows[:0]).shape == (0, 3)
 
 
+def test_the_suite_is_scored_in_as_many_tasks_as_there_are_cores(spark, tmp_path):
+    rows = [(i, f"The sentence number {i} is here with the others. It has the same end as all of them.", "en") for i in range(40)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
+    found = queries.suite(spark, str(tmp_path))
+    assert found.rdd.getNumPartitions() == max(spark.sparkContext.defaultParallelism, 1)
+    assert sorted(map(tuple, found.collect())) == sorted((t, lang) for lang, t in map(tuple, queries.corpus(spark, str(tmp_path)).collect()))
+    assert found.count() == 41
+
+
 def test_numbers_follow_the_terms_of_their_row():
     texts = ["the cat", None, "", "zz", "the the cat"]
     numbers = np.array([[1.0, 0.0], [0.0, 0.0], [2.0, 3.0], [0.0, 4.0], [5.0, 0.0]])
